@@ -1,0 +1,171 @@
+"""The ``events`` test table read as telemetry: typed columns, JSON records, ingestion bodies."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegrid.sources.topics import envelope, table_files
+
+EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+TOPIC = "telemetry.raw"
+
+
+def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
+    return table_files(spark, sf_dir, "events", EVENTS_SCHEMA, streaming=streaming)
+
+
+def telemetry(events: DataFrame) -> DataFrame:
+    """Typed telemetry rows with their origin columns."""
+    n = F.col("event_id")
+    return events.select(
+        F.concat(F.lit("k-"), n).alias("key"),
+        F.lit(TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        n.alias("offset"),
+        F.col("ts").alias("recordTimestamp"),
+        F.concat(F.lit("evt-"), n).alias("eventId"),
+        _equipment_id().alias("equipmentId"),
+        F.concat(F.lit("corr-"), n).alias("correlationId"),
+        F.col("event_type").alias("equipmentType"),
+        F.col("ts").alias("timestamp"),
+        F.when(n % 29 != 0, F.col("value")).alias("temperature"),
+        F.when(n % 31 != 0, F.lit(0.4) + _k().cast("double") * 0.012).alias("pressure"),
+        _error_codes().alias("errorCodes"),
+    )
+
+
+def _equipment_id() -> Column:
+    digits = F.col("user_id").cast("string")
+    # lpad would cut ids that are longer than four digits.
+    return F.concat(F.lit("EQ-"), F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits))
+
+
+def _k() -> Column:
+    return F.get_json_object("props", "$.k")
+
+
+def _error_codes() -> Column:
+    n, kind = F.col("event_id"), F.col("event_type")
+    texts = lambda *codes: F.array(*[F.lit(c) for c in codes])
+    none = F.array().cast("array<string>")
+    failures = F.array(*[F.lit(c) for c in ("E001", "E002", "E003", "E010", "E020", "E999")])
+    return (
+        F.when(kind == "error", F.array(F.get(failures, (n % 6).cast("int"))))
+        .when(kind == "view", F.when(n % 5 == 0, texts("W001", "W002")).otherwise(none))
+        .when(kind == "click", F.when(n % 7 == 0, texts("W010")).otherwise(none))
+        .when(kind == "purchase", F.when(n % 4 == 0, texts("W001", "W001", "X1")).otherwise(none))
+        .when(kind == "signup", F.when(n % 2 != 0, none))
+    )
+
+
+def _telemetry_json(*, profile: str) -> Column:
+    """The record of one telemetry row as JSON text, ISO time, null fields written out."""
+    names = {
+        "status": ("correlationId", "equipmentId", "equipmentType"),
+        "stream": ("eventId", "equipmentId", "correlationId"),
+    }[profile]
+    fields = [F.col(n) for n in names]
+    fields.append(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"))
+    fields += [F.col("temperature"), F.col("pressure"), F.col("errorCodes")]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
+    """Clean telemetry JSON, one record per event, in envelope columns."""
+    rows = telemetry(events)
+    return envelope(
+        rows, _telemetry_json(profile=profile), key=F.col("key"), topic=TOPIC,
+        offset=F.col("offset"), timestamp=F.col("recordTimestamp"),
+    )
+
+
+def faulty_topic(events: DataFrame, profile: str) -> DataFrame:
+    """Telemetry JSON where ``event_id % 25`` damages or varies the record (0 to 19)."""
+    rows = telemetry(events).withColumn("_json", _telemetry_json(profile=profile))
+    doc, n = F.col("_json"), F.col("offset") % 25
+    body = doc.substr(F.lit(1), F.length(doc) - 1)  # without the closing brace
+    plus = lambda member: F.concat(body, F.lit("," + member + "}"))
+    swap = lambda name, text: F.regexp_replace(
+        doc, F.lit(f'"{name}":("[^"]*"|\\[[^\\]]*\\]|[^,}}]*)'), F.concat(F.lit(f'"{name}":'), text)
+    )
+    temperature = F.coalesce(F.col("temperature").cast("string"), F.lit(""))
+    cases = [
+        F.lit(None).cast("string"),
+        F.lit(""),
+        F.lit("   "),
+        F.lit("null"),
+        F.lit("[]"),
+        F.concat(F.lit("["), doc, F.lit("]")),
+        F.lit('"text"'),
+        doc.substr(F.lit(1), F.length(doc) - 5),
+        F.concat(doc, F.lit(" tail")),
+        swap("temperature", F.concat(F.lit('"'), temperature, F.lit('"'))),
+        swap("temperature", F.lit('"hot"')),
+        swap("equipmentId", F.lit("4711")),
+        swap("errorCodes", F.lit('{"code":"E001"}')),
+        plus('"site":"F1"'),
+        plus('"schemaVersion":"1.0.0"'),
+        plus('"schemaVersion":1'),
+        swap("timestamp", F.unix_millis("timestamp").cast("string")),
+        F.concat(F.lit('{"equipmentId":"'), F.col("equipmentId"), F.lit('"}')),
+        swap("equipmentId", F.lit('{"id":"EQ"}')),
+        swap("temperature", F.lit('""')),
+    ]
+    chain = F.when(n == 0, cases[0])
+    for i, case in enumerate(cases[1:], start=1):
+        chain = chain.when(n == i, case)
+    return envelope(
+        rows, chain.otherwise(doc), key=F.col("key"), topic=TOPIC,
+        offset=F.col("offset"), timestamp=F.col("recordTimestamp"),
+    )
+
+
+def ingestion_documents(events: DataFrame) -> DataFrame:
+    """Raw ingestion bodies where ``event_id % 20`` picks one fault (0 to 7, 10, 11) or a variant."""
+    n = F.col("event_id")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    millis = F.unix_millis("ts").cast("string")
+    temperature = F.col("value").cast("decimal(10,2)").cast("string")
+    k_text = _k()
+
+    def document(**parts: Column | None) -> Column:
+        members = {
+            "equipmentId": quoted(_equipment_id()),
+            "timestamp": millis,
+            "payload": _payload(temperature, quoted(k_text)),
+            "correlationId": quoted(F.concat(F.lit("corr-"), n)),
+            "schemaVersion": F.lit('"1.0.0"'),
+            "sourceSystem": quoted(F.concat(F.lit("edge-"), F.col("event_type"))),
+            "metricName": F.lit("null"),
+            "unit": F.lit("null"),
+        }
+        members.update(parts)
+        texts = [F.concat(F.lit(f'"{name}":'), c) for name, c in members.items() if c is not None]
+        return F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}"))
+
+    def _payload(t: Column, k: Column) -> Column:
+        return F.concat(F.lit('{"temperature":"'), t, F.lit('","k":'), k, F.lit("}"))
+
+    base = document()
+    variants = [
+        F.lit(""),
+        F.lit("   "),
+        base.substr(1, 40),
+        document(correlationId=None),
+        document(timestamp=quoted(millis)),
+        document(payload=_payload(temperature, k_text)),
+        document(equipmentId=F.lit('"  "')),
+        document(correlationId=F.lit("null")),
+        document(metricName=F.lit('{"string":"temperature"}'), unit=F.lit('{"string":"C"}')),
+        document(site=F.lit('"F1"')),
+        document(metricName=F.lit('"temperature"')),
+        document(sourceSystem=None),
+    ]
+    chain = F.when(n % 20 == 0, variants[0])
+    for i, case in enumerate(variants[1:], start=1):
+        chain = chain.when(n % 20 == i, case)
+    return envelope(
+        events, chain.otherwise(base), key=F.concat(F.lit("k-"), n), topic="ingest",
+        offset=n, timestamp=F.col("ts"),
+    )
