@@ -481,19 +481,19 @@ def _status(spark: SparkSession, sf_dir: str, config: HealthConfig = STATUS_PROF
 @query("h01_temperature_score")
 def h01(spark, sf_dir):
     return _telemetry(spark, sf_dir).select(
-        "offset", rules_status.temperature_score(F.col("temperature")).alias("temperatureScore"))
+        "offset", F.expr(rules_status.temperature_score()).alias("temperatureScore"))
 
 
 @query("h02_pressure_score")
 def h02(spark, sf_dir):
     return _telemetry(spark, sf_dir).select(
-        "offset", rules_status.pressure_score(F.col("pressure")).alias("pressureScore"))
+        "offset", F.expr(rules_status.pressure_score()).alias("pressureScore"))
 
 
 @query("h03_error_score")
 def h03(spark, sf_dir):
     return _telemetry(spark, sf_dir).select(
-        "offset", rules_status.error_score(F.col("errorCodes")).alias("errorCodeScore"))
+        "offset", F.expr(rules_status.error_score()).alias("errorCodeScore"))
 
 
 @query("h04_health_score")
@@ -565,7 +565,7 @@ def r03(spark, sf_dir):
 @query("r04_matched_codes")
 def r04(spark, sf_dir):
     return _telemetry(spark, sf_dir).select(
-        "offset", F.array_join(rules_stream.matched_codes(F.col("errorCodes")), ",").alias("matched"))
+        "offset", F.array_join(F.expr(rules_stream.matched_codes()), ",").alias("matched"))
 
 
 @query("r05_health_score")
@@ -712,30 +712,29 @@ def c04(spark, sf_dir):
 
 @query("f01_f06_numbers")
 def f_numbers(spark, sf_dir):
-    value, n = F.col("value"), F.col("event_id")
-    return _events(spark, sf_dir).select(
-        F.col("event_id").alias("offset"),
-        scalar.truncate(value - F.lit(50.0)).alias("truncated"),
-        scalar.integer_div(n - 500, 7).alias("quotient"),
-        F.coalesce(scalar.without_nan(F.when(n % 3 == 0, F.lit(float("nan"))).otherwise(value)) >= 90.0,
-                   F.lit(False)).alias("at_least_90"),
-        F.greatest(F.lit(0), F.least(F.lit(100), n - 50)).cast("int").alias("clamped"),
-        F.format_string("%.2f", value).alias("two_decimals"),
-        F.format_string("%.1f", value).alias("one_decimal"),
+    odd = "CASE WHEN event_id % 3 = 0 THEN double('NaN') ELSE value END"
+    return _events(spark, sf_dir).selectExpr(
+        "event_id AS offset",
+        f"{scalar.truncated('value - 50D')} AS truncated",
+        f"{scalar.quotient('event_id - 500', 7)} AS quotient",
+        f"NOT isnan({odd}) AND {odd} >= {scalar.double(90)} AS at_least_90",
+        "CAST(greatest(0, least(100, event_id - 50)) AS INT) AS clamped",
+        f"{scalar.fixed('value', 2)} AS two_decimals",
+        f"{scalar.fixed('value', 1)} AS one_decimal",
     )
 
 
 @query("f05_f14_texts")
 def f_texts(spark, sf_dir):
-    n, codes = F.col("offset"), F.col("errorCodes")
+    maybe_blank = r"CASE offset % 4 WHEN 0 THEN ' \t' WHEN 1 THEN '' WHEN 2 THEN key END"
     return _telemetry(spark, sf_dir).select(
         "offset",
-        scalar.contains_any(codes, ("W001", "E010")).alias("contains"),
-        scalar.count_of(codes, ("W001", "X1")).alias("occurrences"),
-        F.coalesce(F.array_join(scalar.keep_only(codes, ("W001", "X1")), "+"), F.lit("-")).alias("kept"),
-        F.coalesce(scalar.list_text(codes), F.lit("-")).alias("list_text"),
-        scalar.is_blank(F.when(n % 4 == 0, F.lit(" \t")).when(n % 4 == 1, F.lit("")).when(n % 4 == 2, F.col("key"))).alias("blank"),
-        scalar.origin_id("any").alias("origin_id"),
+        F.expr(scalar.contains_any("errorCodes", ("W001", "E010"))).alias("contains"),
+        F.expr(scalar.count_of("errorCodes", ("W001", "X1"))).alias("occurrences"),
+        F.coalesce(F.array_join(F.expr(scalar.keep_only("errorCodes", ("W001", "X1"))), "+"), F.lit("-")).alias("kept"),
+        F.coalesce(F.expr(scalar.list_text("errorCodes")), F.lit("-")).alias("list_text"),
+        F.expr(scalar.is_blank(maybe_blank)).alias("blank"),
+        F.expr(scalar.origin_id("any")).alias("origin_id"),
         F.unix_millis("timestamp").alias("millis"),
         scalar.iso_utc(F.col("timestamp")).alias("iso"),
         F.to_json(F.create_map(F.lit("equipment"), F.col("equipmentId"))).alias("map_json"),

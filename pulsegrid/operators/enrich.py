@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
 from pulsegrid.functions.scalar import is_blank, iso_utc, origin_id
-from pulsegrid.schemas import DEAD_LETTER, FAILURE_CODES, RAW_EVENT
+from pulsegrid.schemas import DEAD_LETTER, FAILURE_CODES, ORIGIN, RAW_EVENT
 
 DEAD_LETTER_VERSION = "1.0.0"
 FAILURE_CODE = "SCHEMA_VALIDATION"
@@ -33,7 +33,7 @@ def enriched_event(config: IngestConfig = IngestConfig(), as_of: Column | None =
         F.struct(
             iso_utc(_now(as_of)).alias("ingestedAt"),
             F.lit(config.service_name).alias("ingestionService"),
-            origin_id("ingest").alias("ingestionId"),
+            F.expr(origin_id("ingest")).alias("ingestionId"),
             F.lit(True).alias("validated"),
         ).alias("ingestionMetadata"),
     )
@@ -44,14 +44,13 @@ def enrich(
 ) -> DataFrame:
     """Accepted rows as enriched events."""
     return validated.filter("valid").select(
-        "key", "topic", "partition", "offset", "recordTimestamp",
+        *ORIGIN,
         enriched_event(config, as_of).alias("event"),
-    ).select("key", "topic", "partition", "offset", "recordTimestamp", "event.*")
+    ).select(*ORIGIN, "event.*")
 
 
 def known_correlation_id() -> Column:
-    claimed = F.col("claimedCorrelationId")
-    return F.when(is_blank(claimed), F.lit("UNKNOWN")).otherwise(claimed)
+    return F.expr(f"CASE WHEN {is_blank('claimedCorrelationId')} THEN 'UNKNOWN' ELSE claimedCorrelationId END")
 
 
 def dead_letter(
@@ -86,9 +85,9 @@ def dead_letters(
 ) -> DataFrame:
     """Rejected rows as dead letters."""
     return validated.filter(~F.col("valid")).select(
-        "key", "topic", "partition", "offset", "recordTimestamp",
+        *ORIGIN,
         dead_letter(config, as_of, attempt).alias("letter"),
-    ).select("key", "topic", "partition", "offset", "recordTimestamp", "letter.*")
+    ).select(*ORIGIN, "letter.*")
 
 
 def acknowledgements(
@@ -97,7 +96,7 @@ def acknowledgements(
     """One answer per body: ACCEPTED with topic, schema and time, or REJECTED with the errors."""
     accepted = F.col("valid")
     return validated.select(
-        "key", "topic", "partition", "offset", "recordTimestamp",
+        *ORIGIN,
         F.struct(
             F.when(accepted, F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")).alias("status"),
             F.when(accepted, F.col("record.correlationId"))

@@ -6,13 +6,11 @@ Numbers and times may come quoted, so leaves are read as text and cast with
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import BridgeConfig
-from pulsegrid.functions.scalar import is_blank, origin_id
+from pulsegrid.functions.scalar import is_blank, origin_id, quoted, texts
 from pulsegrid.operators.validate import STRICT_JSON
 from pulsegrid.schemas import ORIGIN, STATUS_TELEMETRY, STREAM_TELEMETRY
 
@@ -25,39 +23,33 @@ MICROS_PER = {"millis": 1_000, "seconds": 1_000_000}
 
 def parse_status(topic: DataFrame, *, strict: bool = True, numeric_time: str = "millis") -> DataFrame:
     """Status-profile telemetry; with ``strict`` an unknown field makes a record unusable."""
-    texts = ("correlationId", "equipmentId", "equipmentType", "schemaVersion")
     rows = _decode(topic, STATUS_TELEMETRY, with_keys=strict)
-    checks = [_text_ok(name) for name in texts] + [
-        _time_ok(numeric_time), _number_ok("temperature"), _number_ok("pressure"), _codes_ok(),
-        F.coalesce(F.expr("schema_of_variant(metadata)").rlike("^(OBJECT|VOID)"), F.lit(True)),
-    ]
+    checks = [_text_ok(name) for name in ("correlationId", "equipmentId", "equipmentType", "schemaVersion")]
+    checks += _measurement_checks(numeric_time)
+    checks.append("coalesce(schema_of_variant(metadata) RLIKE '^(OBJECT|VOID)', true)")
     if strict:
-        unknown = F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in STATUS_TELEMETRY])))
-        checks.append(unknown == 0)
-    return _finish(rows, checks, numeric_time).select(
-        *ORIGIN, "correlationId", "equipmentId", "equipmentType", "timestamp", "temperature",
-        "pressure", "errorCodes", "metadata", "schemaVersion", "parsed",
+        checks.append(f"size(array_except(_keys, {texts(STATUS_TELEMETRY)})) = 0")
+    return rows.selectExpr(
+        *ORIGIN, "correlationId", "equipmentId", "equipmentType", f"{_instant(numeric_time)} AS timestamp",
+        *_measurements(), "errorCodes", "metadata", "schemaVersion", f"{_all(checks)} AS parsed",
     )
 
 
 def parse_stream(topic: DataFrame, *, numeric_time: str = "millis") -> DataFrame:
     """Stream-profile telemetry with its defaults; unknown fields do not matter."""
-    texts = ("eventId", "equipmentId", "correlationId")
     rows = _decode(topic, STREAM_TELEMETRY)
-    version = _int_version()
-    checks = [_text_ok(name) for name in texts] + [
-        _time_ok(numeric_time), _number_ok("temperature"), _number_ok("pressure"), _codes_ok(),
-        _is_empty("schemaVersion") | version.isNotNull(),
-    ]
-    return _finish(rows, checks, numeric_time, schemaVersion=version).select(
+    checks = [_text_ok(name) for name in ("eventId", "equipmentId", "correlationId")]
+    checks += _measurement_checks(numeric_time)
+    checks.append(f"({_is_empty('schemaVersion')} OR {_int_version()} IS NOT NULL)")
+    return rows.selectExpr(
         *ORIGIN,
-        F.coalesce("eventId", origin_id("telemetry")).alias("eventId"),
+        f"coalesce(eventId, {origin_id('telemetry')}) AS eventId",
         "equipmentId", "correlationId",
-        F.coalesce("timestamp", "recordTimestamp").alias("timestamp"),
-        "temperature", "pressure",
-        F.coalesce("errorCodes", F.array().cast("array<string>")).alias("errorCodes"),
-        F.coalesce("schemaVersion", F.lit(1)).alias("schemaVersion"),
-        "parsed",
+        f"coalesce({_instant(numeric_time)}, recordTimestamp) AS timestamp",
+        *_measurements(),
+        f"coalesce(errorCodes, {texts([])}) AS errorCodes",
+        f"coalesce({_int_version()}, 1) AS schemaVersion",
+        f"{_all(checks)} AS parsed",
     )
 
 
@@ -88,7 +80,7 @@ def bridge(enriched: DataFrame, config: BridgeConfig = BridgeConfig()) -> DataFr
     empty = F.array().cast("array<string>")
     return enriched.select(
         *ORIGIN,
-        origin_id("telemetry").alias("eventId"),
+        F.expr(origin_id("telemetry")).alias("eventId"),
         "equipmentId", "correlationId",
         F.lit(None).cast("string").alias("equipmentType"),
         # A valid long may lie outside the range of timestamps; that gives null.
@@ -112,65 +104,54 @@ def _decode(topic: DataFrame, names: tuple[str, ...], *, with_keys: bool = False
     return topic.select(*origin, *keys, F.inline(F.array(F.from_json("value", layout, STRICT_JSON))))
 
 
-def _finish(rows: DataFrame, checks: list[Column], numeric_time: str, **typed: Column) -> DataFrame:
+def _all(checks: list[str]) -> str:
     # Blank text decodes to nothing and other text that is no object to _corrupt.
-    checks = [~is_blank(F.col("value")), F.col("_corrupt").isNull(), *checks]
-    return rows.withColumns({
-        "parsed": F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False)),
-        "timestamp": _instant(numeric_time),
-        "temperature": F.col("temperature").try_cast("double"),
-        "pressure": F.col("pressure").try_cast("double"),
-        **typed,
-    })
+    return "coalesce(" + " AND ".join([f"NOT {is_blank('value')}", "_corrupt IS NULL", *checks]) + ", false)"
 
 
-def _is_empty(name: str) -> Column:
-    return F.col(name).isNull() | (F.trim(F.col(name)) == "")
+def _measurements() -> list[str]:
+    return [f"try_cast({name} AS DOUBLE) AS {name}" for name in ("temperature", "pressure")]
 
 
-def _number_ok(name: str) -> Column:
-    return _is_empty(name) | F.col(name).try_cast("double").isNotNull()
+def _measurement_checks(numeric_time: str) -> list[str]:
+    numbers = [f"({_is_empty(n)} OR try_cast({n} AS DOUBLE) IS NOT NULL)" for n in ("temperature", "pressure")]
+    return [f"({_is_empty('timestamp')} OR {_instant(numeric_time)} IS NOT NULL)", *numbers, _codes_ok()]
 
 
-def _instant(numeric_time: str) -> Column:
-    """ISO text, or an epoch number in the given unit (quoted or not)."""
-    text, factor = F.col("timestamp"), MICROS_PER[numeric_time]
-    micros = text.try_cast("decimal(38,9)") * F.lit(factor).cast("decimal(10,0)")
-    # Out-of-range numbers give null instead of failing the job.
-    return (
-        F.when(text.rlike(ISO_INSTANT), text.try_cast("timestamp"))
-        .when(text.rlike(NUMBER), F.timestamp_micros(micros.try_cast("bigint")))
-    )
+def _is_empty(name: str) -> str:
+    return f"({name} IS NULL OR trim({name}) = '')"
 
 
-def _time_ok(numeric_time: str) -> Column:
-    return _is_empty("timestamp") | _instant(numeric_time).isNotNull()
+def _instant(numeric_time: str) -> str:
+    """ISO text, or an epoch number in the given unit (quoted or not)."""
+    # Out-of-range numbers give null instead of failing the job.
+    micros = f"try_cast(try_cast(timestamp AS DECIMAL(30,9)) * {MICROS_PER[numeric_time]} AS BIGINT)"
+    return f"""CASE WHEN timestamp RLIKE {quoted(ISO_INSTANT)} THEN try_cast(timestamp AS TIMESTAMP)
+        WHEN timestamp RLIKE {quoted(NUMBER)} THEN timestamp_micros({micros}) END"""
 
 
-def _int_version() -> Column:
+def _int_version() -> str:
     """An int, a quoted int, or a number that is cut to an int."""
-    text = F.col("schemaVersion")
     # Only a version that is no plain int is looked at again: 1.0 will do, "1.0" will not.
-    kind = F.expr("schema_of_variant(try_variant_get(try_parse_json(value), '$.schemaVersion', 'variant'))")
-    number = F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), text.try_cast("double"))
-    return F.coalesce(text.try_cast("int"), number.try_cast("int"))
+    return f"""coalesce(try_cast(schemaVersion AS INT), CASE WHEN schemaVersion IS NOT NULL
+        AND {_kind_of('schemaVersion')} RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)'
+        THEN try_cast(try_cast(schemaVersion AS DOUBLE) AS INT) END)"""
+
 
+def _kind_of(name: str) -> str:
+    return f"schema_of_variant(try_variant_get(try_parse_json(value), '$.{name}', 'variant'))"
 
-def _text_ok(name: str) -> Column:
+
+def _text_ok(name: str) -> str:
     """A text leaf must hold a scalar; an object or array would arrive as its JSON text.
 
     Text may start with a bracket as well, so only then the type is looked up.
     """
-    text = F.col(name)
-    kind = F.expr(f"schema_of_variant(try_variant_get(try_parse_json(value), '$.{name}', 'variant'))")
-    looks_nested = F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))
-    return F.when(looks_nested, ~kind.rlike("^(OBJECT|ARRAY)")).otherwise(F.lit(True))
+    return f"""CASE WHEN startswith({name}, '{{') OR startswith({name}, '[')
+        THEN NOT {_kind_of(name)} RLIKE '^(OBJECT|ARRAY)' ELSE true END"""
 
 
-def _codes_ok() -> Column:
-    nested = F.expr(
-        "exists(try_variant_get(try_parse_json(value), '$.errorCodes', 'array<variant>'),"
-        " c -> schema_of_variant(c) rlike '^(OBJECT|ARRAY)')"
-    )
-    looks_nested = F.coalesce(F.array_join("errorCodes", " ").rlike(r"[\[{]"), F.lit(False))
-    return F.when(looks_nested, ~F.coalesce(nested, F.lit(False))).otherwise(F.lit(True))
+def _codes_ok() -> str:
+    return """CASE WHEN array_join(errorCodes, ' ') RLIKE '[\\\\[{]' THEN NOT coalesce(
+        exists(try_variant_get(try_parse_json(value), '$.errorCodes', 'array<variant>'),
+          c -> schema_of_variant(c) RLIKE '^(OBJECT|ARRAY)'), false) ELSE true END"""

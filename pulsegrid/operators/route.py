@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig, TopicConfig
-from pulsegrid.functions.scalar import iso_utc
+from pulsegrid.functions.scalar import iso_utc, pinned
 from pulsegrid.operators import enrich, rules_stream
 from pulsegrid.schemas import ORIGIN, STATUS_HEALTH, STREAM_ALERT, STREAM_HEALTH
 
@@ -16,25 +16,21 @@ INSTANTS = ("timestamp", "telemetryTimestamp", "processedAt")
 
 def critical_only(health: DataFrame) -> DataFrame:
     """Rows of the status profile that also go to the alert topic."""
-    return health.filter(is_alert())
+    return health.select("*", pinned(is_alert()).alias("_alert")).filter("_alert").drop("_alert")
 
 
 def is_alert() -> Column:
-    return F.col("isCritical") | (F.col("severity") == "CRITICAL")
+    return F.expr("isCritical OR severity = 'CRITICAL'")
 
 
 def branch() -> Column:
     """The one branch a row belongs to; the first match wins."""
-    return (
-        F.when(F.col("severity") == "CRITICAL", F.lit("critical"))
-        .when(F.col("severity") == "WARNING", F.lit("warning"))
-        .otherwise(F.lit("healthy"))
-    )
+    return F.expr("CASE severity WHEN 'CRITICAL' THEN 'critical' WHEN 'WARNING' THEN 'warning' ELSE 'healthy' END")
 
 
 def split(health: DataFrame) -> dict[str, DataFrame]:
     """Three branches that exclude each other and leave nothing out."""
-    named = health.withColumn("branch", branch())
+    named = health.select("*", pinned(branch()).alias("branch"))
     return {name: named.filter(F.col("branch") == name) for name in ("critical", "warning", "healthy")}
 
 

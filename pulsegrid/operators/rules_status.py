@@ -7,47 +7,47 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import STATUS_PROFILE, HealthConfig
 from pulsegrid.functions.scalar import (
-    contains_any, count_of, integer_div, keep_only, truncate, without_nan,
+    contains_any, count_of, double, fixed, keep_only, quoted, quotient, texts, truncated,
 )
+from pulsegrid.schemas import ORIGIN
 
 SCHEMA_VERSION = "1.0.0"
 
 
-def temperature_score(temperature: Column, config: HealthConfig = STATUS_PROFILE) -> Column:
+def temperature_score(config: HealthConfig = STATUS_PROFILE, t: str = "temperature") -> str:
     """100 when unknown or fine, 0 from the critical threshold on, 50 falling to 0 in between."""
-    t = without_nan(temperature)
     warning, critical = config.temperature_warning, config.temperature_critical
-    score = F.when(t >= critical, F.lit(0))
-    if critical > warning:
-        score = score.when(t >= warning, _band(t - warning, critical - warning))
-    return score.otherwise(F.lit(100))
+    return f"""CASE WHEN isnan({t}) THEN 100
+        WHEN {t} >= {double(critical)} THEN 0
+        {_band(f"{t} >= {double(warning)}", f"{t} - {double(warning)}", critical - warning)}
+        ELSE 100 END"""
 
 
-def pressure_score(pressure: Column, config: HealthConfig = STATUS_PROFILE) -> Column:
+def pressure_score(config: HealthConfig = STATUS_PROFILE, p: str = "pressure") -> str:
     """As the temperature score, with a band on either side; the low side is looked at first."""
-    p = without_nan(pressure)
     low, high = config.pressure_warning_low, config.pressure_warning_high
     bottom, top = config.pressure_critical_low, config.pressure_critical_high
-    score = F.when((p <= bottom) | (p >= top), F.lit(0))
-    if low > bottom:
-        score = score.when(p <= low, _band(F.lit(low) - p, low - bottom))
-    if top > high:
-        score = score.when(p >= high, _band(p - high, top - high))
-    return score.otherwise(F.lit(100))
+    return f"""CASE WHEN isnan({p}) THEN 100
+        WHEN {p} <= {double(bottom)} OR {p} >= {double(top)} THEN 0
+        {_band(f"{p} <= {double(low)}", f"{double(low)} - {p}", low - bottom)}
+        {_band(f"{p} >= {double(high)}", f"{p} - {double(high)}", top - high)}
+        ELSE 100 END"""
 
 
-def _band(distance: Column, width: float) -> Column:
-    return truncate(F.lit(50) * (F.lit(1) - distance / F.lit(width)))
+def _band(condition: str, distance: str, width: float) -> str:
+    """The branch for a warning band. One without width cannot be reached and is left out."""
+    if width <= 0:
+        return ""
+    score = truncated(f"50D * (1D - ({distance}) / {double(width)})")
+    return f"WHEN {condition} THEN {score}"
 
 
-def error_score(codes: Column, config: HealthConfig = STATUS_PROFILE) -> Column:
+def error_score(config: HealthConfig = STATUS_PROFILE, codes: str = "errorCodes") -> str:
     """0 with a critical code, else 15 points less per warning code but never under 30."""
     warnings = count_of(codes, _only_warning(config))
-    return (
-        F.when(contains_any(codes, config.critical_codes), F.lit(0))
-        .when(warnings > 0, F.greatest(F.lit(30), F.lit(100) - warnings * 15))
-        .otherwise(F.lit(100))
-    )
+    return f"""CASE WHEN {contains_any(codes, config.critical_codes)} THEN 0
+        WHEN {warnings} > 0 THEN greatest(30, 100 - 15 * ({warnings}))
+        ELSE 100 END"""
 
 
 def _only_warning(config: HealthConfig) -> tuple[str, ...]:
@@ -55,88 +55,66 @@ def _only_warning(config: HealthConfig) -> tuple[str, ...]:
 
 
 def health_score(
-    temperature: Column, pressure: Column, error: Column, config: HealthConfig = STATUS_PROFILE,
-) -> Column:
+    config: HealthConfig = STATUS_PROFILE, t: str = "temperatureScore", p: str = "pressureScore",
+    e: str = "errorCodeScore",
+) -> str:
     """The weighted mean of the three scores, divided once and cut to an int."""
-    weighted = (
-        temperature * config.temperature_weight
-        + pressure * config.pressure_weight
-        + error * config.error_weight
-    )
-    return integer_div(weighted, config.total_weight)
+    weighted = f"{t} * {config.temperature_weight} + {p} * {config.pressure_weight} + {e} * {config.error_weight}"
+    return quotient(weighted, config.total_weight)
 
 
 def is_critical(
-    temperature: Column, pressure: Column, error: Column, codes: Column,
-    config: HealthConfig = STATUS_PROFILE,
-) -> Column:
-    return (
-        (temperature == 0) | (pressure == 0) | (error == 0)
-        | contains_any(codes, config.critical_codes)
-    )
+    config: HealthConfig = STATUS_PROFILE, t: str = "temperatureScore", p: str = "pressureScore",
+    e: str = "errorCodeScore", codes: str = "errorCodes",
+) -> str:
+    return f"({t} = 0 OR {p} = 0 OR {e} = 0 OR {contains_any(codes, config.critical_codes)})"
 
 
-def severity(score: Column, critical: Column) -> Column:
-    return (
-        F.when(critical | (score < 30), F.lit("CRITICAL"))
-        .when(score < 70, F.lit("WARNING"))
-        .otherwise(F.lit("HEALTHY"))
-    )
+def severity(score: str = "healthScore", critical: str = "isCritical") -> str:
+    return f"""CASE WHEN {critical} OR {score} < 30 THEN 'CRITICAL'
+        WHEN {score} < 70 THEN 'WARNING' ELSE 'HEALTHY' END"""
 
 
 def violations(
-    temperature: Column, pressure: Column, codes: Column, config: HealthConfig = STATUS_PROFILE,
-) -> Column:
+    config: HealthConfig = STATUS_PROFILE, t: str = "temperature", p: str = "pressure", codes: str = "errorCodes",
+) -> str:
     """The texts of what went wrong: temperature, pressure, then codes in their own order."""
-    none = F.array().cast("array<string>")
-    t, p, c = without_nan(temperature), without_nan(pressure), config
-    hot = F.when(t >= c.temperature_critical, _message(
-        "CRITICAL: Temperature %.2f°C exceeds critical threshold %.2f°C", t, c.temperature_critical)
-    ).when(t >= c.temperature_warning, _message(
-        "WARNING: Temperature %.2f°C exceeds warning threshold %.2f°C", t, c.temperature_warning)
-    ).otherwise(none)
-    press = F.when(p <= c.pressure_critical_low, _message(
-        "CRITICAL: Pressure %.2f below critical low threshold %.2f", p, c.pressure_critical_low)
-    ).when(p >= c.pressure_critical_high, _message(
-        "CRITICAL: Pressure %.2f exceeds critical high threshold %.2f", p, c.pressure_critical_high)
-    ).when(p <= c.pressure_warning_low, _message(
-        "WARNING: Pressure %.2f below warning low threshold %.2f", p, c.pressure_warning_low)
-    ).when(p >= c.pressure_warning_high, _message(
-        "WARNING: Pressure %.2f exceeds warning high threshold %.2f", p, c.pressure_warning_high)
-    ).otherwise(none)
+    c = config
     known = (*c.critical_codes, *_only_warning(c))
-    listed = F.transform(
-        keep_only(codes, known),
-        lambda code: F.concat(
-            F.when(code.isin(*c.critical_codes), F.lit("CRITICAL")).otherwise(F.lit("WARNING")),
-            F.lit(": Error code "), code, F.lit(" detected"),
-        ),
-    )
-    return F.concat(hot, press, F.when(contains_any(codes, known), listed).otherwise(none))
-
-
-def _message(template: str, value: Column, threshold: float) -> Column:
-    return F.array(F.format_string(template, value, F.lit(threshold)))
+    label = f"CASE WHEN {contains_any('array(e)', c.critical_codes)} THEN 'CRITICAL' ELSE 'WARNING' END"
+    return f"""concat(
+        CASE WHEN isnan({t}) THEN {texts([])}
+          {_violation(f"{t} >=", c.temperature_critical, "CRITICAL: Temperature {}°C exceeds critical threshold {}°C", t)}
+          {_violation(f"{t} >=", c.temperature_warning, "WARNING: Temperature {}°C exceeds warning threshold {}°C", t)}
+          ELSE {texts([])} END,
+        CASE WHEN isnan({p}) THEN {texts([])}
+          {_violation(f"{p} <=", c.pressure_critical_low, "CRITICAL: Pressure {} below critical low threshold {}", p)}
+          {_violation(f"{p} >=", c.pressure_critical_high, "CRITICAL: Pressure {} exceeds critical high threshold {}", p)}
+          {_violation(f"{p} <=", c.pressure_warning_low, "WARNING: Pressure {} below warning low threshold {}", p)}
+          {_violation(f"{p} >=", c.pressure_warning_high, "WARNING: Pressure {} exceeds warning high threshold {}", p)}
+          ELSE {texts([])} END,
+        CASE WHEN {contains_any(codes, known)}
+          THEN transform({keep_only(codes, known)}, e -> concat({label}, ': Error code ', e, ' detected'))
+          ELSE {texts([])} END)"""
+
+
+def _violation(comparison: str, threshold: float, template: str, value: str) -> str:
+    """A branch with its message; value and threshold are shown with two decimals."""
+    before, between, after = (quoted(part) for part in template.split("{}"))
+    message = f"concat({before}, {fixed(value, 2)}, {between}, {fixed(double(threshold), 2)}, {after})"
+    return f"WHEN {comparison} {double(threshold)} THEN array({message})"
 
 
 def score(df: DataFrame, config: HealthConfig = STATUS_PROFILE) -> DataFrame:
     """Telemetry columns plus scores, criticality, severity and violations; no shuffle."""
-    t, p, codes = F.col("temperature"), F.col("pressure"), F.col("errorCodes")
-    parts = (F.col("temperatureScore"), F.col("pressureScore"), F.col("errorCodeScore"))
     return (
         df.withColumns({
-            "temperatureScore": temperature_score(t, config),
-            "pressureScore": pressure_score(p, config),
-            "errorCodeScore": error_score(codes, config),
-        })
-        .withColumns({
-            "healthScore": health_score(*parts, config),
-            "isCritical": is_critical(*parts, codes, config),
-        })
-        .withColumns({
-            "severity": severity(F.col("healthScore"), F.col("isCritical")),
-            "violations": violations(t, p, codes, config),
+            "temperatureScore": F.expr(temperature_score(config)),
+            "pressureScore": F.expr(pressure_score(config)),
+            "errorCodeScore": F.expr(error_score(config)),
         })
+        .withColumns({"healthScore": F.expr(health_score(config)), "isCritical": F.expr(is_critical(config))})
+        .withColumns({"severity": F.expr(severity()), "violations": F.expr(violations(config))})
     )
 
 
@@ -144,9 +122,8 @@ def evaluate(
     df: DataFrame, config: HealthConfig = STATUS_PROFILE, *, processed_at: Column | None = None,
 ) -> DataFrame:
     """Health records of the status profile next to the origin columns of their telemetry."""
-    scored = score(df, config)
-    return scored.select(
-        *[c for c in ("key", "topic", "partition", "offset", "recordTimestamp") if c in scored.columns],
+    return score(df, config).select(
+        *ORIGIN,
         "correlationId", "equipmentId", "equipmentType",
         F.col("timestamp").alias("telemetryTimestamp"),
         (F.current_timestamp() if processed_at is None else processed_at).alias("processedAt"),

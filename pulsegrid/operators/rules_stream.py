@@ -7,135 +7,115 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import STREAM_PROFILE, HealthConfig
 from pulsegrid.functions.scalar import (
-    contains_any, count_of, integer_div, keep_only, list_text, origin_id, truncate, without_nan,
+    contains_any, count_of, double, fixed, keep_only, list_text, origin_id, quotient, texts, truncated,
 )
+from pulsegrid.schemas import ORIGIN
 
 SCHEMA_VERSION = 1
+STATUSES = ("temperatureStatus", "pressureStatus", "errorStatus")
 
 
-def temperature_status(temperature: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
-    t = without_nan(temperature)
-    return (
-        F.when(temperature.isNull(), F.lit("UNKNOWN"))
-        .when(t >= config.temperature_critical, F.lit("CRITICAL"))
-        .when(t >= config.temperature_warning, F.lit("WARNING"))
-        .otherwise(F.lit("NORMAL"))
-    )
+def temperature_status(config: HealthConfig = STREAM_PROFILE, t: str = "temperature") -> str:
+    return f"""CASE WHEN {t} IS NULL THEN 'UNKNOWN' WHEN isnan({t}) THEN 'NORMAL'
+        WHEN {t} >= {double(config.temperature_critical)} THEN 'CRITICAL'
+        WHEN {t} >= {double(config.temperature_warning)} THEN 'WARNING' ELSE 'NORMAL' END"""
 
 
-def temperature_score(temperature: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
+def temperature_score(config: HealthConfig = STREAM_PROFILE, t: str = "temperature") -> str:
     """100 outside the bands; 100 falling to 0 inside the warning band; 0 when critical."""
-    t = without_nan(temperature)
     warning, critical = config.temperature_warning, config.temperature_critical
-    result = F.when(t >= critical, F.lit(0))
-    if critical > warning:
-        result = result.when(t >= warning, _band((t - warning) / F.lit(critical - warning)))
-    return result.otherwise(F.lit(100))
+    return f"""CASE WHEN isnan({t}) THEN 100
+        WHEN {t} >= {double(critical)} THEN 0
+        {_band(f"{t} >= {double(warning)}", f"{t} - {double(warning)}", critical - warning)}
+        ELSE 100 END"""
 
 
-def pressure_status(pressure: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
-    p = without_nan(pressure)
-    return (
-        F.when(pressure.isNull(), F.lit("UNKNOWN"))
-        .when((p <= config.pressure_critical_low) | (p >= config.pressure_critical_high), F.lit("CRITICAL"))
-        .when((p <= config.pressure_warning_low) | (p >= config.pressure_warning_high), F.lit("WARNING"))
-        .otherwise(F.lit("NORMAL"))
-    )
+def pressure_status(config: HealthConfig = STREAM_PROFILE, p: str = "pressure") -> str:
+    c = config
+    return f"""CASE WHEN {p} IS NULL THEN 'UNKNOWN' WHEN isnan({p}) THEN 'NORMAL'
+        WHEN {p} <= {double(c.pressure_critical_low)} OR {p} >= {double(c.pressure_critical_high)} THEN 'CRITICAL'
+        WHEN {p} <= {double(c.pressure_warning_low)} OR {p} >= {double(c.pressure_warning_high)} THEN 'WARNING'
+        ELSE 'NORMAL' END"""
 
 
-def pressure_score(pressure: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
-    p = without_nan(pressure)
+def pressure_score(config: HealthConfig = STREAM_PROFILE, p: str = "pressure") -> str:
     low, high = config.pressure_warning_low, config.pressure_warning_high
     bottom, top = config.pressure_critical_low, config.pressure_critical_high
-    result = F.when((p <= bottom) | (p >= top), F.lit(0))
-    if low > bottom:
-        result = result.when(p <= low, _band((F.lit(low) - p) / F.lit(low - bottom)))
-    if top > high:
-        result = result.when(p >= high, _band((p - high) / F.lit(top - high)))
-    return result.otherwise(F.lit(100))
+    return f"""CASE WHEN isnan({p}) THEN 100
+        WHEN {p} <= {double(bottom)} OR {p} >= {double(top)} THEN 0
+        {_band(f"{p} <= {double(low)}", f"{double(low)} - {p}", low - bottom)}
+        {_band(f"{p} >= {double(high)}", f"{p} - {double(high)}", top - high)}
+        ELSE 100 END"""
 
 
-def _band(ratio: Column) -> Column:
-    return F.greatest(F.lit(0), truncate(F.lit(100) - ratio * F.lit(100)))
+def _band(condition: str, distance: str, width: float) -> str:
+    """The branch for a warning band. One without width cannot be reached and is left out."""
+    if width <= 0:
+        return ""
+    score = truncated(f"100D - (({distance}) / {double(width)}) * 100D")
+    return f"WHEN {condition} THEN greatest(0, {score})"
 
 
-def error_status(codes: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
-    return (
-        F.when(contains_any(codes, config.critical_codes), F.lit("CRITICAL"))
-        .when(contains_any(codes, config.warning_codes), F.lit("WARNING"))
-        .otherwise(F.lit("NONE"))
-    )
+def error_status(config: HealthConfig = STREAM_PROFILE, codes: str = "errorCodes") -> str:
+    return f"""CASE WHEN {contains_any(codes, config.critical_codes)} THEN 'CRITICAL'
+        WHEN {contains_any(codes, config.warning_codes)} THEN 'WARNING' ELSE 'NONE' END"""
 
 
-def error_score(codes: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
+def error_score(config: HealthConfig = STREAM_PROFILE, codes: str = "errorCodes") -> str:
     """0 with a critical code, else 25 points less per warning code, down to 0."""
     warnings = count_of(codes, config.warning_codes)
-    return (
-        F.when(contains_any(codes, config.critical_codes), F.lit(0))
-        .when(warnings > 0, F.greatest(F.lit(0), F.lit(100) - warnings * 25))
-        .otherwise(F.lit(100))
-    )
+    return f"""CASE WHEN {contains_any(codes, config.critical_codes)} THEN 0
+        WHEN {warnings} > 0 THEN greatest(0, 100 - 25 * ({warnings}))
+        ELSE 100 END"""
 
 
-def matched_codes(codes: Column, config: HealthConfig = STREAM_PROFILE) -> Column:
+def matched_codes(config: HealthConfig = STREAM_PROFILE, codes: str = "errorCodes") -> str:
     """The critical matches if there are any, else the warning matches, else nothing."""
-    return (
-        F.when(contains_any(codes, config.critical_codes), keep_only(codes, config.critical_codes))
-        .when(contains_any(codes, config.warning_codes), keep_only(codes, config.warning_codes))
-        .otherwise(F.array().cast("array<string>"))
-    )
+    return f"""CASE
+        WHEN {contains_any(codes, config.critical_codes)} THEN {keep_only(codes, config.critical_codes)}
+        WHEN {contains_any(codes, config.warning_codes)} THEN {keep_only(codes, config.warning_codes)}
+        ELSE {texts([])} END"""
 
 
 def health_score(
-    temperature: Column, pressure: Column, error: Column, config: HealthConfig = STREAM_PROFILE,
-) -> Column:
+    config: HealthConfig = STREAM_PROFILE, t: str = "temperatureScore", p: str = "pressureScore",
+    e: str = "errorCodeScore",
+) -> str:
     """Every weighted part is divided by 100 and cut by itself; the sum stays within 0 to 100."""
-    total = (
-        integer_div(temperature * config.temperature_weight, 100)
-        + integer_div(pressure * config.pressure_weight, 100)
-        + integer_div(error * config.error_weight, 100)
-    )
-    return F.greatest(F.lit(0), F.least(F.lit(100), total))
+    parts = [
+        quotient(f"{t} * {config.temperature_weight}", 100),
+        quotient(f"{p} * {config.pressure_weight}", 100),
+        quotient(f"{e} * {config.error_weight}", 100),
+    ]
+    return f"greatest(0, least(100, {' + '.join(parts)}))"
 
 
-def severity(temperature: Column, pressure: Column, error: Column, score: Column) -> Column:
+def severity(score: str = "healthScore", statuses: tuple[str, ...] = STATUSES) -> str:
     """From the three statuses and the score."""
-    statuses = (temperature, pressure, error)
-    any_critical = _any(statuses, "CRITICAL")
-    return (
-        F.when(any_critical | (_how_many(statuses, "WARNING") >= 2) | (score < 40), F.lit("CRITICAL"))
-        .when(_any(statuses, "WARNING"), F.lit("WARNING"))
-        .otherwise(F.lit("HEALTHY"))
-    )
-
-
-def _any(statuses: tuple[Column, ...], status: str) -> Column:
-    first, second, third = (s == status for s in statuses)
-    return first | second | third
+    listed = ", ".join(statuses)
+    return f"""CASE
+        WHEN 'CRITICAL' IN ({listed}) OR {_how_many('WARNING', statuses)} >= 2 OR {score} < 40 THEN 'CRITICAL'
+        WHEN 'WARNING' IN ({listed}) THEN 'WARNING' ELSE 'HEALTHY' END"""
 
 
-def _how_many(statuses: tuple[Column, ...], status: str) -> Column:
-    first, second, third = ((s == status).cast("int") for s in statuses)
-    return first + second + third
+def _how_many(status: str, statuses: tuple[str, ...]) -> str:
+    return "(" + " + ".join(f"CAST({s} = '{status}' AS INT)" for s in statuses) + ")"
 
 
 def score(df: DataFrame, config: HealthConfig = STREAM_PROFILE) -> DataFrame:
     """Telemetry columns plus statuses, scores, severity and the critical flag; no shuffle."""
-    t, p, codes = F.col("temperature"), F.col("pressure"), F.col("errorCodes")
-    statuses = (F.col("temperatureStatus"), F.col("pressureStatus"), F.col("errorStatus"))
-    parts = (F.col("temperatureScore"), F.col("pressureScore"), F.col("errorCodeScore"))
     return (
         df.withColumns({
-            "temperatureStatus": temperature_status(t, config),
-            "pressureStatus": pressure_status(p, config),
-            "errorStatus": error_status(codes, config),
-            "temperatureScore": temperature_score(t, config),
-            "pressureScore": pressure_score(p, config),
-            "errorCodeScore": error_score(codes, config),
+            "temperatureStatus": F.expr(temperature_status(config)),
+            "pressureStatus": F.expr(pressure_status(config)),
+            "errorStatus": F.expr(error_status(config)),
+            "temperatureScore": F.expr(temperature_score(config)),
+            "pressureScore": F.expr(pressure_score(config)),
+            "errorCodeScore": F.expr(error_score(config)),
         })
-        .withColumn("healthScore", health_score(*parts, config))
-        .withColumn("severity", severity(*statuses, F.col("healthScore")))
-        .withColumn("isCritical", F.col("severity") == "CRITICAL")
+        .withColumn("healthScore", F.expr(health_score(config)))
+        .withColumn("severity", F.expr(severity()))
+        .withColumn("isCritical", F.expr("severity = 'CRITICAL'"))
     )
 
 
@@ -143,59 +123,50 @@ def evaluate(
     df: DataFrame, config: HealthConfig = STREAM_PROFILE, *, processed_at: Column | None = None,
 ) -> DataFrame:
     """Health columns of the stream profile beside the measured values the alerts need."""
-    scored = score(df, config)
-    return scored.select(
-        "key", "topic", "partition", "offset", "recordTimestamp",
-        origin_id("health").alias("eventId"),
+    return score(df, config).select(
+        *ORIGIN,
+        F.expr(origin_id("health")).alias("eventId"),
         "equipmentId", "correlationId",
         (F.current_timestamp() if processed_at is None else processed_at).alias("timestamp"),
-        "healthScore", "isCritical", "severity",
-        "temperatureStatus", "pressureStatus", "errorStatus",
+        "healthScore", "isCritical", "severity", *STATUSES,
         F.col("eventId").alias("sourceEventId"),
         F.lit(SCHEMA_VERSION).alias("schemaVersion"),
         "temperature", "pressure", "errorCodes",
     )
 
 
-def alert_type(temperature: Column, pressure: Column, error: Column) -> Column:
+def alert_type(statuses: tuple[str, ...] = STATUSES) -> str:
     """Which dimension is critical; several, or none (two warnings), make a combined alert."""
-    statuses = (temperature, pressure, error)
-    return (
-        F.when(_how_many(statuses, "CRITICAL") > 1, F.lit("COMBINED_CRITICAL"))
-        .when(temperature == "CRITICAL", F.lit("TEMPERATURE_CRITICAL"))
-        .when(pressure == "CRITICAL", F.lit("PRESSURE_CRITICAL"))
-        .when(error == "CRITICAL", F.lit("ERROR_CODE_CRITICAL"))
-        .otherwise(F.lit("COMBINED_CRITICAL"))
-    )
+    temperature, pressure, error = statuses
+    return f"""CASE WHEN {_how_many('CRITICAL', statuses)} > 1 THEN 'COMBINED_CRITICAL'
+        WHEN {temperature} = 'CRITICAL' THEN 'TEMPERATURE_CRITICAL'
+        WHEN {pressure} = 'CRITICAL' THEN 'PRESSURE_CRITICAL'
+        WHEN {error} = 'CRITICAL' THEN 'ERROR_CODE_CRITICAL'
+        ELSE 'COMBINED_CRITICAL' END"""
 
 
-def alert_message() -> Column:
+def alert_message() -> str:
     """The alert text of a health row; names only the critical dimensions, lists all codes."""
-    t, p, codes = F.col("temperature"), F.col("pressure"), F.col("errorCodes")
-
-    def part(status: str, value: Column, text: Column) -> Column:
-        shown = (F.col(status) == "CRITICAL") & value.isNotNull()
-        return F.when(shown, text).otherwise(F.lit(""))
-
-    return F.concat(
-        F.lit("Equipment "), F.coalesce(F.col("equipmentId"), F.lit("null")),
-        F.lit(" in CRITICAL state. Health score: "), F.col("healthScore").cast("string"),
-        part("temperatureStatus", t, F.format_string(". Temperature: %.1f°C", t)),
-        part("pressureStatus", p, F.format_string(". Pressure: %.2f bar", p)),
-        part("errorStatus", codes, F.concat(F.lit(". Error codes: "), list_text(codes))),
-    )
+    return f"""concat(
+        'Equipment ', coalesce(equipmentId, 'null'), ' in CRITICAL state. Health score: ', healthScore,
+        CASE WHEN temperatureStatus = 'CRITICAL' AND temperature IS NOT NULL
+          THEN concat('. Temperature: ', {fixed('temperature', 1)}, '°C') ELSE '' END,
+        CASE WHEN pressureStatus = 'CRITICAL' AND pressure IS NOT NULL
+          THEN concat('. Pressure: ', {fixed('pressure', 2)}, ' bar') ELSE '' END,
+        CASE WHEN errorStatus = 'CRITICAL' AND errorCodes IS NOT NULL
+          THEN concat('. Error codes: ', {list_text('errorCodes')}) ELSE '' END)"""
 
 
 def alert_columns() -> dict[str, Column]:
     """The fields of an alert record, from the columns of a health row."""
     return {
-        "alertId": origin_id("alert"),
+        "alertId": F.expr(origin_id("alert")),
         "equipmentId": F.col("equipmentId"),
         "correlationId": F.col("correlationId"),
         "timestamp": F.col("timestamp"),
-        "alertType": alert_type(F.col("temperatureStatus"), F.col("pressureStatus"), F.col("errorStatus")),
+        "alertType": F.expr(alert_type()),
         "healthScore": F.col("healthScore"),
-        "message": alert_message(),
+        "message": F.expr(alert_message()),
         "temperatureValue": F.col("temperature"),
         "pressureValue": F.col("pressure"),
         "errorCodes": F.col("errorCodes"),
@@ -206,7 +177,4 @@ def alert_columns() -> dict[str, Column]:
 
 def alerts(health: DataFrame) -> DataFrame:
     """Alert records for health rows that are already filtered to the critical branch."""
-    return health.select(
-        "key", "topic", "partition", "offset", "recordTimestamp",
-        *[value.alias(name) for name, value in alert_columns().items()],
-    )
+    return health.select(*ORIGIN, *[value.alias(name) for name, value in alert_columns().items()])

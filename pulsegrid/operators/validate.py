@@ -7,12 +7,12 @@ JSON type of every value, so ``"1"`` and ``1`` stay apart, and a missing field
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
-from pulsegrid.functions.scalar import is_blank
-from pulsegrid.schemas import RAW_CONTRACT, RAW_EVENT, Contract
+from pulsegrid.functions.scalar import is_blank, pinned, quoted, texts
+from pulsegrid.schemas import ORIGIN, RAW_CONTRACT, RAW_EVENT, Contract
 
 EMPTY_BODY = "Request body must not be empty"
 INVALID_JSON = "Invalid JSON: the body is not one well-formed document"
@@ -45,129 +45,120 @@ def validate(
     # inline() keeps the decode in one place: a later filter on a decoded field
     # would otherwise be pushed below a projection and decode the text again.
     rows = bodies.select(*origin, F.inline(F.array(decoded)))
-    rows = rows.withColumns({
-        "_blank": is_blank(F.col("value")),
+    rows = rows.selectExpr(
+        "*",
+        f"{is_blank('value')} AS _blank",
         # Text that is not an object is told apart from broken text only when needed.
-        "_malformed": F.when(F.col("_corrupt").isNotNull(), F.try_parse_json("value").isNull()).otherwise(F.lit(False)),
-        **{_kind(name): F.expr(f"schema_of_variant(`{name}`)") for name in names},
-    })
-    rows = rows.withColumn("errors", _errors(config, contract))
-    unread = F.col("_blank") | F.col("_malformed")
-    version = _as_text("schemaVersion")
-    return rows.select(
-        "key", "topic", "partition", "offset", "recordTimestamp", "value",
-        (F.size("errors") == 0).alias("valid"),
-        "errors",
-        F.when(unread, F.lit(config.default_schema)).otherwise(F.lit(contract.name)).alias("schemaName"),
-        F.when(unread, F.lit(config.default_schema_version))
-        .otherwise(F.coalesce(version, F.lit(config.default_schema_version))).alias("reportedVersion"),
-        F.when(F.size("errors") == 0, _record(contract)).alias("record"),
-        claimed_correlation_id(F.col("value")).alias("claimedCorrelationId"),
-        F.when(unread, F.lit("UNKNOWN"))
-        .otherwise(F.coalesce(_as_text("equipmentId"), F.lit("UNKNOWN"))).alias("claimedEquipmentId"),
+        "CASE WHEN _corrupt IS NOT NULL THEN try_parse_json(value) IS NULL ELSE false END AS _malformed",
+        *[f"schema_of_variant(`{name}`) AS {_kind(name)}" for name in names],
+    ).selectExpr("*", f"{_errors(config, contract)} AS errors")
+    name, version = quoted(config.default_schema), quoted(config.default_schema_version)
+    results = rows.selectExpr(
+        *ORIGIN, "value", "errors",
+        f"CASE WHEN _blank OR _malformed THEN {name} ELSE {quoted(contract.name)} END AS schemaName",
+        f"CASE WHEN _blank OR _malformed THEN {version}"
+        f" ELSE coalesce({_as_text('schemaVersion')}, {version}) END AS reportedVersion",
+        f"CASE WHEN size(errors) = 0 THEN {_record(contract)} END AS record",
+        f"{claimed_correlation_id()} AS claimedCorrelationId",
+        "CASE WHEN _blank OR _malformed THEN 'UNKNOWN'"
+        f" ELSE coalesce({_as_text('equipmentId')}, 'UNKNOWN') END AS claimedEquipmentId",
     )
+    return results.select("*", pinned("size(errors) = 0").alias("valid"))
 
 
 def _kind(name: str) -> str:
-    return f"_kind_{name}"
+    return f"`_kind_{name}`"
 
 
-def _errors(config: IngestConfig, contract: Contract) -> Column:
-    return (
-        F.when(F.col("_blank"), F.array(F.lit(EMPTY_BODY)))
-        .when(F.col("_malformed"), F.array(F.lit(INVALID_JSON)))
-        .when(F.col("_corrupt").isNotNull(), F.array(F.lit(NOT_AN_OBJECT)))
-        .when(_first_mismatch(config, contract).isNotNull(), F.array(_first_mismatch(config, contract)))
-        .otherwise(_semantic_errors(contract))
-    )
-
-
-def _first_mismatch(config: IngestConfig, contract: Contract) -> Column:
-    """The first field, in contract order, that is missing or of the wrong kind."""
-    return F.coalesce(*[_mismatch(name, kind, config) for name, kind in contract.fields])
+def _errors(config: IngestConfig, contract: Contract) -> str:
+    # The first field, in contract order, that is missing or of the wrong kind.
+    mismatch = "coalesce(" + ", ".join(_mismatch(name, kind, config) for name, kind in contract.fields) + ")"
+    return f"""CASE WHEN _blank THEN array({quoted(EMPTY_BODY)})
+        WHEN _malformed THEN array({quoted(INVALID_JSON)})
+        WHEN _corrupt IS NOT NULL THEN array({quoted(NOT_AN_OBJECT)})
+        WHEN {mismatch} IS NOT NULL THEN array({mismatch})
+        ELSE {_semantic_errors(contract)} END"""
 
 
-def _mismatch(name: str, kind: str, config: IngestConfig) -> Column:
-    found = F.col(_kind(name))
+def _mismatch(name: str, kind: str, config: IngestConfig) -> str:
+    found = _kind(name)
     if kind == "string":
-        wrong = found != "STRING"
+        wrong = f"{found} != 'STRING'"
     elif kind == "long":
-        wrong = found != "BIGINT"
+        wrong = f"{found} != 'BIGINT'"
     elif kind == "map<string>":
-        wrong = ~_map_of_strings(name, found)
+        wrong = f"NOT {_map_of_strings(name, found)}"
     else:
-        allowed = ["VOID", "OBJECT<string: STRING>"] + ([] if config.strict_union else ["STRING"])
-        wrong = ~found.isin(allowed)
-    return (
-        F.when(found.isNull(), F.lit(f"SchemaMismatch: field '{name}' is missing"))
-        .when(wrong, F.lit(f"SchemaMismatch: field '{name}' must be of type {kind}"))
-    )
+        plain = "" if config.strict_union else ", 'STRING'"
+        wrong = f"{found} NOT IN ('VOID', 'OBJECT<string: STRING>'{plain})"
+    missing = quoted(f"SchemaMismatch: field '{name}' is missing")
+    mistyped = quoted(f"SchemaMismatch: field '{name}' must be of type {kind}")
+    return f"CASE WHEN {found} IS NULL THEN {missing} WHEN {wrong} THEN {mistyped} END"
 
 
-def _map_of_strings(name: str, found: Column) -> Column:
+def _map_of_strings(name: str, found: str) -> str:
     # Plain keys with text values are told by the type text alone; only other
     # objects are looked at value by value.
-    plain = found.rlike(r"^OBJECT<(\w+: STRING(, )?)*>$")
-    all_text = F.expr(
-        f"forall(map_values(try_variant_get(`{name}`, '$', 'map<string,variant>')),"
-        " v -> schema_of_variant(v) = 'STRING')"
-    )
-    return F.when(plain, F.lit(True)).when(found.startswith("OBJECT<"), all_text).otherwise(F.lit(False))
+    plain = quoted(r"^OBJECT<(\w+: STRING(, )?)*>$")
+    return f"""(CASE WHEN {found} RLIKE {plain} THEN true
+        WHEN startswith({found}, 'OBJECT<') THEN
+          forall(map_values(try_variant_get(`{name}`, '$', 'map<string,variant>')), v -> schema_of_variant(v) = 'STRING')
+        ELSE false END)"""
 
 
-def _semantic_errors(contract: Contract) -> Column:
+def _semantic_errors(contract: Contract) -> str:
     """Every message that applies, in a fixed order."""
-    none = F.array().cast("array<string>")
     checks = []
     for name in REQUIRED_TEXT:
-        blank = is_blank(_text(name)) if name in contract.names else F.lit(True)
-        checks.append(F.when(blank, F.array(F.lit(f"Field '{name}' is required and must be non-blank"))))
+        blank = is_blank(_text(name)) if name in contract.names else "true"
+        checks.append((blank, f"Field '{name}' is required and must be non-blank"))
     for name in REQUIRED:
-        absent = F.col(name).isNull() if name in contract.names else F.lit(True)
-        checks.append(F.when(absent, F.array(F.lit(f"Field '{name}' is required"))))
-    return F.concat(*[c.otherwise(none) for c in checks])
+        absent = f"`{name}` IS NULL" if name in contract.names else "true"
+        checks.append((absent, f"Field '{name}' is required"))
+    none = texts([])
+    return "concat(" + ", ".join(
+        f"CASE WHEN {wrong} THEN array({quoted(message)}) ELSE {none} END" for wrong, message in checks
+    ) + ")"
 
 
-def _text(name: str) -> Column:
-    return F.expr(f"try_variant_get(`{name}`, '$', 'string')")
+def _text(name: str) -> str:
+    return f"try_variant_get(`{name}`, '$', 'string')"
 
 
-def _as_text(name: str) -> Column:
+def _as_text(name: str) -> str:
     """A scalar as text, containers as empty text, a missing or null field as null."""
-    container = F.col(_kind(name)).rlike("^(OBJECT|ARRAY)")
-    return F.when(container, F.lit("")).otherwise(_text(name))
+    return f"CASE WHEN {_kind(name)} RLIKE '^(OBJECT|ARRAY)' THEN '' ELSE {_text(name)} END"
 
 
-def _record(contract: Contract) -> Column:
+def _record(contract: Contract) -> str:
     """The decoded event in the raw layout; fields the contract lacks are null."""
     kinds = dict(contract.fields)
     fields = []
     for field in RAW_EVENT.fields:
-        sql_type = field.dataType.simpleString()
-        if field.name not in kinds:
-            value = F.lit(None).cast(sql_type)
-        elif kinds[field.name] == "optional string":
-            plain = F.when(F.col(_kind(field.name)) == "STRING", _text(field.name))
-            value = F.coalesce(plain, F.expr(f"try_variant_get(`{field.name}`, '$.string', 'string')"))
+        name, sql_type = field.name, field.dataType.simpleString()
+        if name not in kinds:
+            value = f"CAST(NULL AS {sql_type})"
+        elif kinds[name] == "optional string":
+            value = f"""CASE {_kind(name)} WHEN 'VOID' THEN NULL WHEN 'STRING' THEN {_text(name)}
+                ELSE try_variant_get(`{name}`, '$.string', 'string') END"""
         else:
-            value = F.expr(f"try_variant_get(`{field.name}`, '$', '{sql_type}')")
-        fields.append(value.alias(field.name))
-    return F.struct(*fields)
+            value = f"try_variant_get(`{name}`, '$', '{sql_type}')"
+        fields.append(f"'{name}', {value}")
+    return f"named_struct({', '.join(fields)})"
 
 
-def claimed_correlation_id(body: Column) -> Column:
+def claimed_correlation_id(body: str = "value") -> str:
     """The correlation id scanned out of text that may be broken.
 
     After the first ``"correlationId"`` comes the next colon, then the next
     quoted text, whatever it belongs to; without a colon the first quoted text
     of the body counts. UNKNOWN when there is none.
     """
-    mark = F.locate('"correlationId"', body)
-    colon = F.call_function("locate", F.lit(":"), body, mark)
-    start = F.call_function("locate", F.lit('"'), body, colon + 1)
-    end = F.call_function("locate", F.lit('"'), body, start + 1)
-    found = F.when((mark > 0) & (start > 0) & (end > 0), body.substr(start + 1, end - start - 1))
-    return F.coalesce(found, F.lit("UNKNOWN"))
+    colon = f"""locate(':', {body}, locate('"correlationId"', {body}))"""
+    start = f"""locate('"', {body}, {colon} + 1)"""
+    end = f"""locate('"', {body}, {start} + 1)"""
+    return f"""CASE WHEN contains({body}, '"correlationId"') AND {start} > 0 AND {end} > 0
+        THEN substring({body}, {start} + 1, {end} - {start} - 1) ELSE 'UNKNOWN' END"""
 
 
 def latest_contract(registry: DataFrame, subject: str, default: Contract = RAW_CONTRACT) -> Contract:
