@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.sources.topics import envelope, table_files
+from pulsegrid.sources.topics import envelope, spread, table_files
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 TOPIC = "telemetry.raw"
@@ -73,7 +73,7 @@ def _telemetry_json(*, profile: str) -> Column:
 
 def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
     """Clean telemetry JSON, one record per event, in envelope columns."""
-    rows = telemetry(events)
+    rows = telemetry(spread(events, "event_id"))
     return envelope(
         rows, _telemetry_json(profile=profile), key=F.col("key"), topic=TOPIC,
         offset=F.col("offset"), timestamp=F.col("recordTimestamp"),
@@ -82,7 +82,7 @@ def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
 
 def faulty_topic(events: DataFrame, profile: str) -> DataFrame:
     """Telemetry JSON where ``event_id % 25`` damages or varies the record (0 to 19)."""
-    rows = telemetry(events).withColumn("_json", _telemetry_json(profile=profile))
+    rows = telemetry(spread(events, "event_id")).withColumn("_json", _telemetry_json(profile=profile))
     doc, n = F.col("_json"), F.col("offset") % 25
     body = doc.substr(F.lit(1), F.length(doc) - 1)  # without the closing brace
     plus = lambda member: F.concat(body, F.lit("," + member + "}"))
@@ -166,6 +166,6 @@ def ingestion_documents(events: DataFrame) -> DataFrame:
     for i, case in enumerate(variants[1:], start=1):
         chain = chain.when(n % 20 == i, case)
     return envelope(
-        events, chain.otherwise(base), key=F.concat(F.lit("k-"), n), topic="ingest",
+        spread(events, "event_id"), chain.otherwise(base), key=F.concat(F.lit("k-"), n), topic="ingest",
         offset=n, timestamp=F.col("ts"),
     )

@@ -58,6 +58,18 @@ def table_files(
     )
 
 
+def spread(df: DataFrame, order: str) -> DataFrame:
+    """Cut a batch that arrives in fewer pieces than there are cores into even ranges of ``order``.
+
+    One file with one row group is one task, however much JSON work follows.
+    Real topics come in more pieces than that and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartitionByRange(cores, order)
+
+
 def as_envelope(df: DataFrame) -> DataFrame:
     """Cast the six envelope columns to their types; other columns go."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE])
