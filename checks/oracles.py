@@ -364,7 +364,7 @@ ORACLES: dict[str, str] = {
     reported AS originalSchemaVersion, array_to_string(errors, '; ') AS failureReason, 'SCHEMA_VALIDATION' AS failureCode,
     value AS originalPayload, CAST(1 AS INTEGER) AS attemptCount, 'telemetry-ingestion' AS source,
     array_to_string(errors, '; ') AS errors FROM validated WHERE NOT ({VALID})""",
-    "v14_claimed_equipment_id": VALIDATED + """ SELECT "offset", claimed_equipment AS equipmentId FROM validated""",
+    "v14_claimed_equipment_id": VALIDATED + """ SELECT "offset", claimed_equipment AS equipmentId FROM validated WHERE len(errors) > 0""",
     "v15_acknowledgements": VALIDATED + f"""
   SELECT "offset", CASE WHEN {VALID} THEN 'ACCEPTED' ELSE 'REJECTED' END AS status,
     CASE WHEN {VALID} THEN corr ELSE claimed END AS correlationId,

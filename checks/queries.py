@@ -319,7 +319,7 @@ def v08(spark, sf_dir):
 
 @query("v09_claimed_correlation_id")
 def v09(spark, sf_dir):
-    return _validated(spark, sf_dir).select("offset", F.col("claimedCorrelationId").alias("correlationId"))
+    return _bodies(spark, sf_dir).selectExpr("offset", f"{validate.claimed_correlation_id()} AS correlationId")
 
 
 @query("v10_enriched_event")
@@ -365,7 +365,8 @@ def v13(spark, sf_dir):
 
 @query("v14_claimed_equipment_id")
 def v14(spark, sf_dir):
-    return _validated(spark, sf_dir).select("offset", F.col("claimedEquipmentId").alias("equipmentId"))
+    rejected = _validated(spark, sf_dir).filter("NOT valid")
+    return rejected.select("offset", F.col("claimedEquipmentId").alias("equipmentId"))
 
 
 @query("v15_acknowledgements")

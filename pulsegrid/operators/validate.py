@@ -20,6 +20,9 @@ NOT_AN_OBJECT = "SchemaMismatch: expected a JSON object"
 REQUIRED_TEXT = ("equipmentId", "correlationId", "schemaVersion")
 REQUIRED = ("timestamp", "payload")
 
+# The other types a value decoded from JSON can have.
+NOT_STRING = ("VOID", "BOOLEAN", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "OBJECT", "ARRAY", "VARIANT")
+
 # What the ingestion side treats as JSON: the strict grammar, not Spark's lenient default.
 STRICT_JSON = {
     "allowSingleQuotes": "false",
@@ -35,7 +38,7 @@ def validate(
 
     Adds ``valid``, ``errors``, ``schemaName``, ``reportedVersion``, the decoded
     ``record`` (null unless valid), and what a dead letter needs of a rejected
-    body: ``claimedCorrelationId`` and ``claimedEquipmentId``.
+    body: ``claimedCorrelationId`` and ``claimedEquipmentId`` (null if valid).
     """
     # `schemaVersion` and `equipmentId` are reported even if the contract does not list them.
     names = list(dict.fromkeys((*contract.names, "equipmentId", "schemaVersion")))
@@ -59,8 +62,8 @@ def validate(
         f"CASE WHEN _blank OR _malformed THEN {version}"
         f" ELSE coalesce({_as_text('schemaVersion')}, {version}) END AS reportedVersion",
         f"CASE WHEN size(errors) = 0 THEN {_record(contract)} END AS record",
-        f"{claimed_correlation_id()} AS claimedCorrelationId",
-        "CASE WHEN _blank OR _malformed THEN 'UNKNOWN'"
+        f"CASE WHEN size(errors) > 0 THEN {claimed_correlation_id()} END AS claimedCorrelationId",
+        "CASE WHEN size(errors) = 0 THEN NULL WHEN _blank OR _malformed THEN 'UNKNOWN'"
         f" ELSE coalesce({_as_text('equipmentId')}, 'UNKNOWN') END AS claimedEquipmentId",
     )
     return results.select("*", pinned("size(errors) = 0").alias("valid"))
@@ -97,13 +100,13 @@ def _mismatch(name: str, kind: str, config: IngestConfig) -> str:
 
 
 def _map_of_strings(name: str, found: str) -> str:
-    # Plain keys with text values are told by the type text alone; only other
-    # objects are looked at value by value.
-    plain = quoted(r"^OBJECT<(\w+: STRING(, )?)*>$")
-    return f"""(CASE WHEN {found} RLIKE {plain} THEN true
-        WHEN startswith({found}, 'OBJECT<') THEN
-          forall(map_values(try_variant_get(`{name}`, '$', 'map<string,variant>')), v -> schema_of_variant(v) = 'STRING')
-        ELSE false END)"""
+    # The type text of an object names every member's type. If no other type occurs in it,
+    # all members are strings; if one does (maybe only in a key), each value is looked at.
+    other = " OR ".join(f"contains({found}, ': {kind}')" for kind in NOT_STRING)
+    return f"""(CASE WHEN NOT startswith({found}, 'OBJECT<') THEN false
+        WHEN {other} THEN forall(
+          map_values(try_variant_get(`{name}`, '$', 'map<string,variant>')), v -> schema_of_variant(v) = 'STRING')
+        ELSE true END)"""
 
 
 def _semantic_errors(contract: Contract) -> str:
