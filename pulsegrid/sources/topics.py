@@ -95,8 +95,10 @@ def documents(spark: SparkSession, path: str, *, topic: str) -> DataFrame:
 
     The text is kept as it is, since a dead letter must carry the original. The
     file path is the place of a document, so ids are the same on every read.
+    Spark skips files without a byte; a table of bodies keeps empty ones.
     """
-    files = spark.read.option("wholetext", "true").text(path).select("value", "_metadata.file_path", "_metadata.file_modification_time")
+    files = spark.read.text(path, wholetext=True).select(
+        "value", "_metadata.file_path", "_metadata.file_modification_time")
     return envelope(
         files, F.col("value"), key=F.col("file_path"), topic=topic,
         offset=F.xxhash64("file_path"), timestamp=F.col("file_modification_time"),

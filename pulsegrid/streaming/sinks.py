@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from pulsegrid.operators.changes import LOG, status_changes
 from pulsegrid.operators.tables import latest_by_key
+from pulsegrid.sources.topics import spread
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -51,6 +52,13 @@ def messages_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def retained(table: DataFrame, topic: str, days: int, as_of: Column) -> DataFrame:
+    """The messages of a topic that are within its retention; whole day folders are skipped."""
+    oldest = as_of.cast("timestamp") - F.make_dt_interval(F.lit(days))
+    in_topic = table.filter((F.col("topic") == topic) & (F.col("day") >= F.to_date(oldest)))
+    return in_topic.filter(F.col("recordTimestamp") >= oldest)
+
+
 def write_kafka(messages: DataFrame, servers: str) -> None:
     """All topics in one Kafka write, by the ``topic`` column.
 
@@ -84,7 +92,8 @@ def run(
     the checkpoint and repeats at most the last micro-batch.
     """
     return _start(
-        source, lambda batch, batch_id: write_messages(transform(batch), path, batch_id), checkpoint, name, every,
+        source, lambda batch, batch_id: write_messages(transform(spread(batch, "offset")), path, batch_id),
+        checkpoint, name, every,
     )
 
 
@@ -109,7 +118,7 @@ class LatestStatus:
     the other one, so a repeated batch finds its input untouched.
     """
 
-    def __init__(self, transform: Transform, path: str, *, key: str = "equipmentId", chunk_rows: int = 1_000_000):
+    def __init__(self, transform: Transform, path: str, *, key: str = "equipmentId", chunk_rows: int = 20_000_000):
         self.transform, self.path, self.key, self.chunk_rows = transform, path, key, chunk_rows
 
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:

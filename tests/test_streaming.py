@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import changes, route, rules_status, tables
 from pulsegrid.plans import health, ingest
 from pulsegrid.sources import events as ev
-from pulsegrid.sources.topics import file_topic
+from pulsegrid.sources.topics import documents, file_topic
 from pulsegrid.streaming import sinks
 
 AT = "2026-01-01 00:00:00"
@@ -74,6 +74,27 @@ def test_copies_are_dropped_by_place(spark, archive):
     assert sinks.once(messages.unionByName(messages)).count() == messages.count()
 
 
+def test_retention_skips_day_folders(spark, sf_dir, tmp_path):
+    sinks.write_messages(health.status_messages(ev.telemetry_topic(ev.read_events(spark, sf_dir), "status")),
+                         f"{tmp_path}/out", 0)
+    table = sinks.messages_table(spark, f"{tmp_path}/out")
+    kept = sinks.retained(table, "equipment.status", 7, F.lit("2024-01-31 00:00:00"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan and "2024-01-24" in plan.split("PartitionFilters")[1][:200]
+    assert kept.count() == table.filter(
+        "topic = 'equipment.status' AND recordTimestamp >= timestamp'2024-01-24 00:00:00'").count() > 0
+
+
+def test_documents_keep_their_text_and_place(spark, tmp_path):
+    texts = {"a.json": '{"correlationId": "c1",\n "x": 1}', "b.json": " ", "c.json": "{"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    read = lambda: sorted((r.key.rsplit("/", 1)[1], r.value, r.offset)
+                          for r in documents(spark, str(tmp_path), topic="ingest").collect())
+    assert [row[:2] for row in read()] == sorted(texts.items())
+    assert read() == read() and len({row[2] for row in read()}) == 3
+
+
 def test_ingest_stream(spark, sf_dir, tmp_path):
     bodies = lambda streaming: ev.ingestion_documents(ev.read_events(spark, sf_dir, streaming=streaming))
     plan = lambda b: ingest.messages(b, as_of=F.lit(AT).cast("timestamp"))
