@@ -274,25 +274,22 @@ def v04(spark, sf_dir):
     faulty = F.col("value")
     for i, (name, kind) in enumerate(RAW_CONTRACT.fields):
         pattern = rf'"{name}":("[^"]*"|\{{[^}}]*\}}|[^,}}]*)'
-        here = (n % 20 >= 12) & (n % 8 == i)
-        fault = F.floor(n / 8) % 4
-        for case, text in enumerate((None, "null", wrong[kind])):
-            new = F.lit(f'"other":0') if text is None else F.lit(f'"{name}":{text}')
-            faulty = F.when(here & (fault == case), F.regexp_replace(F.col("value"), F.lit(pattern), new)).otherwise(faulty)
-    return validate.validate(_bodies(spark, sf_dir).withColumn("value", faulty)).filter(n % 20 >= 12).select(
-        "offset", "valid", _first_error(),
-    )
+        for case, member in enumerate(('"other":0', f'"{name}":null', f'"{name}":{wrong[kind]}')):
+            here = (n % 8 == i) & (F.floor(n / 8) % 4 == case)
+            faulty = F.when(here, F.regexp_replace("value", pattern, member)).otherwise(faulty)
+    bodies = ev.clean_documents(_events(spark, sf_dir)).withColumn("value", faulty)
+    return validate.validate(bodies).select("offset", "valid", _first_error())
 
 
 @query("v05_required_semantics")
 def v05(spark, sf_dir):
-    """All messages, in order, for one to three blank texts per body."""
+    """All messages, in order, for up to three blank texts per body."""
     n = F.col("offset")
     text = F.col("value")
     for i, name in enumerate(validate.REQUIRED_TEXT):
         blank = F.regexp_replace(text, F.lit(f'"{name}":"[^"]*"'), F.lit(f'"{name}":" \\\\t"'))
         text = F.when(F.floor(n / (2 ** i)) % 2 == 1, blank).otherwise(text)
-    bodies = _bodies(spark, sf_dir).withColumn("value", text).filter(n % 20 >= 12)
+    bodies = ev.clean_documents(_events(spark, sf_dir)).withColumn("value", text)
     return validate.validate(bodies).select("offset", F.array_join("errors", "; ").alias("errors"))
 
 

@@ -123,49 +123,62 @@ def faulty_topic(events: DataFrame, profile: str) -> DataFrame:
 
 def ingestion_documents(events: DataFrame) -> DataFrame:
     """Raw ingestion bodies where ``event_id % 20`` picks one fault (0 to 7, 10, 11) or a variant."""
-    n = F.col("event_id")
-    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     millis = F.unix_millis("ts").cast("string")
-    temperature = F.col("value").cast("decimal(10,2)").cast("string")
-    k_text = _k()
-
-    def document(**parts: Column | None) -> Column:
-        members = {
-            "equipmentId": quoted(_equipment_id()),
-            "timestamp": millis,
-            "payload": _payload(temperature, quoted(k_text)),
-            "correlationId": quoted(F.concat(F.lit("corr-"), n)),
-            "schemaVersion": F.lit('"1.0.0"'),
-            "sourceSystem": quoted(F.concat(F.lit("edge-"), F.col("event_type"))),
-            "metricName": F.lit("null"),
-            "unit": F.lit("null"),
-        }
-        members.update(parts)
-        texts = [F.concat(F.lit(f'"{name}":'), c) for name, c in members.items() if c is not None]
-        return F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}"))
-
-    def _payload(t: Column, k: Column) -> Column:
-        return F.concat(F.lit('{"temperature":"'), t, F.lit('","k":'), k, F.lit("}"))
-
-    base = document()
     variants = [
         F.lit(""),
         F.lit("   "),
-        base.substr(1, 40),
-        document(correlationId=None),
-        document(timestamp=quoted(millis)),
-        document(payload=_payload(temperature, k_text)),
-        document(equipmentId=F.lit('"  "')),
-        document(correlationId=F.lit("null")),
-        document(metricName=F.lit('{"string":"temperature"}'), unit=F.lit('{"string":"C"}')),
-        document(site=F.lit('"F1"')),
-        document(metricName=F.lit('"temperature"')),
-        document(sourceSystem=None),
+        _document().substr(1, 40),
+        _document(correlationId=None),
+        _document(timestamp=_quoted(millis)),
+        _document(payload=_payload(_k())),
+        _document(equipmentId=F.lit('"  "')),
+        _document(correlationId=F.lit("null")),
+        _document(metricName=F.lit('{"string":"temperature"}'), unit=F.lit('{"string":"C"}')),
+        _document(site=F.lit('"F1"')),
+        _document(metricName=F.lit('"temperature"')),
+        _document(sourceSystem=None),
     ]
-    chain = F.when(n % 20 == 0, variants[0])
+    fault = F.col("event_id") % 20
+    chain = F.when(fault == 0, variants[0])
     for i, case in enumerate(variants[1:], start=1):
-        chain = chain.when(n % 20 == i, case)
+        chain = chain.when(fault == i, case)
+    return _bodies(events, chain.otherwise(_document()))
+
+
+def clean_documents(events: DataFrame) -> DataFrame:
+    """Raw ingestion bodies without a fault, one per event."""
+    return _bodies(events, _document())
+
+
+def _bodies(events: DataFrame, value: Column) -> DataFrame:
+    n = F.col("event_id")
     return envelope(
-        spread(events, "event_id"), chain.otherwise(base), key=F.concat(F.lit("k-"), n), topic="ingest",
+        spread(events, "event_id"), value, key=F.concat(F.lit("k-"), n), topic="ingest",
         offset=n, timestamp=F.col("ts"),
     )
+
+
+def _document(**changes: Column | None) -> Column:
+    """The body of an event, member by member; a change to None leaves the member out."""
+    members = {
+        "equipmentId": _quoted(_equipment_id()),
+        "timestamp": F.unix_millis("ts").cast("string"),
+        "payload": _payload(_quoted(_k())),
+        "correlationId": _quoted(F.concat(F.lit("corr-"), F.col("event_id"))),
+        "schemaVersion": F.lit('"1.0.0"'),
+        "sourceSystem": _quoted(F.concat(F.lit("edge-"), F.col("event_type"))),
+        "metricName": F.lit("null"),
+        "unit": F.lit("null"),
+    }
+    members.update(changes)
+    texts = [F.concat(F.lit(f'"{name}":'), c) for name, c in members.items() if c is not None]
+    return F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}"))
+
+
+def _payload(k: Column) -> Column:
+    temperature = F.col("value").cast("decimal(10,2)").cast("string")
+    return F.concat(F.lit('{"temperature":"'), temperature, F.lit('","k":'), k, F.lit("}"))
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as catalogue
-from checks.compare import digest, oracle_connection
+from checks.compare import digest, oracle_connection, type_differences
 
 QUERIES = catalogue.queries()
 ORACLES = catalogue.oracle_sql()
@@ -27,6 +27,7 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     expected = result.fetchall()
     assert rows
     assert sorted(df.columns) == sorted(names)
+    assert type_differences(df, result) == []
     assert len(rows) == len(expected)
     assert digest(df.columns, rows) == digest(names, expected)
 
