@@ -546,7 +546,7 @@ ORACLES["c02_audit_trail"] = f"""
     FROM (SELECT *, unnest(CASE WHEN {VALID} THEN ['VALIDATE'] ELSE ['VALIDATE', 'DEAD_LETTER'] END) AS act FROM validated))
   UNION ALL
   SELECT * FROM ({_status()}
-    SELECT equipmentId, correlationId, act AS action, 'equipment-status-processor' AS actor, 'SUCCESS' AS outcome,
+    SELECT equipmentId, correlationId, act AS action, 'status-profile' AS actor, 'SUCCESS' AS outcome,
       CASE WHEN act = 'EMIT_STATUS' THEN 'equipment.status' ELSE 'equipment.critical-alert' END AS resource, severity AS detail
     FROM (SELECT *, unnest(CASE WHEN severity = 'CRITICAL' THEN ['EMIT_STATUS', 'EMIT_ALERT'] ELSE ['EMIT_STATUS'] END) AS act
           FROM health))"""

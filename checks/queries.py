@@ -678,7 +678,7 @@ def c01_stream(spark, sf_dir):
 @query("c02_audit_trail")
 def c02(spark, sf_dir):
     rows = audit.ingest_audit(_validated(spark, sf_dir)).unionByName(
-        audit.health_audit(_status(spark, sf_dir), "equipment-status-processor"))
+        audit.health_audit(_status(spark, sf_dir), "status-profile"))
     return rows.select(
         "equipmentId", "correlationId", "payload.action", "payload.actor", "payload.outcome", "payload.resource",
         F.coalesce(F.col("payload.details")["errorCount"], F.col("payload.details")["severity"]).alias("detail"))

@@ -65,7 +65,7 @@ class TopicConfig:
 class IngestConfig:
     """Settings of the validate / enrich / dead-letter step."""
 
-    service_name: str = "telemetry-ingestion"
+    service_name: str = "telemetry-ingestion"  # fixed value: part of every published event
     default_schema: str = "RawTelemetryEvent"
     default_schema_version: str = "1.0.0"
     raw_subject: str = "telemetry.raw-value"

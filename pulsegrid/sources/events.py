@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.scalar import quoted, texts
 from pulsegrid.sources.topics import envelope, spread, table_files
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 TOPIC = "telemetry.raw"
 
+# lpad alone would cut ids of more than four digits.
+EQUIPMENT_ID = "concat('EQ-', CASE WHEN user_id < 1000 THEN lpad(CAST(user_id AS STRING), 4, '0') ELSE CAST(user_id AS STRING) END)"
+K = "get_json_object(props, '$.k')"
+NO_CODES = texts([])
+
 
 def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
     return table_files(spark, sf_dir, "events", EVENTS_SCHEMA, streaming=streaming)
@@ -17,45 +23,25 @@ def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) ->
 
 def telemetry(events: DataFrame) -> DataFrame:
     """Typed telemetry rows with their origin columns."""
-    n = F.col("event_id")
-    return events.select(
-        F.concat(F.lit("k-"), n).alias("key"),
-        F.lit(TOPIC).alias("topic"),
-        F.lit(0).alias("partition"),
-        n.alias("offset"),
-        F.col("ts").alias("recordTimestamp"),
-        F.concat(F.lit("evt-"), n).alias("eventId"),
-        _equipment_id().alias("equipmentId"),
-        F.concat(F.lit("corr-"), n).alias("correlationId"),
-        F.col("event_type").alias("equipmentType"),
-        F.col("ts").alias("timestamp"),
-        F.when(n % 29 != 0, F.col("value")).alias("temperature"),
-        F.when(n % 31 != 0, F.lit(0.4) + _k().cast("double") * 0.012).alias("pressure"),
-        _error_codes().alias("errorCodes"),
-    )
-
-
-def _equipment_id() -> Column:
-    digits = F.col("user_id").cast("string")
-    # lpad would cut ids that are longer than four digits.
-    return F.concat(F.lit("EQ-"), F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits))
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k")
-
-
-def _error_codes() -> Column:
-    n, kind = F.col("event_id"), F.col("event_type")
-    texts = lambda *codes: F.array(*[F.lit(c) for c in codes])
-    none = F.array().cast("array<string>")
-    failures = F.array(*[F.lit(c) for c in ("E001", "E002", "E003", "E010", "E020", "E999")])
-    return (
-        F.when(kind == "error", F.array(F.get(failures, (n % 6).cast("int"))))
-        .when(kind == "view", F.when(n % 5 == 0, texts("W001", "W002")).otherwise(none))
-        .when(kind == "click", F.when(n % 7 == 0, texts("W010")).otherwise(none))
-        .when(kind == "purchase", F.when(n % 4 == 0, texts("W001", "W001", "X1")).otherwise(none))
-        .when(kind == "signup", F.when(n % 2 != 0, none))
+    return events.selectExpr(
+        "concat('k-', event_id) AS key",
+        f"{quoted(TOPIC)} AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "ts AS recordTimestamp",
+        "concat('evt-', event_id) AS eventId",
+        f"{EQUIPMENT_ID} AS equipmentId",
+        "concat('corr-', event_id) AS correlationId",
+        "event_type AS equipmentType",
+        "ts AS timestamp",
+        "CASE WHEN event_id % 29 != 0 THEN value END AS temperature",
+        f"CASE WHEN event_id % 31 != 0 THEN 0.4D + CAST({K} AS DOUBLE) * 0.012D END AS pressure",
+        f"""CASE event_type
+            WHEN 'error' THEN array(elt(CAST(event_id % 6 AS INT) + 1, 'E001', 'E002', 'E003', 'E010', 'E020', 'E999'))
+            WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN array('W001', 'W002') ELSE {NO_CODES} END
+            WHEN 'click' THEN CASE WHEN event_id % 7 = 0 THEN array('W010') ELSE {NO_CODES} END
+            WHEN 'purchase' THEN CASE WHEN event_id % 4 = 0 THEN array('W001', 'W001', 'X1') ELSE {NO_CODES} END
+            WHEN 'signup' THEN CASE WHEN event_id % 2 != 0 THEN {NO_CODES} END END AS errorCodes""",
     )
 
 
@@ -65,10 +51,9 @@ def _telemetry_json(*, profile: str) -> Column:
         "status": ("correlationId", "equipmentId", "equipmentType"),
         "stream": ("eventId", "equipmentId", "correlationId"),
     }[profile]
-    fields = [F.col(n) for n in names]
-    fields.append(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"))
-    fields += [F.col("temperature"), F.col("pressure"), F.col("errorCodes")]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
+    record = F.struct(*names, iso, "temperature", "pressure", "errorCodes")
+    return F.to_json(record, {"ignoreNullFields": "false"})
 
 
 def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
@@ -80,69 +65,104 @@ def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
     )
 
 
+def _swap(name: str, text: str) -> str:
+    """The record with another value for one member; ``text`` is SQL."""
+    pattern = quoted(rf'"{name}":("[^"]*"|\[[^\]]*\]|[^,}}]*)')
+    return f"""regexp_replace(doc, {pattern}, concat('"{name}":', {text}))"""
+
+
+def _plus(member: str) -> str:
+    return f"concat(left(doc, length(doc) - 1), ',', {quoted(member)}, '}}')"
+
+
+# What is done to a record, by event_id % 25; from 20 on it stays as it is.
+RECORD_VARIANTS = (
+    "CAST(NULL AS STRING)",
+    "''",
+    "'   '",
+    "'null'",
+    "'[]'",
+    "concat('[', doc, ']')",
+    "'\"text\"'",
+    "left(doc, length(doc) - 5)",
+    "concat(doc, ' tail')",
+    _swap("temperature", "concat('\"', coalesce(CAST(temperature AS STRING), ''), '\"')"),
+    _swap("temperature", "'\"hot\"'"),
+    _swap("equipmentId", "'4711'"),
+    _swap("errorCodes", "'{\"code\":\"E001\"}'"),
+    _plus('"site":"F1"'),
+    _plus('"schemaVersion":"1.0.0"'),
+    _plus('"schemaVersion":1'),
+    _swap("timestamp", "unix_millis(timestamp)"),
+    "concat('{\"equipmentId\":\"', equipmentId, '\"}')",
+    _swap("equipmentId", "'{\"id\":\"EQ\"}'"),
+    _swap("temperature", "'\"\"'"),
+)
+
+
 def faulty_topic(events: DataFrame, profile: str) -> DataFrame:
-    """Telemetry JSON where ``event_id % 25`` damages or varies the record (0 to 19)."""
-    rows = telemetry(spread(events, "event_id")).withColumn("_json", _telemetry_json(profile=profile))
-    doc, n = F.col("_json"), F.col("offset") % 25
-    body = doc.substr(F.lit(1), F.length(doc) - 1)  # without the closing brace
-    plus = lambda member: F.concat(body, F.lit("," + member + "}"))
-    swap = lambda name, text: F.regexp_replace(
-        doc, F.lit(f'"{name}":("[^"]*"|\\[[^\\]]*\\]|[^,}}]*)'), F.concat(F.lit(f'"{name}":'), text)
-    )
-    temperature = F.coalesce(F.col("temperature").cast("string"), F.lit(""))
-    cases = [
-        F.lit(None).cast("string"),
-        F.lit(""),
-        F.lit("   "),
-        F.lit("null"),
-        F.lit("[]"),
-        F.concat(F.lit("["), doc, F.lit("]")),
-        F.lit('"text"'),
-        doc.substr(F.lit(1), F.length(doc) - 5),
-        F.concat(doc, F.lit(" tail")),
-        swap("temperature", F.concat(F.lit('"'), temperature, F.lit('"'))),
-        swap("temperature", F.lit('"hot"')),
-        swap("equipmentId", F.lit("4711")),
-        swap("errorCodes", F.lit('{"code":"E001"}')),
-        plus('"site":"F1"'),
-        plus('"schemaVersion":"1.0.0"'),
-        plus('"schemaVersion":1'),
-        swap("timestamp", F.unix_millis("timestamp").cast("string")),
-        F.concat(F.lit('{"equipmentId":"'), F.col("equipmentId"), F.lit('"}')),
-        swap("equipmentId", F.lit('{"id":"EQ"}')),
-        swap("temperature", F.lit('""')),
-    ]
-    chain = F.when(n == 0, cases[0])
-    for i, case in enumerate(cases[1:], start=1):
-        chain = chain.when(n == i, case)
+    """Telemetry JSON where ``event_id % 25`` damages or varies the record."""
+    rows = telemetry(spread(events, "event_id")).withColumn("doc", _telemetry_json(profile=profile))
+    value = _case("offset % 25", RECORD_VARIANTS, "doc")
     return envelope(
-        rows, chain.otherwise(doc), key=F.col("key"), topic=TOPIC,
+        rows, F.expr(value), key=F.col("key"), topic=TOPIC,
         offset=F.col("offset"), timestamp=F.col("recordTimestamp"),
     )
 
 
+def _case(selector: str, variants: tuple[str, ...], other: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN {variant}" for i, variant in enumerate(variants))
+    return f"CASE {selector} {whens} ELSE {other} END"
+
+
+def _quote(text: str) -> str:
+    return f"concat('\"', {text}, '\"')"
+
+
+def _payload(k: str) -> str:
+    return f"""concat('{{"temperature":"', CAST(value AS DECIMAL(10,2)), '","k":', {k}, '}}')"""
+
+
+MILLIS = "CAST(unix_millis(ts) AS STRING)"
+MEMBERS = {
+    "equipmentId": _quote(EQUIPMENT_ID),
+    "timestamp": MILLIS,
+    "payload": _payload(_quote(K)),
+    "correlationId": _quote("concat('corr-', event_id)"),
+    "schemaVersion": "'\"1.0.0\"'",
+    "sourceSystem": _quote("concat('edge-', event_type)"),
+    "metricName": "'null'",
+    "unit": "'null'",
+}
+
+
+def _document(**changes: str | None) -> str:
+    """The body of an event, member by member; a change to None leaves the member out."""
+    members = {name: text for name, text in {**MEMBERS, **changes}.items() if text is not None}
+    listed = ", ',', ".join(f"""'"{name}":', {text}""" for name, text in members.items())
+    return f"concat('{{', {listed}, '}}')"
+
+
+# The body of an event, by event_id % 20; from 12 on it has no fault.
+BODY_VARIANTS = (
+    "''",
+    "'   '",
+    f"left({_document()}, 40)",
+    _document(correlationId=None),
+    _document(timestamp=_quote(MILLIS)),
+    _document(payload=_payload(K)),
+    _document(equipmentId="'\"  \"'"),
+    _document(correlationId="'null'"),
+    _document(metricName="'{\"string\":\"temperature\"}'", unit="'{\"string\":\"C\"}'"),
+    _document(site="'\"F1\"'"),
+    _document(metricName="'\"temperature\"'"),
+    _document(sourceSystem=None),
+)
+
+
 def ingestion_documents(events: DataFrame) -> DataFrame:
     """Raw ingestion bodies where ``event_id % 20`` picks one fault (0 to 7, 10, 11) or a variant."""
-    millis = F.unix_millis("ts").cast("string")
-    variants = [
-        F.lit(""),
-        F.lit("   "),
-        _document().substr(1, 40),
-        _document(correlationId=None),
-        _document(timestamp=_quoted(millis)),
-        _document(payload=_payload(_k())),
-        _document(equipmentId=F.lit('"  "')),
-        _document(correlationId=F.lit("null")),
-        _document(metricName=F.lit('{"string":"temperature"}'), unit=F.lit('{"string":"C"}')),
-        _document(site=F.lit('"F1"')),
-        _document(metricName=F.lit('"temperature"')),
-        _document(sourceSystem=None),
-    ]
-    fault = F.col("event_id") % 20
-    chain = F.when(fault == 0, variants[0])
-    for i, case in enumerate(variants[1:], start=1):
-        chain = chain.when(fault == i, case)
-    return _bodies(events, chain.otherwise(_document()))
+    return _bodies(events, _case("event_id % 20", BODY_VARIANTS, _document()))
 
 
 def clean_documents(events: DataFrame) -> DataFrame:
@@ -150,35 +170,8 @@ def clean_documents(events: DataFrame) -> DataFrame:
     return _bodies(events, _document())
 
 
-def _bodies(events: DataFrame, value: Column) -> DataFrame:
-    n = F.col("event_id")
+def _bodies(events: DataFrame, value: str) -> DataFrame:
     return envelope(
-        spread(events, "event_id"), value, key=F.concat(F.lit("k-"), n), topic="ingest",
-        offset=n, timestamp=F.col("ts"),
+        spread(events, "event_id"), F.expr(value), key=F.expr("concat('k-', event_id)"), topic="ingest",
+        offset=F.col("event_id"), timestamp=F.col("ts"),
     )
-
-
-def _document(**changes: Column | None) -> Column:
-    """The body of an event, member by member; a change to None leaves the member out."""
-    members = {
-        "equipmentId": _quoted(_equipment_id()),
-        "timestamp": F.unix_millis("ts").cast("string"),
-        "payload": _payload(_quoted(_k())),
-        "correlationId": _quoted(F.concat(F.lit("corr-"), F.col("event_id"))),
-        "schemaVersion": F.lit('"1.0.0"'),
-        "sourceSystem": _quoted(F.concat(F.lit("edge-"), F.col("event_type"))),
-        "metricName": F.lit("null"),
-        "unit": F.lit("null"),
-    }
-    members.update(changes)
-    texts = [F.concat(F.lit(f'"{name}":'), c) for name, c in members.items() if c is not None]
-    return F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}"))
-
-
-def _payload(k: Column) -> Column:
-    temperature = F.col("value").cast("decimal(10,2)").cast("string")
-    return F.concat(F.lit('{"temperature":"'), temperature, F.lit('","k":'), k, F.lit("}"))
-
-
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit('"'), text, F.lit('"'))
