@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.session import work_dir
+
 MAX_BATCH_BYTES = 8 << 20
 
 
@@ -16,20 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder; a lost executor loses nothing of it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession, "lineage"))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends there and a lost executor loses nothing."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def utf8(column: str) -> Column:
@@ -71,3 +63,26 @@ def pieces(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES) -> Iterator[pa.Re
     half = batch.num_rows // 2
     yield from pieces(batch.slice(0, half), most)
     yield from pieces(batch.slice(half), most)
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The runs of equal ``key`` in batches that arrive sorted by it, each run whole.
+
+    Runs must be of bounded size; callers split larger groups beforehand.
+    """
+    import pyarrow.compute as pc
+
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        found = found.combine_chunks()
+        keys = found[key]
+        changed = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)
+        starts = [0, *(changed.nonzero()[0] + 1).tolist()]
+        for a, b in zip(starts, starts[1:]):
+            yield found.slice(a, b - a)
+        rest = found.slice(starts[-1])
+    if rest is not None:
+        yield rest
