@@ -16,7 +16,6 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import map_rows, utf8
 
 #: Entries of the cache of encoded pre-tokens in one worker; it starts anew beyond that.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 #: Longer pre-tokens are not kept in the cache.
 CACHE_LENGTH = 64
 #: White space as the vocabulary's pre-tokeniser understands it (fixed value).
@@ -157,12 +156,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return map_rows(encoded.select("doc_id", "ids"), "doc_id long, ids binary, text string", make)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Token count and digests of what ``decode`` returns."""
-    def work(batch):
-        ids = [x or b"" for x in batch["ids"].to_pylist()]
-        return {"doc_id": batch["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
-                "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in batch["text"].to_pylist()]}
-    return map_rows(decoded.select("doc_id", "ids", "text"),
-                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: work)
+def digests(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Token count, digest of the ids, and digest of the text they decode to, in one pass over the documents."""
+    def make():
+        bpe = coder(path)
+
+        def work(batch):
+            out = {"doc_id": batch["_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            for raw in batch["_text"]:
+                ids = bpe.encode(raw.as_py().decode("utf-8", "replace"))
+                out["n_tokens"].append(len(ids) // 4)
+                out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            return out
+        return work
+    return map_rows(docs.select(F.col(id).cast("long").alias("_id"), utf8(text).alias("_text")),
+                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)

@@ -163,28 +163,35 @@ def bits(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray
     return np.array(out).T.reshape(len(texts), len(model))
 
 
-def predict(docs: DataFrame, model: dict[str, bytes], *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``lang_pred``, ``score`` (lead over the next language, 0 to 1) and ``bits``."""
-    return map_rows(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text")),
-                    "doc_id long, lang_pred string, score double, bits double", _predictor(model, {"doc_id": "_id"}))
+def predict(
+    docs: DataFrame, model: dict[str, bytes], *, id: str = "doc_id", text: str = "text", keep: dict[str, Column] | None = None,
+) -> DataFrame:
+    """One row per document: ``doc_id``, ``lang_pred``, ``score`` (lead over the next language, 0 to 1) and ``bits``.
+
+    ``keep`` names expressions over ``docs`` to pass through.
+    """
+    named = {"doc_id": F.col(id).cast("long"), **(keep or {})}
+    return _annotated(docs.select(*[c.alias(n) for n, c in named.items()], F.col(text).cast("binary").alias("_raw")), model)
 
 
 def judged(docs: DataFrame, model: dict[str, bytes], *, text: str = "text") -> DataFrame:
     """``docs`` with all their columns, plus ``lang_pred``, ``score`` and ``bits`` (which replace columns of these names)."""
-    added = "lang_pred string, score double, bits double"
-    base = docs.drop("lang_pred", "score", "bits")
-    kept = {c: c for c in base.columns}
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
-    return map_rows(base.withColumn("_text", F.col(text).cast("binary")), f"{names}, {added}", _predictor(model, kept))
+    return _annotated(docs.drop("lang_pred", "score", "bits").withColumn("_raw", F.col(text).cast("binary")), model)
+
+
+def _annotated(rows: DataFrame, model: dict[str, bytes]) -> DataFrame:
+    kept = [f for f in rows.schema if f.name != "_raw"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double"])
+    return map_rows(rows, schema, _predictor(model, [f.name for f in kept]))
 
 
-def _predictor(model: dict[str, bytes], kept: dict[str, str]):
+def _predictor(model: dict[str, bytes], kept: list[str]):
     fixed = tuple(sorted(model.items()))
     labels = [label for label, _ in fixed]
 
     def make():
         def work(batch):
-            texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch["_text"].to_pylist()]
+            texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch["_raw"].to_pylist()]
             lettered = [bool(LETTER.search(t)) for t in texts]
             cost = bits([normal(t) if ok else b"" for t, ok in zip(texts, lettered)], fixed)
             langs, scores, best = [], [], []
@@ -196,6 +203,6 @@ def _predictor(model: dict[str, bytes], kept: dict[str, str]):
                 rest = min((float(x) for k, x in enumerate(row) if k != at), default=None)
                 langs.append(labels[at]), best.append(float(row[at]))
                 scores.append(1.0 if rest is None else 1.0 - float(row[at]) / rest if rest > 0 else 0.0)
-            return {out: batch[name] for out, name in kept.items()} | {"lang_pred": langs, "score": scores, "bits": best}
+            return {name: batch[name] for name in kept} | {"lang_pred": langs, "score": scores, "bits": best}
         return work
     return make

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe
+from pulsegrid.llm import bpe, language, simhash
 from pulsegrid.llm.common import table
 
 
@@ -17,12 +17,23 @@ def tokenizer_path() -> str:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs), keep={"held_out": language.held_out()})
+    return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op6_bpe": op6_bpe,
+    "op9_language": op9_language,
 }
 
 ORACLES: dict[str, str] = {}
