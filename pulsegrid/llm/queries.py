@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, language, simhash
+from pulsegrid.llm import bpe, decontaminate, language, pii, simhash
 from pulsegrid.llm.common import table
 
 
@@ -24,6 +25,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.learn(docs), keep={"held_out": language.held_out()})
@@ -32,7 +42,9 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_decontaminate": op3_decontaminate,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op9_language": op9_language,
 }
 
