@@ -157,18 +157,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Token count, digest of the ids, and digest of the text they decode to, in one pass over the documents."""
+    """``ids`` as ``encode`` has them, their count and digest, and the digest of the text they decode to, in one pass."""
     def make():
         bpe = coder(path)
 
         def work(batch):
-            out = {"doc_id": batch["_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"doc_id": batch["_id"], "ids": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             for raw in batch["_text"]:
                 ids = bpe.encode(raw.as_py().decode("utf-8", "replace"))
+                out["ids"].append(ids)
                 out["n_tokens"].append(len(ids) // 4)
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             return out
         return work
     return map_rows(docs.select(F.col(id).cast("long").alias("_id"), utf8(text).alias("_text")),
-                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+                    "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string", make)

@@ -21,6 +21,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,8 @@ ROW_CHARS = 4_000
 SURPLUS = 4
 PIECE = 512
 UNDETERMINED = "und"
+#: Texts of LEAST_CHARS or more that cost over MOST_BITS a byte in every language are in none of them.
+MOST_BITS, LEAST_CHARS = 8.0, 200
 LETTER = regex.compile(r"\p{L}")
 BLANKED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -170,28 +173,41 @@ def predict(
 
     ``keep`` names expressions over ``docs`` to pass through.
     """
-    named = {"doc_id": F.col(id).cast("long"), **(keep or {})}
-    return _annotated(docs.select(*[c.alias(n) for n, c in named.items()], F.col(text).cast("binary").alias("_raw")), model)
+    named = {"doc_id": F.col(id).cast("long"), **(keep or {}), "_text": F.col(text).cast("string")}
+    return _annotated(docs.select(*[c.alias(n) for n, c in named.items()]), model, "_text", drop=True)
 
 
 def judged(docs: DataFrame, model: dict[str, bytes], *, text: str = "text") -> DataFrame:
     """``docs`` with all their columns, plus ``lang_pred``, ``score`` and ``bits`` (which replace columns of these names)."""
-    return _annotated(docs.drop("lang_pred", "score", "bits").withColumn("_raw", F.col(text).cast("binary")), model)
+    return _annotated(docs.drop("lang_pred", "score", "bits"), model, text)
 
 
-def _annotated(rows: DataFrame, model: dict[str, bytes]) -> DataFrame:
-    kept = [f for f in rows.schema if f.name != "_raw"]
+def accepted(
+    docs: DataFrame, model: dict[str, bytes], *, text: str = "text", most_bits: float = MOST_BITS, least_chars: int = LEAST_CHARS,
+) -> DataFrame:
+    """``docs`` without texts of no language: those without a letter, and long ones no learnt language explains.
+
+    A text of ``least_chars`` or more that costs over ``most_bits`` a byte in its best language is dearer than as it stands.
+    """
+    if not model:
+        return docs
+    alien = (F.length(text) >= least_chars) & (F.col("bits") > most_bits)
+    return judged(docs, model, text=text).filter((F.col("lang_pred") != UNDETERMINED) & ~alien).select(*docs.columns)
+
+
+def _annotated(rows: DataFrame, model: dict[str, bytes], text: str, drop: bool = False) -> DataFrame:
+    kept = [f for f in rows.schema if not (drop and f.name == text)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double"])
-    return map_rows(rows, schema, _predictor(model, [f.name for f in kept]))
+    return map_rows(rows, schema, _predictor(model, [f.name for f in kept], text))
 
 
-def _predictor(model: dict[str, bytes], kept: list[str]):
+def _predictor(model: dict[str, bytes], kept: list[str], text: str):
     fixed = tuple(sorted(model.items()))
     labels = [label for label, _ in fixed]
 
     def make():
         def work(batch):
-            texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch["_raw"].to_pylist()]
+            texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch[text].cast(pa.binary()).to_pylist()]
             lettered = [bool(LETTER.search(t)) for t in texts]
             cost = bits([normal(t) if ok else b"" for t, ok in zip(texts, lettered)], fixed)
             langs, scores, best = [], [], []

@@ -150,3 +150,15 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     named = stored(named.join(ids, "root").select("fp", "component_id"), "named")
     return own.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id, repeated rows once.
+
+    A null id counts as a large one made of the text, so it stays only where no other does.
+    """
+    key = F.coalesce(F.col(id).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))
+    keyed = docs.withColumn("_key", key)
+    found = near_duplicates(keyed.select("_key", text), id="_key", text=text, shingle=shingle)
+    first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "first")
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
