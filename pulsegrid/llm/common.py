@@ -17,11 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends there and a lost executor loses nothing."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: its lineage ends there and a lost executor loses nothing.
+
+    The shuffle files behind it are of no more use and are dropped at once, not when the driver happens to
+    collect its garbage.
+    """
+    spark = df.sparkSession
+    path, before = work_dir(spark, purpose), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def utf8(column: str) -> Column:

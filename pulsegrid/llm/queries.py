@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, pii, simhash
+from pulsegrid.llm import bpe, chat, decontaminate, language, pii, simhash, suffixes
 from pulsegrid.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.learn(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.learn(docs), keep={"held_out": language.held_out()})
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
+    "op8_suffixes": op8_suffixes,
     "op9_language": op9_language,
 }
 
