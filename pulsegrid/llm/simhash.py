@@ -8,7 +8,12 @@ most one bit of the next: that is the join key, 26 bits, with the one bit
 flipped from 0 to 1 on one side. The longer chains are checked on the members
 of a key before the full distance is taken.
 
-Documents of the same fingerprint take part once. Keys with many members are
+Several tables of fingerprints can be asked for, each from its own mixing of the
+shingles' hashes: documents then link if one table's differ in at most four bits and
+all tables' together in at most ``most`` bits. One table finds close copies;
+more of them also find looser ones, and the sum keeps chance meetings out.
+
+Documents of the same fingerprints take part once. Keys with many members are
 cut into blocks, and pairs of blocks are compared apart from each other; of a
 block's links only a spanning forest is kept, which leaves components as they are.
 
@@ -38,29 +43,45 @@ LOW = tuple(sum(WIDTHS[:i]) for i in range(5))
 BLOCK = 1024
 
 
-def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text's shingles of words, A-Z lower-cased; 0 without a word."""
+def _mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """The hashes themselves for the first table, another 64 bits of each for the next ones."""
+    if not table:
+        return hashes
+    x = hashes + np.uint64((table * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(raw: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[int]:
+    """The SimHash in each table of a text's shingles of words, A-Z lower-cased; 0 without a word."""
     words = raw.lower().split()
     if not words:
-        return 0
+        return [0] * tables
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(size) - 1
     starts = ends + 1 - size
     n = max(1, len(words) - shingle + 1)
     firsts, lasts = starts[:n].tolist(), ends[-n:].tolist()
-    of, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for k in range(0, n, 1 << 16):
-        hashes = np.fromiter((of(joined[a:b], SEED) for a, b in zip(firsts[k:k + (1 << 16)], lasts[k:k + (1 << 16)])), np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little", signed=True)
-
-
-def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long), one row per document."""
+    of, counts = xxhash.xxh64_intdigest, np.zeros((tables, 64), np.int64)
+    for k in range(0, n, 1 << 14):
+        hashes = np.fromiter((of(joined[a:b], SEED) for a, b in zip(firsts[k:k + (1 << 14)], lasts[k:k + (1 << 14)])), np.uint64)
+        for t in range(tables):
+            bits = np.unpackbits(_mixed(hashes, t).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts[t] += bits.sum(0, dtype=np.int64)
+    packed = np.packbits(2 * counts > n, axis=1, bitorder="little")
+    return packed.view(np.int64).ravel().tolist()
+
+
+def fingerprints(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, tables: int = 1,
+) -> DataFrame:
+    """``doc_id`` and ``fps`` (of each table the 64 bits as a signed long), one row per document."""
     def work(batch):
-        return {"doc_id": batch["_id"], "fp": [fingerprint(x, shingle) for x in batch["_text"].to_pylist()]}
-    return map_rows(docs.select(F.col(id).cast("long").alias("_id"), utf8(text).alias("_text")), "doc_id long, fp long", lambda: work)
+        return {"doc_id": batch["_id"], "fps": [fingerprint(x, shingle, tables) for x in batch["_text"].to_pylist()]}
+    return map_rows(docs.select(F.col(id).cast("long").alias("_id"), utf8(text).alias("_text")),
+                    "doc_id long, fps array<bigint>", lambda: work)
 
 
 def _keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,88 +98,105 @@ def _keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(keys).T, np.array(own)
 
 
-def chains(fps: DataFrame) -> DataFrame:
-    """``key, fp, own`` rows for distinct fingerprints: two linked ones meet under at least one key that one of them owns."""
+def chains(nodes: DataFrame) -> DataFrame:
+    """``key, node, own`` rows for ``node, fps``: two that are close in a table meet under at least one key that one owns."""
     def work(batch):
-        fp = batch["fp"].to_numpy(zero_copy_only=False)
-        keys, own = _keys(fp)
-        real = keys < np.uint64(1 << 40)
-        return {"key": pa.array(keys[real].astype(np.int64)), "fp": pa.array(np.repeat(fp, real.sum(1))),
-                "own": pa.array(np.broadcast_to(own, keys.shape)[real])}
-    return map_rows(fps.select("fp"), "key long, fp long, own boolean", lambda: work)
-
-
-def _forest(fp: np.ndarray, start: int, distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among fingerprints that met at a start of the ring."""
+        node = batch["node"].to_numpy(zero_copy_only=False)
+        fps = np.array(batch["fps"].to_pylist(), dtype=np.int64).reshape(len(node), -1)
+        found = []
+        for t in range(fps.shape[1]):
+            keys, own = _keys(np.ascontiguousarray(fps[:, t]))
+            real = keys < np.uint64(1 << 40)
+            key = keys[real].astype(np.int64) + (t * 5 << 26)
+            found.append((key, np.repeat(node, real.sum(1)), np.broadcast_to(own, keys.shape)[real]))
+        key, node, own = (np.concatenate(x) for x in zip(*found))
+        return {"key": pa.array(key), "node": pa.array(node), "own": pa.array(own)}
+    return map_rows(nodes.select("node", "fps"), "key long, node long, own boolean", lambda: work)
+
+
+def _forest(node: np.ndarray, fps: np.ndarray, ring: int, most: int | None) -> list[tuple[int, int]]:
+    """A spanning forest of the links among nodes that met at one start on one table's ring."""
+    table, start = divmod(ring, 5)
     masks = np.zeros(3, np.uint64)
     for n in range(3):
         for k in range(n + 2):
             j = (start + k) % 5
             masks[n] |= np.uint64(((1 << WIDTHS[j]) - 1) << LOW[j])
-    left, edges = np.unique(fp.view(np.uint64)), []
-    frontier: list[np.uint64] = []
+    node, at = np.unique(node, return_index=True)
+    bits = fps[at].view(np.uint64)
+    one = bits[:, table]
+    left, frontier, edges = np.arange(len(node)), [], []
     while len(left):
         if not frontier:
             frontier.append(left[0])
             left = left[1:]
-        at = frontier.pop()
-        differ = left ^ at
-        near = np.ones(len(left), dtype=bool)
+        k = frontier.pop()
+        differ = one[left] ^ one[k]
+        near = np.arange(len(left))
         for n, mask in enumerate(masks):
-            if distance == DISTANCE:
-                near[near] = np.bitwise_count(differ[near] & mask) <= n + 1
-        near[near] = np.bitwise_count(differ[near]) <= distance
-        if near.any():
+            near = near[np.bitwise_count(differ[near] & mask) <= n + 1]
+        near = near[np.bitwise_count(differ[near]) <= DISTANCE]
+        if most is not None and len(near):
+            near = near[np.bitwise_count(bits[left[near]] ^ bits[k]).sum(1, dtype=np.int64) <= most]
+        if len(near):
             found = left[near]
-            left = left[~near]
-            edges += [(int(at), int(x)) for x in found]
-            frontier += list(found)
+            left = np.delete(left, near)
+            edges += [(int(node[k]), int(node[x])) for x in found]
+            frontier += found.tolist()
     return edges
 
 
-def links(fps: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """Edges ``a, b`` between distinct fingerprints of at most four differing bits; same components as all such pairs."""
-    rows = chains(fps)
+def links(nodes: DataFrame, *, most: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Edges ``a, b`` between linked nodes (``node, fps``, distinct); same components as all linked pairs.
+
+    Linked: at most four differing bits in one table, and ``most`` in all tables together if given.
+    """
+    rows = chains(nodes)
     # Counts first, combined on the map side: keys without a possible pair go, large keys get blocks.
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).filter("n > 1 AND owned")
     met = stored(met.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "keys")
-    members = rows.select("key", "fp").join(met, "key").withColumn(
-        "mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    spread = members.select("key", "fp", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"), "mine")
-    # 29 bits of key and 17 for each block: room for 130 million members of one key.
-    spread = spread.select("fp", F.expr("(key << 34) | (bigint(least(mine, other)) << 17) | greatest(mine, other)").alias("pair"))
+    members = stored(rows.select("key", "node").join(met, "key"), "members").join(nodes.select("node", "fps"), "node")
+    members = members.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = members.select("key", "node", "fps", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"), "mine")
+    # 31 bits of key and 16 for each block: room for 65 million members of one key.
+    spread = spread.select("node", "fps", F.expr("(key << 32) | (bigint(least(mine, other)) << 16) | greatest(mine, other)").alias("pair"))
 
     def run(batches):
         for group in groups(batches, "pair"):
-            fp = group["fp"].to_numpy()
-            if len(fp) > 1:
-                a = _forest(fp, group["pair"][0].as_py() >> 60, DISTANCE)
-                if a:
-                    ends = np.array(a, dtype=np.uint64).view(np.int64)
+            if len(group) > 1:
+                fps = np.array(group["fps"].to_pylist(), dtype=np.int64)
+                found = _forest(group["node"].to_numpy(), fps, group["pair"][0].as_py() >> 58, most)
+                if found:
+                    ends = np.array(found, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
-    return spread.repartition("pair").sortWithinPartitions("pair").mapInArrow(run, "a long, b long")
+    # A set number of tasks: the groups are small in bytes, but each costs comparisons.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spread.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fingerprint, component_id``, one row per document."""
-    own = stored(fingerprints(docs, id=id, text=text, shingle=shingle), "fingerprints")
-    least = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = stored(components(links(least)), "roots")
-    named = least.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+def near_duplicates(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, tables: int = 1, most: int | None = None,
+) -> DataFrame:
+    """``doc_id, fingerprint, component_id``, one row per document; ``fingerprint`` is the first table's."""
+    node = F.col("fps")[0] if tables == 1 else F.xxhash64("fps")
+    own = stored(fingerprints(docs, id=id, text=text, shingle=shingle, tables=tables).withColumn("node", node), "fingerprints")
+    nodes = stored(own.groupBy("node", "fps").agg(F.min("doc_id").alias("first_id")), "nodes")
+    roots = stored(components(links(nodes, most=most)).withColumnRenamed("node", "member"), "roots")
+    named = nodes.join(roots, F.col("node") == F.col("member"), "left").withColumn("root", F.coalesce("root", "node"))
     ids = stored(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "ids")
-    named = stored(named.join(ids, "root").select("fp", "component_id"), "named")
-    return own.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(named.join(ids, "root").select("node", "component_id"), "named")
+    return own.join(named, "node").select(
+        "doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id, repeated rows once.
 
     A null id counts as a large one made of the text, so it stays only where no other does.
     """
     key = F.coalesce(F.col(id).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))
     keyed = docs.withColumn("_key", key)
-    found = near_duplicates(keyed.select("_key", text), id="_key", text=text, shingle=shingle)
+    found = near_duplicates(keyed.select("_key", text), id="_key", text=text, **options)
     first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "first")
     return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

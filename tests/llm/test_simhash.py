@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import simhash
 from pulsegrid.llm.components import components
+from pulsegrid.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, component_id string, fp int"
 
@@ -42,7 +43,7 @@ def brute(fps):
 
 def test_fingerprint():
     for text in ["", " \t\n", "One", "A b  C", "a b c d", "Ä ß a b c d e f\x0bg h   i", "x y z w " * 50]:
-        assert simhash.fingerprint(text.encode()) & (1 << 64) - 1 == plain_fingerprint(text), text
+        assert simhash.fingerprint(text.encode())[0] & (1 << 64) - 1 == plain_fingerprint(text), text
 
 
 def test_documents(spark):
@@ -75,12 +76,52 @@ def test_links_against_all_pairs(spark, rng, block):
             found.add(x)
     fps = {int(np.uint64(x).view(np.int64)): x for x in found}
     want = brute(fps)
-    edges = simhash.links(spark.createDataFrame([(k,) for k in fps], "fp long"), block=block)
+    edges = simhash.links(spark.createDataFrame([(k, [k]) for k in fps], "node long, fps array<bigint>"), block=block)
     assert all((fps[a] ^ fps[b]).bit_count() <= 4 for a, b in edges.collect())
     got = {r.node: r.root for r in components(edges).collect()}
     assert {k: got.get(k, k) for k in fps} == want
 
 
+def test_tables_against_all_pairs(spark, rng):
+    sigs = []
+    for _ in range(10):
+        centre = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+        for _ in range(20):
+            flips = np.packbits(rng.random((3, 64)) < 0.07, axis=1, bitorder="little").view(np.uint64).ravel()
+            sigs.append((centre ^ flips).tolist())
+    nodes = [(i, np.array(x, np.uint64).view(np.int64).tolist()) for i, x in enumerate(sigs)]
+    edges = simhash.links(spark.createDataFrame(nodes, "node long, fps array<bigint>"), most=24, block=8)
+    got = {r.node: r.root for r in components(edges).collect()}
+    root = list(range(len(sigs)))
+    changed = True
+    while changed:
+        changed = False
+        for i, x in enumerate(sigs):
+            for j, y in enumerate(sigs[:i]):
+                d = [(a ^ b).bit_count() for a, b in zip(x, y)]
+                if min(d) <= 4 and sum(d) <= 24 and root[i] != root[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    assert [got.get(i, i) for i in range(len(sigs))] == root and len(set(root)) < len(sigs)
+
+
+def test_one_of_each(spark):
+    base = " ".join(f"word{i}" for i in range(120))
+    rows = [(5, base), (3, base), (3, base), (None, base), (None, "alone"), (None, "alone"), (9, base + " end"), (7, "quite other words"), (8, None)]
+    frame = spark.createDataFrame([(d, t, "x", i) for i, (d, t) in enumerate(rows)], DOCS)
+    kept = simhash.one_of_each(frame, shingle=5, tables=6, most=72)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "alone"), (3, base), (7, "quite other words"), (8, "")]
+
+
+def test_query(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    fps = {k: plain_fingerprint(t) for k, t in docs.items()}
+    rows = QUERIES["op1_simhash"](spark, sf_dir).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {k: (f"{fps[k]:016x}", c) for k, c in brute(fps).items()}
+    assert len(rows) == len(docs)
+
+
 def test_components(spark, rng):
     pairs = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(5, 5), (200, 201), (201, 200)]
     edges = spark.createDataFrame(pairs, "a long, b long").repartition(4, F.rand(1))
