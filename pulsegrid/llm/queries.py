@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, pii, simhash, suffixes
+from pulsegrid.llm import bpe, chat, decontaminate, language, pii, simhash, suffixes, warc
 from pulsegrid.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.union(more)))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"))).drop("url", "payload")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.learn(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": op4_chat,
+    "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
     "op8_suffixes": op8_suffixes,
