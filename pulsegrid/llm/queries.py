@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, pii, simhash, suffixes, warc
+from pulsegrid.llm import bpe, chat, decontaminate, language, mtree, pii, simhash, suffixes, warc
 from pulsegrid.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all rows for every row whose id is divisible by 50."""
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
@@ -60,6 +65,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_mtree": op2_mtree,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": op4_chat,
     "op5_warc": op5_warc,
