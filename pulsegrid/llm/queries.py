@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, mtree, pii, simhash, suffixes, warc
+from pulsegrid.llm import bpe, chat, decontaminate, language, licenses, mtree, pii, simhash, suffixes, warc
 from pulsegrid.llm.common import table
 
 
@@ -63,6 +63,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of their source, a thousand ids to a directory; one that opens with a notice states it for its directory."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.expr("doc_id DIV 1000"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    opens = F.substring_index("text", "\n", 1).rlike(f"(?i){licenses.CUES}")
+    return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=opens, keep=("doc_id",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_mtree": op2_mtree,
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_suffixes": op8_suffixes,
     "op9_language": op9_language,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {}
