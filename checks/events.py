@@ -1,4 +1,4 @@
-"""The ``events`` test table read as telemetry: typed columns, JSON records, ingestion bodies."""
+"""Fixtures: the ``events`` test table as telemetry, JSON records (clean or damaged) and ingestion bodies."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalar import quoted, texts
-from pulsegrid.sources.topics import envelope, spread, table_files
+from pulsegrid.sources.topics import envelope, table_files
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 TOPIC = "telemetry.raw"
@@ -15,6 +15,12 @@ TOPIC = "telemetry.raw"
 EQUIPMENT_ID = "concat('EQ-', CASE WHEN user_id < 1000 THEN lpad(CAST(user_id AS STRING), 4, '0') ELSE CAST(user_id AS STRING) END)"
 K = "get_json_object(props, '$.k')"
 NO_CODES = texts([])
+# The table is one file; its texts are made and read in this many pieces, always.
+PIECES = 8
+
+
+def _pieces(events: DataFrame) -> DataFrame:
+    return events if events.isStreaming else events.repartition(PIECES, "event_id")
 
 
 def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
@@ -58,7 +64,7 @@ def _telemetry_json(*, profile: str) -> Column:
 
 def telemetry_topic(events: DataFrame, profile: str) -> DataFrame:
     """Clean telemetry JSON, one record per event, in envelope columns."""
-    rows = telemetry(spread(events, "event_id"))
+    rows = telemetry(_pieces(events))
     return envelope(
         rows, _telemetry_json(profile=profile), key=F.col("key"), topic=TOPIC,
         offset=F.col("offset"), timestamp=F.col("recordTimestamp"),
@@ -102,7 +108,7 @@ RECORD_VARIANTS = (
 
 def faulty_topic(events: DataFrame, profile: str) -> DataFrame:
     """Telemetry JSON where ``event_id % 25`` damages or varies the record."""
-    rows = telemetry(spread(events, "event_id")).withColumn("doc", _telemetry_json(profile=profile))
+    rows = telemetry(_pieces(events)).withColumn("doc", _telemetry_json(profile=profile))
     value = _case("offset % 25", RECORD_VARIANTS, "doc")
     return envelope(
         rows, F.expr(value), key=F.col("key"), topic=TOPIC,
@@ -172,6 +178,6 @@ def clean_documents(events: DataFrame) -> DataFrame:
 
 def _bodies(events: DataFrame, value: str) -> DataFrame:
     return envelope(
-        spread(events, "event_id"), F.expr(value), key=F.expr("concat('k-', event_id)"), topic="ingest",
+        _pieces(events), F.expr(value), key=F.expr("concat('k-', event_id)"), topic="ingest",
         offset=F.col("event_id"), timestamp=F.col("ts"),
     )

@@ -269,6 +269,12 @@ S07 = _status() + """
   FROM (SELECT 'equipment.status' AS topic, * FROM health UNION ALL
         SELECT 'equipment.critical-alert' AS topic, * FROM health WHERE severity = 'CRITICAL')"""
 
+# Every tenth record is a tombstone.
+LATEST = """
+  SELECT equipmentId, "offset", severity, healthScore FROM (
+    SELECT *, row_number() OVER (PARTITION BY equipmentId ORDER BY "offset" DESC) AS r FROM health)
+  WHERE r = 1 AND "offset" % 10 <> 0"""
+
 _OTHER = '"offset", temperatureScore, pressureScore, errorCodeScore, healthScore, '
 
 
@@ -311,20 +317,16 @@ ORACLES: dict[str, str] = {
   FROM (SELECT 'equipment.status' AS topic, * FROM health UNION ALL
         SELECT 'alerts.critical' AS topic, * FROM health WHERE severity = 'CRITICAL')
   GROUP BY topic, healthScore""",
-    "s09_latest_status": _status() + """
-  SELECT equipmentId, "offset", severity, healthScore FROM (
-    SELECT *, row_number() OVER (PARTITION BY equipmentId ORDER BY "offset" DESC) AS r FROM health)
-  WHERE r = 1 AND "offset" % 10 <> 0""",
-    "s09_latest_status_stream": _status() + """
-  SELECT equipmentId, "offset", severity, healthScore FROM (
-    SELECT *, row_number() OVER (PARTITION BY equipmentId ORDER BY "offset" DESC) AS r FROM health) WHERE r = 1""",
+    "s09_latest_status": _status() + LATEST,
+    "s09_latest_status_stream": _status() + LATEST,
     "s10_retention": _status() + f"""
   SELECT 'raw' AS topic, "offset" FROM health WHERE ts >= TIMESTAMP '{RAW_AS_OF}' - INTERVAL 7 DAY
   UNION ALL
   SELECT 'alert' AS topic, "offset" FROM health
   WHERE severity = 'CRITICAL' AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY""",
     "s11_key_partitions": f"""WITH {TELEMETRY}
-  SELECT equipmentId AS key, count(*) AS records, CAST(1 AS BIGINT) AS partitions, CAST(0 AS INTEGER) AS out_of_range
+  SELECT equipmentId AS key, count(*) AS records, CAST(1 AS BIGINT) AS partitions, CAST(0 AS INTEGER) AS out_of_range,
+    true AS several_pieces
   FROM telemetry GROUP BY equipmentId""",
 
     "v01_empty_body": VALIDATED + """
@@ -550,3 +552,63 @@ ORACLES["c02_audit_trail"] = f"""
       CASE WHEN act = 'EMIT_STATUS' THEN 'equipment.status' ELSE 'equipment.critical-alert' END AS resource, severity AS detail
     FROM (SELECT *, unnest(CASE WHEN severity = 'CRITICAL' THEN ['EMIT_STATUS', 'EMIT_ALERT'] ELSE ['EMIT_STATUS'] END) AS act
           FROM health))"""
+
+
+# -- message tables over several runs and batches --------------------------------------------------
+
+_PER_TOPIC = "count(*) AS messages, count(DISTINCT sourceOffset) AS records, CAST(sum(sourceOffset) AS BIGINT) AS offset_sum"
+ORACLES["s07_replay_again"] = f"""
+  SELECT topic, {_PER_TOPIC}, CAST(2 AS BIGINT) AS runs FROM ({S07}) GROUP BY topic"""
+ORACLES["s10_compacted"] = f"""
+  SELECT topic, count(*) AS messages, CAST(sum(sourceOffset) AS BIGINT) AS offset_sum, CAST(1 AS BIGINT) AS runs
+  FROM ({S07}) GROUP BY topic"""
+ORACLES["s10_expired_days_dropped"] = _status() + f"""
+  SELECT topic, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS messages FROM (
+    SELECT 'equipment.status' AS topic, * FROM health
+    WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{RAW_AS_OF}' - INTERVAL 7 DAY AS DATE)
+    UNION ALL SELECT 'equipment.critical-alert' AS topic, * FROM health WHERE severity = 'CRITICAL')
+  GROUP BY topic, CAST(ts AS DATE)"""
+ORACLES["s08_kafka_copies"] = _stream() + """
+  SELECT topic, 'telemetry.raw' AS sourceTopic, CAST(0 AS INTEGER) AS sourcePartition, count(*) AS messages,
+    CAST(sum("offset") AS BIGINT) AS offset_sum
+  FROM (SELECT 'equipment.status' AS topic, * FROM health UNION ALL
+        SELECT 'alerts.critical' AS topic, * FROM health WHERE severity = 'CRITICAL') GROUP BY topic"""
+
+# -- what one ingestion run writes beside events and letters -----------------------------------------
+
+_KNOWN = f"CASE WHEN {VALID} THEN corr WHEN trim(claimed) = '' THEN 'UNKNOWN' ELSE claimed END"
+ORACLES["v15_acknowledgements_sink"] = VALIDATED + f"""
+  SELECT "offset" AS sourceOffset, {_KNOWN} AS key, CASE WHEN {VALID} THEN 'ACCEPTED' ELSE 'REJECTED' END AS status,
+    CASE WHEN {VALID} THEN corr ELSE claimed END AS correlationId,
+    CASE WHEN {VALID} THEN 'telemetry.raw' ELSE '' END AS target,
+    CASE WHEN {VALID} THEN 'RawTelemetryEvent' ELSE '' END AS schemaName,
+    CASE WHEN {VALID} THEN reported ELSE '' END AS schemaVersion, array_to_string(errors, '; ') AS errors
+  FROM validated"""
+ORACLES["c02_audit_sink"] = VALIDATED + f"""
+  SELECT "offset" AS sourceOffset, CASE WHEN {VALID} THEN equipment ELSE claimed_equipment END AS key, act AS action,
+    'telemetry-ingestion' AS actor, CASE WHEN act = 'VALIDATE' AND NOT ({VALID}) THEN 'FAILURE' ELSE 'SUCCESS' END AS outcome,
+    CASE WHEN act = 'VALIDATE' THEN 'telemetry.raw-value' ELSE 'telemetry.dlq' END AS resource, {_KNOWN} AS correlationId,
+    CAST(len(errors) AS VARCHAR) AS detail
+  FROM (SELECT *, unnest(CASE WHEN {VALID} THEN ['VALIDATE'] ELSE ['VALIDATE', 'DEAD_LETTER'] END) AS act FROM validated)"""
+# The newest contract does not know metricName, whose plain text is the fault of every twentieth body.
+ORACLES["v16_contract_of_the_registry"] = VALIDATED + f""",
+found AS (SELECT *, unnest(['newest', 'missing', 'broken']) AS registry FROM validated),
+judged_again AS (SELECT *, {VALID} OR (registry = 'newest' AND m = 10) AS ok FROM found)
+  SELECT registry, "offset" AS sourceOffset, CASE WHEN ok THEN 'ACCEPTED' ELSE 'REJECTED' END AS status,
+    CASE WHEN NOT ok THEN '' WHEN registry = 'newest' THEN 'Raw2' ELSE 'RawTelemetryEvent' END AS schemaName
+  FROM judged_again"""
+ORACLES["v02_repeated_members"] = """
+  SELECT event_id AS "offset", true AS valid, json_extract_string(props, '$.k') AS k FROM events"""
+ORACLES["p08_code_separators"] = VALIDATED + f"""
+  SELECT unnest(['comma', 'bar', 'blank', 'dots']) AS separator, "offset", 'X9,W00' || ("offset" % 3 + 1) AS codes,
+    CAST(85 AS INTEGER) AS errorCodeScore FROM validated WHERE {VALID}"""
+ORACLES["p09_intake_counts"] = f"""
+  SELECT 'status' AS profile, count(*) AS received, count(*) FILTER (NOT ({STATUS_OK})) AS dropped FROM events
+  UNION ALL
+  SELECT 'stream' AS profile, count(*) AS received, count(*) FILTER (NOT ({STREAM_OK})) AS dropped FROM events"""
+ORACLES["c04_alert_contract"] = _stream() + f""",
+typed AS (SELECT *, {ALERT_TYPE} AS alertType FROM health WHERE severity = 'CRITICAL')
+  SELECT "offset", equipmentId, correlationId, '1.0.0' AS schemaVersion, false AS acknowledged, {_id('alert')} AS alertId,
+    'CRITICAL' AS severity, 'Critical equipment state: ' || lower(replace(alertType, '_CRITICAL', '')) AS title,
+    CASE alertType WHEN 'TEMPERATURE_CRITICAL' THEN '90.0' WHEN 'PRESSURE_CRITICAL' THEN '0.5 to 1.5' ELSE '' END AS threshold,
+    CAST(healthScore AS VARCHAR) AS healthScore, eventId AS sourceEventId FROM typed"""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks import events as ev
 from pulsegrid.config import STATUS_PROFILE, STREAM_PROFILE, BridgeConfig, HealthConfig, IngestConfig, TopicConfig
 from pulsegrid.functions import scalar
 from pulsegrid.operators import (
@@ -16,7 +18,7 @@ from pulsegrid.operators import (
 from pulsegrid.plans import health, ingest
 from pulsegrid.schemas import RAW_CONTRACT, Contract
 from pulsegrid.session import work_dir
-from pulsegrid.sources import events as ev
+from pulsegrid.sources.topics import with_source_place
 from pulsegrid.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,48 +152,116 @@ def s06(spark, sf_dir):
     )
 
 
-def _streamed(spark: SparkSession, sf_dir: str, profile: str, *, repeat: bool = False) -> DataFrame:
-    """Run a profile as a stream over the whole table and read its sink back."""
-    path, checkpoint = work_dir(spark, "replay-out"), work_dir(spark, "replay-checkpoint")
+def _cut(spark: SparkSession, rows: DataFrame, pieces: int, by: str = "event_id") -> str:
+    """``rows`` as files of rising ``by`` in a new folder, one written after the other as a topic's segments are."""
+    path = work_dir(spark, "cut")
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    step = -(-(high - low + 1) // pieces)
+    for i in range(pieces):
+        rows.filter(F.col(by).between(low + i * step, low + (i + 1) * step - 1)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _stream_of(spark: SparkSession, path: str) -> DataFrame:
+    """The folder as a stream of one file for each micro-batch."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def _finished(query, batches: int | None = None) -> None:
+    query.awaitTermination()
+    ran = len({p["batchId"] for p in query.recentProgress if p["numInputRows"]})
+    if batches is not None and ran != batches:
+        raise RuntimeError(f"{ran} micro-batches ran, {batches} were meant to")
+
+
+def _health_run(spark, sf_dir, profile: str, cut: str, path: str, checkpoint: str, batches: int | None = None) -> None:
     plan = health.status_messages if profile == "status" else health.stream_messages
-    sinks.run(_topic(spark, sf_dir, profile, streaming=True), plan, path, checkpoint).awaitTermination()
-    if repeat:
-        # A restart on the same checkpoint finds nothing new ...
-        sinks.run(_topic(spark, sf_dir, profile, streaming=True), plan, path, checkpoint).awaitTermination()
-        # ... and a batch that is worked off again (a lost commit) replaces its own output.
-        again = work_dir(spark, "repeat-checkpoint")
-        sinks.run(_topic(spark, sf_dir, profile, streaming=True), plan, path, again).awaitTermination()
-    return sinks.messages_table(spark, path)
+    topic = ev.telemetry_topic(_stream_of(spark, cut), profile)
+    _finished(sinks.run(topic, plan, path, checkpoint), batches)
 
 
 @query("s07_replay_from_earliest")
 def s07(spark, sf_dir):
-    return _streamed(spark, sf_dir, "status").select(
+    path = work_dir(spark, "replay-out")
+    _health_run(spark, sf_dir, "status", _cut(spark, _events(spark, sf_dir), 4), path, work_dir(spark, "replay-checkpoint"), 4)
+    return sinks.messages_table(spark, path).select(
         "topic", "key", "sourceOffset", _json("severity", "severity"), _json("healthScore", "healthScore"),
     )
 
 
+@query("s07_replay_again")
+def s07_again(spark, sf_dir):
+    """Read in four batches; then the older half is gone from the source, and a replay reads the rest in two over the same table."""
+    events, path = _events(spark, sf_dir), work_dir(spark, "again-out")
+    _health_run(spark, sf_dir, "status", _cut(spark, events, 4), path, work_dir(spark, "again-checkpoint"), 4)
+    middle = events.agg(F.expr("min(event_id) + (max(event_id) - min(event_id) + 1) div 2")).first()[0]
+    newer = _cut(spark, events.filter(F.col("event_id") >= middle), 2)
+    _health_run(spark, sf_dir, "status", newer, path, work_dir(spark, "again-checkpoint"), 2)
+    return sinks.messages_table(spark, path).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("sourceOffset").alias("records"),
+        F.sum("sourceOffset").alias("offset_sum"), F.countDistinct("run").alias("runs"))
+
+
 @query("s08_exactly_once")
 def s08(spark, sf_dir):
-    table = _streamed(spark, sf_dir, "stream", repeat=True)
+    """Four batches on one checkpoint; the query dies after the second one's write, before its commit, and is started again."""
+    path, checkpoint, written = work_dir(spark, "once-out"), work_dir(spark, "once-checkpoint"), []
+    topic = ev.telemetry_topic(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4)), "stream")
+
+    def dying(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_messages(health.stream_messages(batch), path, batch_id, run=sinks.run_of(batch), source=batch)
+        written.append(batch_id)
+        if written == [0, 1]:
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        run = topic.writeStream.foreachBatch(dying).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            run.awaitTermination()
+        except StreamingQueryException as error:
+            if written != [0, 1]:
+                raise RuntimeError("not the loss that was meant") from error
+    if written != [0, 1, 1, 2, 3]:
+        raise RuntimeError(f"batches ran as {written}")
+    table = sinks.messages_table(spark, path)
     return table.groupBy("topic", _json("healthScore", "healthScore")).agg(
         F.count(F.lit(1)).alias("messages"), F.countDistinct("sourceOffset").alias("records"),
     )
 
 
-def _status_log(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
+@query("s08_kafka_copies")
+def s08_kafka(spark, sf_dir):
+    """Rows as a Kafka topic holds them, a third of them twice; the place in the headers tells the copies."""
+    sent = health.stream_messages(_topic(spark, sf_dir, "stream"))
+    copies = sent.withColumn("times", F.expr("CASE WHEN sourceOffset % 3 = 0 THEN 2 ELSE 1 END"))
+    rows = copies.select("*", F.explode(F.expr("sequence(1, times)")).alias("attempt")).select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "topic", F.lit(0).alias("partition"),
+        (F.col("sourceOffset") * 2 + F.col("attempt")).alias("offset"), F.col("recordTimestamp").alias("timestamp"),
+        F.array(F.struct(F.lit("trace").alias("key"), F.lit("x").cast("binary").alias("value")), *sinks.source_headers()).alias("headers"))
+    path = work_dir(spark, "kafka-rows")
+    rows.write.parquet(path)
+    return sinks.once(with_source_place(spark.read.parquet(path))).groupBy("topic", "sourceTopic", "sourcePartition").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("sourceOffset").alias("offset_sum"))
+
+
+def _status_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """The status profile's log as typed rows, in the order they were written."""
-    rows = rules_status.score(ev.telemetry(_events(spark, sf_dir, streaming=streaming)))
+    rows = rules_status.score(ev.telemetry(_events(spark, sf_dir) if events is None else events))
     return rows.select(
         "topic", "partition", "offset", "equipmentId", "eventId", "correlationId", "timestamp",
         "severity", "healthScore",
     )
 
 
+def _with_tombstones(log: DataFrame) -> DataFrame:
+    """Every tenth record is a tombstone: it deletes its key until the next record."""
+    return log.withColumn("severity", F.when(F.col("offset") % 10 != 0, F.col("severity")))
+
+
 @query("s09_latest_status")
 def s09(spark, sf_dir):
-    # Every tenth record is a tombstone: it deletes its key until the next record.
-    log = _status_log(spark, sf_dir).withColumn("severity", F.when(F.col("offset") % 10 != 0, F.col("severity")))
+    log = _with_tombstones(_status_log(spark, sf_dir))
     return tables.latest_by_key(log, "equipmentId", tombstone="severity").select(
         "equipmentId", "offset", "severity", "healthScore",
     )
@@ -199,9 +269,9 @@ def s09(spark, sf_dir):
 
 @query("s09_latest_status_stream")
 def s09_stream(spark, sf_dir):
-    table = sinks.LatestStatus(lambda batch: batch, work_dir(spark, "latest"))
-    source = _status_log(spark, sf_dir, streaming=True)
-    sinks.run_latest(source, table, work_dir(spark, "latest-checkpoint")).awaitTermination()
+    table = sinks.LatestStatus(_with_tombstones, work_dir(spark, "latest"))
+    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5)))
+    _finished(sinks.run_latest(source, table, work_dir(spark, "latest-checkpoint")), 5)
     return table.snapshot(spark).select("equipmentId", "offset", "severity", "healthScore")
 
 
@@ -218,15 +288,47 @@ def s10(spark, sf_dir):
     return raw.unionByName(alerts)
 
 
+@query("s10_expired_days_dropped")
+def s10_dropped(spark, sf_dir):
+    """The days of the status topic that are beyond its retention are deleted; alerts stay."""
+    path = work_dir(spark, "expired")
+    topic = _topic(spark, sf_dir, "status")
+    sinks.backfill(health.status_messages(topic), topic, path)
+    sinks.drop_expired(spark, path, TopicConfig().status, TopicConfig().raw_retention_days, F.lit(RAW_AS_OF))
+    left = sinks.messages_table(spark, path).groupBy("topic", "day").agg(F.count(F.lit(1)).alias("messages"))
+    return left.select("topic", F.col("day").cast("string").alias("day"), "messages")
+
+
+@query("s10_compacted")
+def s10_compacted(spark, sf_dir):
+    """Four batches and a partial replay, compacted; what they had written is deleted afterwards."""
+    events, path = _events(spark, sf_dir), work_dir(spark, "compact")
+    _health_run(spark, sf_dir, "status", _cut(spark, events, 4), path, work_dir(spark, "compact-checkpoint"), 4)
+    newer = _cut(spark, events.filter(F.col("event_id") >= 100), 2)
+    _health_run(spark, sf_dir, "status", newer, path, work_dir(spark, "compact-checkpoint"), 2)
+    sinks.compact(spark, path)
+    sinks.drop_hidden(spark, path)
+    table = sinks.messages_table(spark, path)
+    return table.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("sourceOffset").alias("offset_sum"), F.countDistinct("run").alias("runs"))
+
+
 @query("s11_key_partitions")
 def s11(spark, sf_dir):
-    topics = TopicConfig()
-    log = parse.rekey(_status_log(spark, sf_dir))
-    laid_out = tables.lay_out_by_key(log, topics.status_profile_partitions, files_per_partition=2)
-    return laid_out.groupBy("key").agg(
+    """A table laid out by key partition and read back: each key in one of them, each of them written in several pieces."""
+    topics, path = TopicConfig(), work_dir(spark, "key-partitions")
+    topic = _topic(spark, sf_dir, "status")
+    # Small pieces, so that every partition has several at the test sizes.
+    sinks.write_messages(
+        health.status_messages(topic), path, 0, source=topic, key_partitions=topics.status_profile_partitions, rows_per_piece=20)
+    table = sinks.messages_table(spark, path).filter(F.col("topic") == topics.status)
+    files = spark.read.schema(sinks.MESSAGES).parquet(f"{path}/messages").filter(F.col("topic") == topics.status)
+    per_partition = files.groupBy("keyPartition").agg((F.countDistinct("_metadata.file_path") > 1).alias("several"))
+    return table.join(per_partition, "keyPartition").groupBy("key").agg(
         F.count(F.lit(1)).alias("records"),
         F.countDistinct("keyPartition").alias("partitions"),
         F.max((F.col("keyPartition") >= topics.status_profile_partitions).cast("int")).alias("out_of_range"),
+        F.min("several").alias("several_pieces"),
     )
 
 
@@ -250,6 +352,16 @@ def v02(spark, sf_dir):
     )
 
 
+@query("v02_repeated_members")
+def v02_repeated(spark, sf_dir):
+    """Members that repeat inside the payload: the last one counts, and the body is not malformed."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # as in session.RECOMMENDED
+    again = F.when(F.col("offset") % 3 != 0, F.regexp_replace("value", F.lit('"payload":\\{'), F.concat(
+        F.lit('"payload":{"k":"first-'), F.col("offset"), F.lit('",')))).otherwise(F.col("value"))
+    bodies = ev.clean_documents(_events(spark, sf_dir)).withColumn("value", again)
+    return validate.validate(bodies).select("offset", "valid", F.col("record.payload")["k"].alias("k"))
+
+
 @query("v03_reported_version")
 def v03(spark, sf_dir):
     n = F.col("offset")
@@ -309,9 +421,7 @@ def v07(spark, sf_dir):
 
 @query("v08_split")
 def v08(spark, sf_dir):
-    accepted, rejected, _ = ingest.split(_bodies(spark, sf_dir))
-    return accepted.select(F.lit("accepted").alias("route"), "offset").unionByName(
-        rejected.select(F.lit("rejected").alias("route"), "offset"))
+    return ingest.outcomes(_bodies(spark, sf_dir)).select("route", "offset")
 
 
 @query("v09_claimed_correlation_id")
@@ -375,6 +485,53 @@ def v15(spark, sf_dir):
     )
 
 
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything one run of the ingestion stream has written, over four micro-batches."""
+    path = work_dir(spark, "ingested")
+    bodies = ev.ingestion_documents(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4)))
+    _finished(sinks.run(bodies, ingest.messages, path, work_dir(spark, "ingested-checkpoint")), 4)
+    return sinks.messages_table(spark, path)
+
+
+@query("v15_acknowledgements_sink")
+def v15_sink(spark, sf_dir):
+    acks = _ingested(spark, sf_dir).filter(F.col("topic") == TopicConfig().acknowledgement)
+    return acks.select(
+        "sourceOffset", "key", *[_json(n, n) for n in ("status", "correlationId", "topic", "schemaName", "schemaVersion")],
+        F.array_join(F.from_json(F.get_json_object("value", "$.errors"), "array<string>"), "; ").alias("errors"),
+    ).withColumnRenamed("topic", "target")
+
+
+def _registry(spark: SparkSession, schemas: list[tuple[str, int, str]]) -> DataFrame:
+    return spark.createDataFrame(schemas, "subject string, version int, schema string")
+
+
+def _avro(name: str, **changes: str | None) -> str:
+    """The raw contract as Avro JSON, with other types for some fields or (None) without them."""
+    types = {"string": '"string"', "long": '"long"', "map<string>": '{"type":"map","values":"string"}', "optional string": '["null","string"]'}
+    fields = {n: types[k] for n, k in RAW_CONTRACT.fields}
+    fields |= {n: types.get(k, k) for n, k in changes.items() if k}
+    listed = ",".join(f'{{"name":"{n}","type":{t}}}' for n, t in fields.items() if changes.get(n, t) is not None)
+    return f'{{"type":"record","name":"{name}","fields":[{listed}]}}'
+
+
+@query("v16_contract_of_the_registry")
+def v16_registry(spark, sf_dir):
+    """Three ways the contract is found: the newest of the registry (which knows neither metric nor unit), and
+    twice the bundled one, for a registry that is not there and one whose newest entry cannot be read."""
+    subject = IngestConfig().raw_subject
+    newest = _registry(spark, [(subject, 1, _avro("Old", equipmentId="long")), (subject, 2, _avro("Raw2", unit=None, metricName=None)),
+                               ("other", 9, _avro("Other", payload="string"))])
+    broken = _registry(spark, [(subject, 1, _avro("Old")), (subject, 2, _avro("New", equipmentId='"double"'))])
+    missing = work_dir(spark, "no-registry") + "/none"
+    out = None
+    for name, registry in (("newest", lambda: newest), ("missing", lambda: spark.read.parquet(missing)), ("broken", lambda: broken)):
+        sent = ingest.under_registry(registry)(_bodies(spark, sf_dir)).filter(F.col("topic") == TopicConfig().acknowledgement)
+        rows = sent.select(F.lit(name).alias("registry"), "sourceOffset", _json("status", "status"), _json("schemaName", "schemaName"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("v16_latest_contract")
 def v16(spark, sf_dir):
     """A registry with one version per event: the newest of each subject."""
@@ -458,6 +615,32 @@ def p08(spark, sf_dir):
     )
 
 
+@query("p08_code_separators")
+def p08_separators(spark, sf_dir):
+    """Code lists with separators that mean something in a pattern, and white space around the codes."""
+    rows = enrich.enrich(_validated(spark, sf_dir))
+    out = None
+    for name, sep in (("comma", ","), ("bar", "|"), ("blank", " "), ("dots", "..")):
+        listed = F.concat(F.lit(" X9"), F.lit(sep), F.lit("\tW00") if sep != " " else F.lit("W00"), (F.col("offset") % 3 + 1).cast("string"))
+        listed = listed if sep != " " else F.ltrim(listed)
+        telemetry = parse.bridge(rows.withColumn("payload", F.map_concat(
+            F.map_filter("payload", lambda k, v: k != "errorCodes"), F.create_map(F.lit("errorCodes"), listed))), BridgeConfig(codes_separator=sep))
+        part = rules_status.score(telemetry).select(F.lit(name).alias("separator"), "offset", _codes(), "errorCodeScore")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("p09_intake_counts")
+def p09_intake(spark, sf_dir):
+    """What both plans take in and drop, counted while they run."""
+    rows = []
+    for profile, plan in (("status", health.status_messages), ("stream", health.stream_messages)):
+        seen = Observation(f"{profile}_intake")
+        plan(ev.faulty_topic(_events(spark, sf_dir), profile), intake=seen).write.format("noop").mode("overwrite").save()
+        rows.append((profile, *[seen.get[n] for n in ("received", "dropped")]))
+    return spark.createDataFrame(rows, "profile string, received long, dropped long")
+
+
 @query("p09_observed_counts")
 def p09(spark, sf_dir):
     rows = []
@@ -589,7 +772,7 @@ def r07(spark, sf_dir):
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     evaluated = rules_stream.evaluate(_telemetry(spark, sf_dir))
-    return rules_stream.alerts(route.split(evaluated)["critical"])
+    return rules_stream.alerts(route.branched(evaluated).filter("branch = 'critical'"))
 
 
 @query("r08_alert_type")
@@ -633,11 +816,7 @@ def t02(spark, sf_dir):
 
 @query("t03_severity_branches")
 def t03(spark, sf_dir):
-    parts = route.split(_stream(spark, sf_dir))
-    first, *others = [part.select("branch", "offset") for part in parts.values()]
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    return route.branched(_stream(spark, sf_dir)).select("branch", "offset")
 
 
 @query("t04_critical_to_alerts")
@@ -669,8 +848,8 @@ def c01_log(spark, sf_dir):
 @query("c01_status_changes_stream")
 def c01_stream(spark, sf_dir):
     table = sinks.LatestStatus(lambda batch: batch, work_dir(spark, "changes"), chunk_rows=1000)
-    source = _status_log(spark, sf_dir, streaming=True)
-    sinks.run_latest(source, table, work_dir(spark, "changes-checkpoint")).awaitTermination()
+    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5)))
+    _finished(sinks.run_latest(source, table, work_dir(spark, "changes-checkpoint")), 5)
     return table.changes(spark).select(
         "equipmentId", "offset", "severity", F.coalesce("previousStatus", F.lit("")).alias("previousStatus"))
 
@@ -684,26 +863,45 @@ def c02(spark, sf_dir):
         F.coalesce(F.col("payload.details")["errorCount"], F.col("payload.details")["severity"]).alias("detail"))
 
 
+@query("c02_audit_sink")
+def c02_sink(spark, sf_dir):
+    found = _ingested(spark, sf_dir).filter(F.col("topic") == TopicConfig().audit)
+    return found.select(
+        "sourceOffset", "key", *[_json(f"payload.{n}", n) for n in ("action", "actor", "outcome", "resource")],
+        _json("correlationId", "correlationId"), _json("payload.details.errorCount", "detail"))
+
+
 @query("c03_dead_letter_replay")
 def c03(spark, sf_dir):
     """Letters of the strict rules, replayed with plain text allowed for nullable strings."""
     letters = enrich.dead_letters(_validated(spark, sf_dir))
-    results, again = replay.replay(letters, IngestConfig(strict_union=False))
-    return results.filter("valid").select(F.lit("accepted").alias("route"), "offset", "attemptCount").unionByName(
-        again.select(F.lit("dead letter").alias("route"), "offset", "payload.attemptCount"))
+    again = replay.replay(letters, IngestConfig(strict_union=False))
+    return again.select(
+        F.when(F.col("letter").isNull(), F.lit("accepted")).otherwise(F.lit("dead letter")).alias("route"), "offset",
+        F.coalesce("letter.payload.attemptCount", "attemptCount").alias("attemptCount"))
 
 
 @query("c04_contract_projections")
 def c04(spark, sf_dir):
-    accepted, rejected, _ = ingest.split(_bodies(spark, sf_dir))
-    raw = enrich.raw_contract(accepted).select(
-        F.lit("raw").alias("contract"), "equipmentId", "correlationId", "schemaVersion",
-        F.size("payload").alias("members"), F.col("sourceSystem").alias("detail"))
-    letters = enrich.dead_letter_contract(rejected)
-    size = len(letters.schema["payload"].dataType.fields)
-    return raw.unionByName(letters.select(
-        F.lit("dead letter").alias("contract"), "equipmentId", "correlationId", "schemaVersion",
-        F.lit(size).alias("members"), F.col("payload.failureCode").alias("detail")))
+    rows = ingest.outcomes(_bodies(spark, sf_dir)).withColumns({
+        "raw": F.when(F.col("event").isNotNull(), enrich.raw_contract(F.col("event"))),
+        "dead": F.when(F.col("letter").isNotNull(), enrich.dead_letter_contract(F.col("letter")))})
+    size = len(rows.schema["dead"].dataType["payload"].dataType.fields)
+    either = lambda name: F.coalesce(F.col(f"raw.{name}"), F.col(f"dead.{name}")).alias(name)
+    return rows.select(
+        F.when(F.col("raw").isNotNull(), F.lit("raw")).otherwise(F.lit("dead letter")).alias("contract"),
+        either("equipmentId"), either("correlationId"), either("schemaVersion"),
+        F.coalesce(F.size(F.when(F.col("raw").isNotNull(), F.col("raw.payload"))), F.lit(size)).alias("members"),
+        F.coalesce(F.col("raw.sourceSystem"), F.col("dead.payload.failureCode")).alias("detail"))
+
+
+@query("c04_alert_contract")
+def c04_alert(spark, sf_dir):
+    rows = rules_stream.alert_contract(_alerts(spark, sf_dir))
+    return rows.select(
+        "offset", "equipmentId", "correlationId", "schemaVersion", "acknowledged", "payload.alertId", "payload.severity", "payload.title",
+        F.coalesce("payload.threshold", F.lit("")).alias("threshold"), F.col("payload.attributes")["healthScore"].alias("healthScore"),
+        F.col("payload.attributes")["sourceEventId"].alias("sourceEventId"))
 
 
 # -- scalar functions ------------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ STREAM_WARNING_CODES = ("W001", "W002", "W003", "W010")
 class HealthConfig:
     """Thresholds, code lists and weights of one rule profile."""
 
+    # The default thresholds and weights.
     temperature_warning: float = 75.0
     temperature_critical: float = 90.0
     pressure_warning_low: float = 0.8
@@ -55,6 +56,8 @@ class TopicConfig:
     status: str = "equipment.status"
     status_profile_alert: str = "equipment.critical-alert"
     stream_profile_alert: str = "alerts.critical"
+    acknowledgement: str = "telemetry.acks"
+    audit: str = "telemetry.audit"
     status_profile_partitions: int = 6
     stream_profile_partitions: int = 12
     raw_retention_days: int = 7

@@ -19,36 +19,38 @@ def status_changes(
     A window over the key alone would send a hot key to one task. Here each key
     is cut into chunks of consecutive rows:
 
-    1. inside a chunk, ``lag`` finds the previous status, and the first row
-       also learns the last status of its chunk;
-    2. rows that cannot be a change are dropped;
-    3. the first rows of the chunks of a key, one per chunk, meet in a second
-       window and take over the last status of the chunk before. The other
-       rows stay with their chunk.
+    1. inside a chunk, ``lag`` finds the previous status; the first and the last
+       row of the chunk are marked, the last by having no next one, so no frame is held;
+    2. rows that are neither marked nor a change are dropped;
+    3. the marked rows of a key, at most two per chunk, meet in a second window,
+       where a first row takes over the status of the last row before it. The
+       other rows stay with their chunk.
 
     In log order a chunk is a range of offsets of one topic partition, so it
     never holds more than ``chunk_rows`` rows. In any other order the chunks
     are the pieces of a range partitioning by (key, order), which Spark samples
-    to equal size whatever the skew; ``chunks`` sets how many.
+    to equal size whatever the skew; as many as it takes to hold about
+    ``chunk_rows`` rows each (the rows are counted), or ``chunks``.
     """
     if order == LOG:
         # One number per range of offsets, in (partition, offset) order.
         pieces = statuses.withColumn("_chunk", F.expr(f"shiftleft(CAST(partition AS BIGINT), 40) + offset div {chunk_rows}"))
     else:
         by = [F.col(c) for c in (key, *order)]
-        spread = statuses.repartitionByRange(chunks, *by) if chunks else statuses.repartitionByRange(*by)
+        spread = statuses.repartitionByRange(chunks or _chunks_for(statuses, chunk_rows), *by)
         pieces = spread.withColumn("_chunk", F.spark_partition_id())
 
     inside = Window.partitionBy(key, "_chunk").orderBy(*order)
-    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = pieces.withColumns({
         "previousStatus": F.lag(status).over(inside),
         "_first": F.row_number().over(inside) == 1,
-        "_tail": F.last(status).over(whole),
+        "_last": F.lead(F.lit(1)).over(inside).isNull(),
     })
-    candidates = marked.filter(F.col("_first") | ~F.col(status).eqNullSafe(F.col("previousStatus")))
-    across = Window.partitionBy(key, "_first", F.when(~F.col("_first"), F.col("_chunk"))).orderBy("_chunk")
-    previous = F.when(F.col("_first"), F.lag("_tail").over(across)).otherwise(F.col("previousStatus"))
+    differs = ~F.col(status).eqNullSafe(F.col("previousStatus"))
+    candidates = marked.filter(F.col("_first") | F.col("_last") | differs)
+    ends = F.col("_first") | F.col("_last")
+    across = Window.partitionBy(key, ends, F.when(~ends, F.col("_chunk"))).orderBy("_chunk", *order)
+    previous = F.when(F.col("_first"), F.lag(status).over(across)).otherwise(F.col("previousStatus"))
     return (
         candidates.withColumn("previousStatus", previous)
         .filter(F.col("previousStatus").isNull() | (F.col(status) != F.col("previousStatus")))
@@ -56,6 +58,12 @@ def status_changes(
     )
 
 
+def _chunks_for(statuses: DataFrame, chunk_rows: int) -> int:
+    """Pieces of about ``chunk_rows`` rows, no fewer than the session's shuffle partitions."""
+    at_least = int(statuses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(at_least, -(-statuses.count() // chunk_rows))
+
+
 def status_event(changes: DataFrame, *, status: str = "severity") -> DataFrame:
     """Changes in the layout of the status contract."""
     return changes.select(

@@ -90,35 +90,37 @@ def dead_letters(
     ).select(*ORIGIN, "letter.*")
 
 
+def acknowledgement(config: IngestConfig = IngestConfig(), as_of: Column | None = None) -> Column:
+    """The answer to a body: ACCEPTED with topic, schema and time, or REJECTED with the errors."""
+    accepted = F.col("valid")
+    return F.struct(
+        F.when(accepted, F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")).alias("status"),
+        F.when(accepted, F.col("record.correlationId"))
+        .otherwise(F.col("claimedCorrelationId")).alias("correlationId"),
+        F.when(accepted, F.lit(config.topics.raw)).alias("topic"),
+        F.when(accepted, F.col("schemaName")).alias("schemaName"),
+        F.when(accepted, F.col("reportedVersion")).alias("schemaVersion"),
+        _now(as_of).alias("ingestedAt"),
+        F.col("errors"),
+    )
+
+
 def acknowledgements(
     validated: DataFrame, config: IngestConfig = IngestConfig(), *, as_of: Column | None = None,
 ) -> DataFrame:
-    """One answer per body: ACCEPTED with topic, schema and time, or REJECTED with the errors."""
-    accepted = F.col("valid")
-    return validated.select(
-        *ORIGIN,
-        F.struct(
-            F.when(accepted, F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")).alias("status"),
-            F.when(accepted, F.col("record.correlationId"))
-            .otherwise(F.col("claimedCorrelationId")).alias("correlationId"),
-            F.when(accepted, F.lit(config.topics.raw)).alias("topic"),
-            F.when(accepted, F.col("schemaName")).alias("schemaName"),
-            F.when(accepted, F.col("reportedVersion")).alias("schemaVersion"),
-            _now(as_of).alias("ingestedAt"),
-            F.col("errors"),
-        ).alias("ack"),
-    )
+    """One answer per body."""
+    return validated.select(*ORIGIN, acknowledgement(config, as_of).alias("ack"))
 
 
-def raw_contract(enriched: DataFrame) -> DataFrame:
-    """Enriched events cut to the fields of the raw contract, in contract order."""
-    return enriched.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_EVENT.fields])
+def raw_contract(event: Column) -> Column:
+    """An enriched event cut to the fields of the raw contract, in contract order."""
+    return F.struct(*[event[f.name].cast(f.dataType).alias(f.name) for f in RAW_EVENT.fields])
 
 
-def dead_letter_contract(letters: DataFrame) -> DataFrame:
-    """Dead letters cut to the fields of their contract; unknown failure codes become UNKNOWN."""
-    code = F.col("payload.failureCode")
+def dead_letter_contract(letter: Column) -> Column:
+    """A dead letter cut to the fields of its contract; unknown failure codes become UNKNOWN."""
+    code = letter["payload"]["failureCode"]
     in_domain = F.when(code.isin(*FAILURE_CODES), code).otherwise(F.lit("UNKNOWN"))
-    return letters.withColumn("payload", F.col("payload").withField("failureCode", in_domain)).select(
-        *[f.name for f in DEAD_LETTER.fields if f.name != "errorMetadata"]
-    )
+    fields = {f.name: letter[f.name] for f in DEAD_LETTER.fields if f.name != "errorMetadata"}
+    fields["payload"] = letter["payload"].withField("failureCode", in_domain)
+    return F.struct(*[value.alias(name) for name, value in fields.items()])

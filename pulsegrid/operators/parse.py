@@ -6,6 +6,8 @@ Numbers and times may come quoted, so leaves are read as text and cast with
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,6 @@ from pulsegrid.functions.scalar import is_blank, origin_id, quoted, texts
 from pulsegrid.operators.validate import STRICT_JSON
 from pulsegrid.schemas import ORIGIN, STATUS_TELEMETRY, STREAM_TELEMETRY
 
-MAX_MILLIS = 9_000_000_000_000_000
 MICROS_PER = {"millis": 1_000, "seconds": 1_000_000}
 
 
@@ -81,12 +82,12 @@ def bridge(enriched: DataFrame, config: BridgeConfig = BridgeConfig()) -> DataFr
         "equipmentId", "correlationId",
         F.lit(None).cast("string").alias("equipmentType"),
         # A valid long may lie outside the range of timestamps; that gives null.
-        F.when(F.abs(F.col("timestamp").cast("decimal(20,0)")) < MAX_MILLIS, F.timestamp_millis("timestamp"))
-        .alias("timestamp"),
+        F.timestamp_micros(F.try_multiply("timestamp", F.lit(1000).cast("long"))).alias("timestamp"),
         measure(config.temperature_key, config.temperature_factor).alias("temperature"),
         measure(config.pressure_key, config.pressure_factor).alias("pressure"),
-        F.when(F.trim(codes) != "", F.split(F.regexp_replace(codes, r"\s", ""), config.codes_separator))
-        .otherwise(empty).alias("errorCodes"),
+        F.when(codes.rlike(r"\S"), F.transform(
+            F.split(codes, re.escape(config.codes_separator)), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""),
+        )).otherwise(empty).alias("errorCodes"),
         "schemaVersion",
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
-from pulsegrid.operators.enrich import dead_letters
+from pulsegrid.operators.enrich import dead_letter
 from pulsegrid.operators.validate import validate
 from pulsegrid.schemas import RAW_CONTRACT, Contract
 
@@ -14,11 +14,12 @@ from pulsegrid.schemas import RAW_CONTRACT, Contract
 def replay(
     letters: DataFrame, config: IngestConfig = IngestConfig(), contract: Contract = RAW_CONTRACT,
     *, as_of: Column | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Validate the original texts again: (validation results, letters that failed once more).
+) -> DataFrame:
+    """Validate the original texts again, in one pass.
 
-    The attempt count rides along in ``attemptCount``, so no join back to the
-    old letters is needed.
+    Validation results with ``attemptCount`` and, where a text failed once more,
+    its new dead ``letter``. The attempt count rides along, so no join back to
+    the old letters is needed.
     """
     bodies = letters.select(
         # The key carries the count of earlier attempts through the validation.
@@ -29,4 +30,4 @@ def replay(
     results = validate(bodies, config, contract).withColumns({
         "attemptCount": F.col("key.attempts") + 1, "key": F.col("key.key"),
     })
-    return results, dead_letters(results, config, as_of=as_of, attempt=F.col("attemptCount"))
+    return results.withColumn("letter", F.when(~F.col("valid"), dead_letter(config, as_of, F.col("attemptCount"))))

@@ -28,10 +28,13 @@ def branch() -> Column:
     return F.expr("CASE severity WHEN 'CRITICAL' THEN 'critical' WHEN 'WARNING' THEN 'warning' ELSE 'healthy' END")
 
 
-def split(health: DataFrame) -> dict[str, DataFrame]:
-    """Three branches that exclude each other and leave nothing out."""
-    named = health.select("*", pinned(branch()).alias("branch"))
-    return {name: named.filter(F.col("branch") == name) for name in ("critical", "warning", "healthy")}
+def branched(health: DataFrame) -> DataFrame:
+    """Health rows with their ``branch``: three that exclude each other and leave nothing out.
+
+    One column instead of three tables: whoever needs all branches passes over
+    the records once, a filter on it takes one.
+    """
+    return health.select("*", pinned(branch()).alias("branch"))
 
 
 def to_text(columns: tuple[str, ...], source: str | None = None) -> Column:
@@ -70,8 +73,13 @@ def alert_text() -> Column:
 
 def ingest_messages(
     validated: DataFrame, config: IngestConfig = IngestConfig(), *, as_of: Column | None = None,
+    audit: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """Accepted bodies to the raw topic by equipment, rejected ones to the dead-letter topic."""
+    """Accepted bodies to the raw topic by equipment, rejected ones to the dead-letter topic.
+
+    Every body is answered on the acknowledgement topic, by correlation id, and
+    leaves the given ``audit`` records (null ones are skipped), by equipment.
+    """
     raw = _message(
         config.topics.raw, F.col("record.equipmentId"), F.to_json(enrich.enriched_event(config, as_of), KEEP_NULLS)
     )
@@ -79,7 +87,13 @@ def ingest_messages(
         config.topics.dead_letter, enrich.known_correlation_id(),
         F.to_json(enrich.dead_letter(config, as_of), KEEP_NULLS),
     )
-    return _fan_out(validated, F.when(F.col("valid"), raw).otherwise(letter))
+    answer = enrich.acknowledgement(config, as_of)
+    answer = answer.withField("ingestedAt", iso_utc(answer["ingestedAt"]))
+    correlation = F.when(F.col("valid"), F.col("record.correlationId")).otherwise(enrich.known_correlation_id())
+    ack = _message(config.topics.acknowledgement, correlation, F.to_json(answer, KEEP_NULLS))
+    noted = [F.when(entry["payload"].isNotNull(), _message(
+        config.topics.audit, entry["equipmentId"], F.to_json(entry, KEEP_NULLS))) for entry in audit]
+    return _fan_out(validated, F.when(F.col("valid"), raw).otherwise(letter), ack, *noted)
 
 
 def _message(topic: str, key: Column, value: Column) -> Column:
@@ -100,6 +114,15 @@ def _fan_out(rows: DataFrame, *messages: Column) -> DataFrame:
     return listed.filter(F.col("topic").isNotNull()) if len(messages) > 1 else listed
 
 
+def counted(parsed: DataFrame, observation: Observation | str = "intake") -> DataFrame:
+    """Count records as they come in and those that will be dropped, before anything is dropped."""
+    return parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(~F.col("parsed")).alias("dropped"),
+    )
+
+
 def observed(health: DataFrame, observation: Observation | str = "routing") -> DataFrame:
     """Count what passes by, without another pass and without changing a row."""
     severity = F.col("severity")

@@ -12,6 +12,7 @@ from pulsegrid.functions.scalar import (
 from pulsegrid.schemas import ORIGIN
 
 SCHEMA_VERSION = 1
+ALERT_CONTRACT_VERSION = "1.0.0"
 STATUSES = ("temperatureStatus", "pressureStatus", "errorStatus")
 
 
@@ -175,6 +176,36 @@ def alert_columns() -> dict[str, Column]:
     }
 
 
+def alert_contract(alerts: DataFrame, config: HealthConfig = STREAM_PROFILE) -> DataFrame:
+    """Alert records in the layout of the alert contract; nobody has acknowledged them yet."""
+    one = {
+        "TEMPERATURE_CRITICAL": (f"'{config.temperature_critical}'", "CAST(temperatureValue AS STRING)"),
+        "PRESSURE_CRITICAL": (f"'{config.pressure_critical_low} to {config.pressure_critical_high}'", "CAST(pressureValue AS STRING)"),
+        "ERROR_CODE_CRITICAL": ("CAST(NULL AS STRING)", "array_join(errorCodes, ',')"),
+    }
+    of = lambda i: "CASE alertType " + " ".join(f"WHEN '{k}' THEN {v[i]}" for k, v in one.items()) + " END"
+    return alerts.select(
+        *ORIGIN,
+        "equipmentId",
+        F.unix_millis("timestamp").alias("timestamp"),
+        F.struct(
+            "alertId",
+            F.lit("CRITICAL").alias("severity"),
+            F.concat(F.lit("Critical equipment state: "), F.lower(F.regexp_replace("alertType", "_CRITICAL$", ""))).alias("title"),
+            F.col("message").alias("description"),
+            F.expr(of(0)).alias("threshold"),
+            F.expr(of(1)).alias("observedValue"),
+            F.create_map(
+                F.lit("alertType"), F.col("alertType"), F.lit("healthScore"), F.col("healthScore").cast("string"),
+                F.lit("sourceEventId"), F.coalesce("sourceEventId", F.lit("")),
+            ).alias("attributes"),
+        ).alias("payload"),
+        "correlationId",
+        F.lit(ALERT_CONTRACT_VERSION).alias("schemaVersion"),
+        F.lit(False).alias("acknowledged"),
+    )
+
+
 def alerts(health: DataFrame) -> DataFrame:
     """Alert records for health rows that are already filtered to the critical branch."""
     return health.select(*ORIGIN, *[value.alias(name) for name, value in alert_columns().items()])

@@ -32,15 +32,24 @@ def key_partition(key: Column | str, partitions: int) -> Column:
     return F.pmod(F.hash(key), F.lit(partitions))
 
 
-def lay_out_by_key(
-    records: DataFrame, partitions: int, *, key: str = "key", offset: str = "offset", files_per_partition: int = 1,
+def key_pieces(
+    records: DataFrame, partitions: int, *, key: str = "key", offset: str = "offset", rows_per_piece: int = 5_000_000,
 ) -> DataFrame:
-    """Add ``keyPartition`` and spread the rows for a write partitioned by it.
+    """Add ``keyPartition`` and deal the rows out for a write partitioned by it.
 
-    A partition that holds a hot key is written by ``files_per_partition``
-    tasks: the number stays a function of the key alone, while the offset
-    spreads its rows over the files.
+    The number stays a function of the key alone. How many tasks write a
+    partition follows from its rows, counted first (one number per partition
+    reaches the driver), so a hot key does not end in one task; the offset spreads
+    its rows over the pieces.
     """
     numbered = records.withColumn("keyPartition", key_partition(key, partitions))
-    slot = F.pmod(F.xxhash64(offset), F.lit(files_per_partition))
-    return numbered.repartition(partitions * files_per_partition, F.col("keyPartition"), slot)
+    sizes = {r[0]: r[1] for r in numbered.groupBy("keyPartition").count().collect()}
+    pieces = {p: -(-n // rows_per_piece) for p, n in sizes.items()}
+    if not pieces:
+        return numbered
+    first = {p: sum(n for q, n in pieces.items() if q < p) for p in pieces}
+    table = lambda d: F.create_map(*[F.lit(x) for pair in d.items() for x in pair])[F.col("keyPartition")]
+    piece = table(first) + F.pmod(F.xxhash64(offset), table(pieces))
+    total = sum(pieces.values())
+    # A range partitioning would sample; with one row value per task the hash needs no more tasks than pieces.
+    return numbered.withColumn("_piece", piece).repartition(max(total, 1), "_piece").drop("_piece")

@@ -1,31 +1,65 @@
-"""Ingestion: bodies to validation results to raw events, dead letters and acknowledgements."""
+"""Ingestion: bodies to validation results to raw events, dead letters, acknowledgements and audit records."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
-from pulsegrid.operators import enrich, route
-from pulsegrid.operators.validate import validate
-from pulsegrid.schemas import RAW_CONTRACT, Contract
+from pulsegrid.operators import audit, enrich, route
+from pulsegrid.operators.validate import latest_contract, validate
+from pulsegrid.schemas import ORIGIN, RAW_CONTRACT, Contract
 
 
 def messages(
     bodies: DataFrame, config: IngestConfig = IngestConfig(), contract: Contract = RAW_CONTRACT,
     *, as_of: Column | None = None,
 ) -> DataFrame:
-    """Raw-topic and dead-letter messages of a batch or a stream of bodies, in one pass."""
-    return route.ingest_messages(validate(bodies, config, contract), config, as_of=as_of)
+    """All messages of a batch or a stream of bodies, in one pass: raw or dead letter, acknowledgement, audit."""
+    return route.ingest_messages(
+        validate(bodies, config, contract), config, as_of=as_of, audit=audit.ingest_records(config, as_of=as_of))
 
 
-def split(
+def outcomes(
     bodies: DataFrame, config: IngestConfig = IngestConfig(), contract: Contract = RAW_CONTRACT,
     *, as_of: Column | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Typed tables of one input: (enriched events, dead letters, acknowledgements)."""
-    validated = validate(bodies, config, contract)
-    return (
-        enrich.enrich(validated, config, as_of=as_of),
-        enrich.dead_letters(validated, config, as_of=as_of),
-        enrich.acknowledgements(validated, config, as_of=as_of),
+) -> DataFrame:
+    """One row per body with its ``route`` (accepted or rejected), the ``event`` or the ``letter``, and the ``ack``.
+
+    One table instead of three, so the texts are decoded once whatever is
+    taken from it; a write partitioned by ``route`` lays both sides out.
+    """
+    valid = F.col("valid")
+    return validate(bodies, config, contract).select(
+        *ORIGIN,
+        F.when(valid, F.lit("accepted")).otherwise(F.lit("rejected")).alias("route"),
+        F.when(valid, enrich.enriched_event(config, as_of)).alias("event"),
+        F.when(~valid, enrich.dead_letter(config, as_of)).alias("letter"),
+        enrich.acknowledgement(config, as_of).alias("ack"),
     )
+
+
+def under_registry(
+    registry: Callable[[], DataFrame], config: IngestConfig = IngestConfig(), *, default: Contract = RAW_CONTRACT,
+    as_of: Column | None = None,
+) -> Callable[[DataFrame], DataFrame]:
+    """``messages`` under the newest contract of the registry, looked up anew for every batch.
+
+    ``registry`` opens the table of contracts (subject, version, schema). The bundled
+    contract steps in if the table cannot be opened, has no entry for the
+    subject, or its newest entry cannot be read.
+    """
+    def transform(bodies: DataFrame) -> DataFrame:
+        return messages(bodies, config, current_contract(registry, config.raw_subject, default), as_of=as_of)
+    return transform
+
+
+def current_contract(registry: Callable[[], DataFrame], subject: str, default: Contract = RAW_CONTRACT) -> Contract:
+    try:
+        return latest_contract(registry(), subject, default)
+    except (PySparkException, ValueError, KeyError, TypeError):
+        # Not there, no JSON, or a type the validation does not know.
+        return default

@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A repeated member of a JSON object takes the last value; validation relies on it.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # HotSpot interprets methods of more than 8000 bytecodes. A stage whose generated
     # loop outgrows that runs faster as separate operators, whose code is split.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -16,12 +16,15 @@ from pulsegrid.schemas import ENVELOPE
 
 def kafka_topic(
     spark: SparkSession, servers: str, topic: str, *, streaming: bool = True,
-    min_partitions: int | None = None, max_offsets_per_trigger: int | None = None, **options: str,
+    min_partitions: int | None = None, max_offsets_per_trigger: int | None = None, with_source: bool = False,
+    **options: str,
 ) -> DataFrame:
     """A Kafka topic from its earliest record on (needs the Kafka connector on the class path).
 
     ``min_partitions`` splits large topic partitions over more tasks;
-    ``max_offsets_per_trigger`` bounds one micro-batch during a long replay.
+    ``max_offsets_per_trigger`` bounds one micro-batch during a long replay;
+    ``with_source`` reads messages this engine has written and restores the
+    place of their source records (see ``with_source_place``).
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     reader = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
@@ -30,9 +33,31 @@ def kafka_topic(
         reader = reader.option("minPartitions", str(min_partitions))
     if streaming and max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if with_source:
+        return with_source_place(reader.option("includeHeaders", "true").options(**options).load())
     return as_envelope(reader.options(**options).load())
 
 
+SOURCE_HEADER = "source"
+
+
+def with_source_place(records: DataFrame) -> DataFrame:
+    """Kafka rows with ``headers`` as envelope rows plus ``sourceTopic``, ``sourcePartition``, ``sourceOffset``.
+
+    The last header named ``source`` counts, as in Kafka's own lookup; without
+    one, or with one that is no place, the three columns are null.
+    """
+    named = F.filter("headers", lambda h: h["key"] == SOURCE_HEADER)
+    place = F.try_element_at(named, F.lit(-1))["value"].cast("string")
+    part = lambda i: F.regexp_extract(place, r"(?s)^(.*)/([0-9]+)/([0-9]+)$", i)
+    return records.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE],
+        F.nullif(part(1), F.lit("")).alias("sourceTopic"),
+        part(2).try_cast("int").alias("sourcePartition"),
+        part(3).try_cast("long").alias("sourceOffset"),
+    )
+
+
 def file_topic(
     spark: SparkSession, path: str, *, streaming: bool = False, fmt: str = "parquet",
     max_files_per_trigger: int | None = None, **options: str,
@@ -58,18 +83,6 @@ def table_files(
     )
 
 
-def spread(df: DataFrame, order: str) -> DataFrame:
-    """Cut a batch that arrives in fewer pieces than there are cores into even ranges of ``order``.
-
-    One file with one row group is one task, however much JSON work follows.
-    Real topics come in more pieces than that and pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, order)
-
-
 def as_envelope(df: DataFrame) -> DataFrame:
     """Cast the six envelope columns to their types; other columns go."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE])
@@ -88,18 +101,3 @@ def envelope(
         offset.cast("long").alias("offset"),
         timestamp.cast("timestamp").alias("timestamp"),
     )
-
-
-def documents(spark: SparkSession, path: str, *, topic: str) -> DataFrame:
-    """Raw ingestion bodies, one JSON document per file under ``path``.
-
-    The text is kept as it is, since a dead letter must carry the original. The
-    file path is the place of a document, so ids are the same on every read.
-    Spark skips files without a byte; a table of bodies keeps empty ones.
-    """
-    files = spark.read.text(path, wholetext=True).select(
-        "value", "_metadata.file_path", "_metadata.file_modification_time")
-    return envelope(
-        files, F.col("value"), key=F.col("file_path"), topic=topic,
-        offset=F.xxhash64("file_path"), timestamp=F.col("file_modification_time"),
-    )

@@ -1,55 +1,225 @@
-"""Sinks of the streaming plans, each safe to repeat for the same micro-batch."""
+"""Sinks of the streaming plans: a message table with runs, Kafka, and the latest-status table.
+
+A message table belongs to any number of runs. A run is one streaming query with
+its checkpoint (or one backfill); its identity is kept by the checkpoint, so a
+restart goes on with the same run and a repeated micro-batch overwrites its own
+folders. With every batch the run commits which source offsets it has answered
+for. Readers take, for each source record, the messages of the newest run that
+answers for it: a replay from earliest replaces what it has read again and
+leaves older records, which the source may no longer hold, as they are.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from pulsegrid.operators.changes import LOG, status_changes
-from pulsegrid.operators.tables import latest_by_key
-from pulsegrid.sources.topics import spread
+from pulsegrid.operators.tables import key_pieces, latest_by_key
+from pulsegrid.sources.topics import SOURCE_HEADER
 
 Transform = Callable[[DataFrame], DataFrame]
 
+MESSAGES = T.StructType([
+    T.StructField("sourceTopic", T.StringType()),
+    T.StructField("sourcePartition", T.IntegerType()),
+    T.StructField("sourceOffset", T.LongType()),
+    T.StructField("recordTimestamp", T.TimestampType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("keyPartition", T.IntegerType()),
+    T.StructField("batch", T.LongType()),
+])
+COMMITS = "sourceTopic string, sourcePartition int, firstOffset long, lastOffset long, run string, batch long"
+RUNS = "seq long, run string"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
 
-def write_messages(messages: DataFrame, path: str, batch_id: int) -> None:
-    """One write for all topics: folders by topic, day and micro-batch.
+def _read(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """Which source offsets each batch of each run has answered for, and the place ``seq`` of the run in their order."""
+    return _read(spark, f"{path}/commits", COMMITS).join(_read(spark, f"{path}/runs", RUNS), "run")
+
+
+def _register(spark: SparkSession, path: str, run: str) -> None:
+    """Give a new run its place after all others; there is one row per run."""
+    if _exists(spark, f"{path}/runs/run={run}/_SUCCESS"):
+        return
+    last = _read(spark, f"{path}/runs", RUNS).agg(F.max("seq")).first()[0] or 0
+    spark.createDataFrame([(last + 1,)], "seq long").coalesce(1).write.mode("overwrite").parquet(f"{path}/runs/run={run}")
+
+
+def _commit(ranges: DataFrame, path: str, run: str, batch_id: int) -> None:
+    _register(ranges.sparkSession, path, run)
+    (
+        ranges.select("sourceTopic", "sourcePartition", "firstOffset", "lastOffset", F.lit(run).alias("run"), F.lit(batch_id).alias("batch"))
+        .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run", "batch").parquet(f"{path}/commits")
+    )
+
+
+def _ranges(source: DataFrame) -> DataFrame:
+    """The offsets of a batch. A topic delivers each partition in offset order, so a range says it all."""
+    return source.groupBy(F.col("topic").alias("sourceTopic"), F.col("partition").alias("sourcePartition")).agg(
+        F.min("offset").alias("firstOffset"), F.max("offset").alias("lastOffset"))
+
+
+def write_messages(
+    messages: DataFrame, path: str, batch_id: int, *, run: str = "run-0", source: DataFrame | None = None,
+    clustered: bool = False, key_partitions: int | None = None, rows_per_piece: int = 5_000_000,
+) -> None:
+    """One write for all topics: folders by run, topic, day, key partition and micro-batch.
 
     The day comes from the record, not from the clock, so a repeated batch
-    overwrites exactly the folders of its first attempt. Dropping old day
-    folders is how retention is applied.
+    overwrites exactly the folders of its first attempt. ``source`` are the
+    records the messages were made of; their offsets are committed after the
+    write (without it, those of the messages).
+
+    ``clustered`` gathers the rows of a topic and day into few files first, for
+    backfills over many days; Spark splits large ones by size. ``key_partitions``
+    keeps the messages of a key together by number, each number written
+    in as many pieces as it has ``rows_per_piece`` rows.
     """
+    _write(messages, path, batch_id, run, clustered=clustered, key_partitions=key_partitions, rows_per_piece=rows_per_piece)
+    place = messages.selectExpr("sourceTopic AS topic", "sourcePartition AS partition", "sourceOffset AS offset") if source is None else source
+    _commit(_ranges(place), path, run, batch_id)
+
+
+def _write(messages: DataFrame, path: str, batch_id: int, run: str, **layout) -> None:
     (
-        messages.withColumns({
-            "day": F.to_date(F.coalesce("recordTimestamp", F.timestamp_seconds(F.lit(0)))),
-            "batch": F.lit(batch_id),
-        })
-        .write.mode("overwrite")
+        laid_out(messages, **layout).withColumns({"run": F.lit(run), "batch": F.lit(batch_id)}).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "day", "batch")
-        .parquet(path)
+        .partitionBy("run", "topic", "day", "keyPartition", "batch").parquet(f"{path}/messages")
+    )
+
+
+def laid_out(
+    messages: DataFrame, *, clustered: bool = False, key_partitions: int | None = None, rows_per_piece: int = 5_000_000,
+) -> DataFrame:
+    """Messages with their folder columns; nothing is shuffled unless the layout asks for it."""
+    rows = messages.withColumn("day", F.to_date(F.coalesce("recordTimestamp", F.timestamp_seconds(F.lit(0)))))
+    if key_partitions:
+        return key_pieces(rows, key_partitions, offset="sourceOffset", rows_per_piece=rows_per_piece)
+    rows = rows.withColumn("keyPartition", F.lit(0))
+    return rows.hint("rebalance", F.col("topic"), F.col("day")) if clustered else rows
+
+
+def messages_table(spark: SparkSession, path: str, *, as_of: DataFrame | None = None) -> DataFrame:
+    """The messages in force; filters on topic and day prune folders.
+
+    Of a source record that several runs have read only the newest one's messages
+    count. Batches that were never committed are left out. ``as_of`` takes an
+    earlier reading of ``commits``.
+    """
+    done = commits(spark, path) if as_of is None else as_of
+    rows = _read(spark, f"{path}/messages", MESSAGES).join(done.select("run", "batch", "seq").distinct(), ["run", "batch"])
+    later = islands(done).select(
+        F.col("seq").alias("_seq"), F.col("sourceTopic").alias("_topic"), F.col("sourcePartition").alias("_partition"), "firstOffset", "lastOffset")
+    hidden = (
+        (F.col("sourceTopic") == F.col("_topic")) & (F.col("sourcePartition") == F.col("_partition"))
+        & F.col("sourceOffset").between(F.col("firstOffset"), F.col("lastOffset")) & (F.col("_seq") > F.col("seq"))
     )
+    return rows.join(later, hidden, "left_anti").select(*[f.name for f in MESSAGES])
+
+
+def islands(done: DataFrame) -> DataFrame:
+    """Committed ranges of each run, those that follow each other as one.
 
+    Batches of one run that reach into each other's offsets raise an error: such a
+    source was not in offset order, and ranges cannot tell what was read.
+    """
+    by = Window.partitionBy("run", "sourceTopic", "sourcePartition").orderBy("firstOffset")
+    before = F.lag("lastOffset").over(by)
+    mixed = F.raise_error(F.concat(F.lit("offsets of run "), "run", F.lit(" are not in order at batch "), F.col("batch").cast("string")))
+    begins = F.when(before >= F.col("firstOffset"), mixed.cast("int")).otherwise(
+        (before.isNull() | (F.col("firstOffset") > before + 1)).cast("int"))
+    return _joined(done.withColumn("begins", begins), by, "seq", "run", "sourceTopic", "sourcePartition")
+
+
+def _joined(marked: DataFrame, by, *names: str) -> DataFrame:
+    return marked.withColumn("island", F.sum("begins").over(by)).groupBy(*names, "island").agg(
+        F.min("firstOffset").alias("firstOffset"), F.max("lastOffset").alias("lastOffset")).drop("island")
 
-def messages_table(spark: SparkSession, path: str) -> DataFrame:
-    """What ``write_messages`` has written; filters on topic and day prune folders."""
-    schema = T.StructType([
-        T.StructField("sourceTopic", T.StringType()),
-        T.StructField("sourcePartition", T.IntegerType()),
-        T.StructField("sourceOffset", T.LongType()),
-        T.StructField("recordTimestamp", T.TimestampType()),
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("day", T.DateType()),
-        T.StructField("batch", T.LongType()),
-    ])
-    return spark.read.schema(schema).parquet(path)
+
+def backfill(messages: DataFrame, source: DataFrame, path: str, *, run: str | None = None, **layout) -> str:
+    """Write a batch plan's messages as a run of its own, gathered by topic and day; returns the run."""
+    name = run or f"backfill-{uuid.uuid4().hex}"
+    write_messages(messages, path, 0, run=name, source=source, **{"clustered": True, **layout})
+    return name
+
+
+def compact(spark: SparkSession, path: str, **layout) -> str:
+    """Rewrite the messages in force as one run with large files; later batches of a live run stay in force.
+
+    Readers see either the old folders or the new ones: the new run counts from its
+    commit on. ``drop_hidden`` then frees the old ones.
+    """
+    name = f"compact-{uuid.uuid4().hex}"
+    # Placed before the reading: what a new run commits meanwhile comes after it and stays in force.
+    _register(spark, path, name)
+    seen = commits(spark, path)
+    done = islands(seen).persist()
+    try:
+        _write(messages_table(spark, path, as_of=seen).drop("run", "day", "keyPartition", "batch"), path, 0, name, **{"clustered": True, **layout})
+        by = Window.partitionBy("sourceTopic", "sourcePartition").orderBy("firstOffset", "lastOffset")
+        reach = F.max("lastOffset").over(by.rowsBetween(Window.unboundedPreceding, -1))
+        marked = done.withColumn("begins", (reach.isNull() | (F.col("firstOffset") > reach + 1)).cast("int"))
+        _commit(_joined(marked, by, "sourceTopic", "sourcePartition"), path, name, 0)
+    finally:
+        done.unpersist()
+    return name
+
+
+def drop_hidden(spark: SparkSession, path: str) -> list[str]:
+    """Delete batches all of whose offsets newer runs have answered for; returns the runs that lost some.
+
+    No reader or writer may hold an older view of the table meanwhile.
+    """
+    done = commits(spark, path)
+    later = islands(done).select(
+        F.col("seq").alias("_seq"), F.col("sourceTopic").alias("_topic"), F.col("sourcePartition").alias("_partition"),
+        F.col("firstOffset").alias("_first"), F.col("lastOffset").alias("_last"))
+    open_ = done.join(later, F.expr(
+        "_topic = sourceTopic AND _partition = sourcePartition AND _first <= firstOffset AND _last >= lastOffset AND _seq > seq"), "left_anti")
+    gone = done.select("run", "batch").distinct().join(open_.select("run", "batch").distinct(), ["run", "batch"], "left_anti")
+    folders = spark.read.schema(MESSAGES).parquet(f"{path}/messages").select("run", "topic", "day", "keyPartition", "batch").distinct()
+    # Folders and not rows come to the driver, as for any listing of them.
+    for r in folders.join(gone, ["run", "batch"]).toLocalIterator():
+        _delete(spark, f"{path}/messages/run={r.run}/topic={r.topic}/day={r.day}/keyPartition={r.keyPartition}/batch={r.batch}")
+    lost = gone.collect()
+    for r in lost:
+        _delete(spark, f"{path}/commits/run={r.run}/batch={r.batch}")
+    return sorted({r.run for r in lost})
+
+
+def drop_expired(spark: SparkSession, path: str, topic: str, days: int, as_of: Column) -> list[str]:
+    """Delete the day folders of a topic that are wholly beyond its retention; returns the days."""
+    oldest = F.to_date(as_of.cast("timestamp") - F.make_dt_interval(F.lit(days)))
+    table = spark.read.schema(MESSAGES).parquet(f"{path}/messages")
+    old = table.filter((F.col("topic") == topic) & (F.col("day") < oldest)).select("run", "day").distinct().collect()
+    for r in old:
+        _delete(spark, f"{path}/messages/run={r.run}/topic={topic}/day={r.day}")
+    return sorted({str(r.day) for r in old})
 
 
 def retained(table: DataFrame, topic: str, days: int, as_of: Column) -> DataFrame:
@@ -59,42 +229,60 @@ def retained(table: DataFrame, topic: str, days: int, as_of: Column) -> DataFram
     return in_topic.filter(F.col("recordTimestamp") >= oldest)
 
 
+def source_headers() -> list[Column]:
+    """The headers of a message: the place of its source record, which ``with_source_place`` reads."""
+    place = F.concat_ws("/", "sourceTopic", F.col("sourcePartition").cast("string"), F.col("sourceOffset").cast("string"))
+    return [F.struct(F.lit(SOURCE_HEADER).alias("key"), place.cast("binary").alias("value"))]
+
+
 def write_kafka(messages: DataFrame, servers: str) -> None:
     """All topics in one Kafka write, by the ``topic`` column.
 
     Kafka gets a repeated batch twice; readers drop the second copy by the
     source place in the headers (see ``once``).
     """
-    headers = F.array(
-        F.struct(F.lit("source").alias("key"),
-                 F.concat_ws("/", "sourceTopic", "sourcePartition", "sourceOffset").cast("binary").alias("value")),
-    )
     (
-        messages.select("topic", "key", "value", headers.alias("headers"))
+        messages.select("topic", "key", "value", F.array(*source_headers()).alias("headers"))
         .write.format("kafka").option("kafka.bootstrap.servers", servers)
         .option("kafka.acks", "all").option("includeHeaders", "true").save()
     )
 
 
-def once(messages: DataFrame) -> DataFrame:
-    """Messages without the copies a repeated batch may have left."""
-    return messages.dropDuplicates(["topic", "sourceTopic", "sourcePartition", "sourceOffset"])
+def once(messages: DataFrame, *, within: str | None = None) -> DataFrame:
+    """Messages without the copies a repeated batch may have left.
+
+    A message is named by its topic and the place of its source record (what
+    ``kafka_topic`` restores with ``with_source``); messages without a place are
+    kept as they are. On a stream ``within`` bounds the state: copies further apart
+    than that in record time are not looked for.
+    """
+    name = ["topic", "sourceTopic", "sourcePartition", "sourceOffset"]
+    placed, other = messages.filter("sourceOffset IS NOT NULL"), messages.filter("sourceOffset IS NULL")
+    if within:
+        return placed.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(name).union(other)
+    return placed.dropDuplicates(name).union(other)
 
 
 def run(
     source: DataFrame, transform: Transform, path: str, checkpoint: str, *, name: str | None = None,
-    every: str | None = None,
+    every: str | None = None, **layout,
 ) -> StreamingQuery:
     """Start a plan from ``source`` to the message table under ``path``.
 
     Without ``every`` the query works off what is there and stops; with it
     (such as ``"1 second"``) it goes on. After a loss the query restarts from
-    the checkpoint and repeats at most the last micro-batch.
+    the checkpoint and repeats at most the last micro-batch. A new checkpoint
+    over the same table is a replay and replaces what it reads again.
+    ``layout`` goes to ``write_messages``.
     """
-    return _start(
-        source, lambda batch, batch_id: write_messages(transform(spread(batch, "offset")), path, batch_id),
-        checkpoint, name, every,
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_messages(transform(batch), path, batch_id, run=run_of(batch), source=batch, **layout)
+    return _start(source, write, checkpoint, name, every)
+
+
+def run_of(batch: DataFrame) -> str:
+    """The identity of the streaming query a micro-batch belongs to; its checkpoint keeps it over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def run_to_kafka(
@@ -115,47 +303,57 @@ class LatestStatus:
 
     The table is small (one row per equipment) next to the log. Two snapshot
     folders take turns: batch N reads the folder of batch N-1 and overwrites
-    the other one, so a repeated batch finds its input untouched.
+    the other one, so a repeated batch finds its input untouched. A row whose
+    ``tombstone`` column is null deletes its equipment, as in ``latest_by_key``.
     """
 
-    def __init__(self, transform: Transform, path: str, *, key: str = "equipmentId", chunk_rows: int = 20_000_000):
-        self.transform, self.path, self.key, self.chunk_rows = transform, path, key, chunk_rows
+    def __init__(
+        self, transform: Transform, path: str, *, key: str = "equipmentId", tombstone: str | None = "severity",
+        chunk_rows: int = 20_000_000,
+    ):
+        self.transform, self.path, self.key, self.tombstone, self.chunk_rows = transform, path, key, tombstone, chunk_rows
 
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """The newest snapshot, or the newest one older than batch ``before``."""
         found = []
         for slot in (0, 1):
-            try:
-                df = spark.read.parquet(f"{self.path}/latest/slot={slot}")
-            except AnalysisException:
+            path = f"{self.path}/latest/slot={slot}"
+            # A folder without this mark was never finished.
+            if not _exists(spark, f"{path}/_SUCCESS"):
                 continue
-            row = df.select("asOfBatch").first()
+            row = spark.read.parquet(f"{self.path}/latest/batches/slot={slot}").first()
             if row and (before is None or row[0] < before):
-                found.append((row[0], df))
-        return max(found, key=lambda pair: pair[0])[1].drop("asOfBatch") if found else None
+                found.append((row[0], spark.read.parquet(path)))
+        return max(found, key=lambda pair: pair[0])[1] if found else None
 
     def changes(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("mergeSchema", "false").parquet(f"{self.path}/changes").drop("batch")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        statuses = self.transform(batch)
         spark = batch.sparkSession
-        known = self.snapshot(spark, before=batch_id)
-        rows = statuses.withColumn("_known", F.lit(False))
-        if known is not None:
-            # An equipment's last known status takes part as the row before its first new one.
-            rows = rows.unionByName(known.withColumn("_known", F.lit(True)))
-        changed = status_changes(rows, key=self.key, order=LOG, chunk_rows=self.chunk_rows)
-        (
-            changed.filter(~F.col("_known")).drop("_known").withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch").parquet(f"{self.path}/changes")
-        )
-        (
-            latest_by_key(rows.drop("_known"), self.key, order=LOG, tombstone=None)
-            .withColumn("asOfBatch", F.lit(batch_id))
-            .write.mode("overwrite").parquet(f"{self.path}/latest/slot={batch_id % 2}")
-        )
+        # Kept for the two writes, so the records are decoded and judged once.
+        statuses = self.transform(batch).persist()
+        try:
+            known = self.snapshot(spark, before=batch_id)
+            rows = statuses.withColumn("_known", F.lit(False))
+            if known is not None:
+                # An equipment's last known status takes part as the row before its first new one.
+                rows = rows.unionByName(known.withColumn("_known", F.lit(True)))
+            changed = status_changes(rows, key=self.key, order=LOG, chunk_rows=self.chunk_rows)
+            (
+                changed.filter(~F.col("_known")).drop("_known").withColumn("batch", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch").parquet(f"{self.path}/changes")
+            )
+            slot = batch_id % 2
+            # The number first: a snapshot without its mark is not read, whatever its number says.
+            _delete(spark, f"{self.path}/latest/slot={slot}/_SUCCESS")
+            spark.createDataFrame([(batch_id,)], "asOfBatch long").coalesce(1).write.mode("overwrite").parquet(
+                f"{self.path}/latest/batches/slot={slot}")
+            latest_by_key(rows.drop("_known"), self.key, order=LOG, tombstone=self.tombstone).write.mode("overwrite").parquet(
+                f"{self.path}/latest/slot={slot}")
+        finally:
+            statuses.unpersist()
 
 
 def run_latest(

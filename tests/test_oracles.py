@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as catalogue
 from checks.compare import digest, oracle_connection, type_differences
-
-QUERIES = catalogue.queries()
-ORACLES = catalogue.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(catalogue.queries()) and set(ORACLES) <= set(catalogue.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -8,7 +8,7 @@ from pulsegrid.operators import parse
 from pulsegrid.schemas import ENVELOPE
 
 UTC = dt.timezone.utc
-AT = dt.datetime(2026, 8, 11, 8, 40, tzinfo=UTC)
+AT = dt.datetime(2024, 1, 2, 3, 4, tzinfo=UTC)
 
 
 def _one(spark, value, profile, **options):
@@ -22,8 +22,8 @@ def _one(spark, value, profile, **options):
     None, "", "   ", "null", "[]", '[{"equipmentId":"E"}]', '"text"', "7", '{"equipmentId":"E"',
     '{"temperature":"hot"}', '{"temperature":true}', '{"temperature":{}}', '{"errorCodes":{"a":1}}',
     '{"errorCodes":"W001"}', '{"errorCodes":[["W001"]]}', '{"errorCodes":[{"a":"b"}]}', '{"equipmentId":{"a":1}}',
-    '{"equipmentId":["a"]}', '{"timestamp":"yesterday"}', '{"timestamp":"2026-08-11"}',
-    '{"timestamp":"2026-08-11T08:40:00"}', '{"timestamp":"2026-13-11T08:40:00Z"}', '{"timestamp":true}',
+    '{"equipmentId":["a"]}', '{"timestamp":"yesterday"}', '{"timestamp":"2024-01-02"}',
+    '{"timestamp":"2024-01-02T03:04:00"}', '{"timestamp":"2024-13-02T03:04:00Z"}', '{"timestamp":true}',
     '{"timestamp":99999999999999999999}', "{'equipmentId':'E'}", '{"temperature":NaN}',
 ])
 def test_unusable(spark, profile, value):
@@ -37,10 +37,10 @@ def test_unusable(spark, profile, value):
     ('{"equipmentId":42}', "equipmentId", "42"), ('{"equipmentId":"{odd"}', "equipmentId", "{odd"),
     ('{"equipmentId":"[odd"}', "equipmentId", "[odd"), ('{"equipmentId":"E"} tail', "equipmentId", "E"),
     ('{"errorCodes":["[W001]",7,null]}', "errorCodes", ["[W001]", "7", None]),
-    ('{"timestamp":"2026-08-11T08:40:00.123456Z"}', "micros", 1786437600123456),
-    ('{"timestamp":"2026-08-11T10:40:00+02:00"}', "micros", 1786437600000000),
-    ('{"timestamp":1786437600123}', "micros", 1786437600123000),
-    ('{"timestamp":"1786437600123"}', "micros", 1786437600123000),
+    ('{"timestamp":"2024-01-02T03:04:00.123456Z"}', "micros", 1704164640123456),
+    ('{"timestamp":"2024-01-02T05:04:00+02:00"}', "micros", 1704164640000000),
+    ('{"timestamp":1704164640123}', "micros", 1704164640123000),
+    ('{"timestamp":"1704164640123"}', "micros", 1704164640123000),
     ("{}", "equipmentId", None),
 ])
 def test_usable(spark, profile, value, column, expected):
@@ -49,7 +49,7 @@ def test_usable(spark, profile, value, column, expected):
 
 
 def test_numeric_time_in_seconds(spark):
-    assert _one(spark, '{"timestamp":1786437600.5}', "stream", numeric_time="seconds").micros == 1786437600500000
+    assert _one(spark, '{"timestamp":1704164640.5}', "stream", numeric_time="seconds").micros == 1704164640500000
 
 
 def test_unknown_fields(spark):
@@ -78,5 +78,5 @@ def test_metadata_must_be_an_object(spark):
 
 def test_stream_defaults(spark):
     row = _one(spark, "{}", "stream")
-    assert row.micros == 1786437600000000 and row.errorCodes == [] and row.schemaVersion == 1
+    assert row.micros == 1704164640000000 and row.errorCodes == [] and row.schemaVersion == 1
     assert len(row.eventId) == 64 and row.eventId == _one(spark, "{}", "stream").eventId

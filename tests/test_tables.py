@@ -84,12 +84,22 @@ def test_latest_combines_before_the_shuffle(spark):
 
 def test_key_partitions_split_a_hot_key(spark):
     df = spark.createDataFrame(_log(), LOG_SCHEMA).withColumn("key", F.col("equipmentId"))
-    laid_out = tables.lay_out_by_key(df, 6, files_per_partition=4).withColumn("task", F.spark_partition_id())
+    laid_out = tables.key_pieces(df, 6, rows_per_piece=300).withColumn("task", F.spark_partition_id())
     assert laid_out.count() == 3000
     per_key = laid_out.groupBy("key").agg(F.countDistinct("keyPartition").alias("n"), F.countDistinct("task").alias("t"))
     rows = {r.key: r for r in per_key.collect()}
     assert all(r.n == 1 for r in rows.values())
-    assert rows["HOT"].t > 1
+    assert rows["HOT"].t >= 4
+    # With the production size these few rows need one piece for each partition.
+    whole = tables.key_pieces(df, 6).withColumn("task", F.spark_partition_id()).groupBy("keyPartition").agg(F.countDistinct("task").alias("t"))
+    assert {r.t for r in whole.collect()} == {1}
+    assert tables.key_pieces(df.limit(0), 6).count() == 0
+
+
+def test_chunks_follow_the_row_count(spark):
+    df = spark.createDataFrame(_log(), LOG_SCHEMA)
+    assert changes._chunks_for(df, 100) == 30
+    assert changes._chunks_for(df, 20_000_000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_retention_reaches_the_scan(spark, sf_dir):
