@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.session import work_dir
 
-MAX_BATCH_BYTES = 8 << 20
+MAX_BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +43,14 @@ def utf8(column: str) -> Column:
 
 def map_rows(
     df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, pa.Array]], dict[str, list | pa.Array]]],
+    most_rows: int = 10_000,
 ) -> DataFrame:
     """Map Arrow batches to Arrow batches of ``schema``.
 
     ``make`` runs once per task and returns the function that turns the columns
     of one batch into output columns. Batches are cut by size first, so a run
-    of very long texts does not grow the memory of a worker.
+    of very long texts does not grow the memory of a worker, and at ``most_rows``,
+    for functions that make much of each row.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -58,7 +60,7 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, MAX_BATCH_BYTES, most_rows):
                 out = work(dict(zip(part.schema.names, part.columns, strict=True)))
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, f.type) for f in arrow], schema=arrow)
@@ -66,15 +68,15 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in row ranges of at most ``most`` bytes, or of one row."""
-    if batch.num_rows <= 1 or batch.nbytes <= most:
+def pieces(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES, most_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in row ranges of at most ``most`` bytes and ``most_rows`` rows, or of one row."""
+    if batch.num_rows <= 1 or batch.nbytes <= most and batch.num_rows <= most_rows:
         if batch.num_rows:
             yield batch
         return
     half = batch.num_rows // 2
-    yield from pieces(batch.slice(0, half), most)
-    yield from pieces(batch.slice(half), most)
+    yield from pieces(batch.slice(0, half), most, most_rows)
+    yield from pieces(batch.slice(half), most, most_rows)
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

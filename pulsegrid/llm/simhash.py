@@ -111,7 +111,8 @@ def chains(nodes: DataFrame) -> DataFrame:
             found.append((key, np.repeat(node, real.sum(1)), np.broadcast_to(own, keys.shape)[real]))
         key, node, own = (np.concatenate(x) for x in zip(*found))
         return {"key": pa.array(key), "node": pa.array(node), "own": pa.array(own)}
-    return map_rows(nodes.select("node", "fps"), "key long, node long, own boolean", lambda: work)
+    # A node makes 37 rows for each table.
+    return map_rows(nodes.select("node", "fps"), "key long, node long, own boolean", lambda: work, most_rows=500)
 
 
 def _forest(node: np.ndarray, fps: np.ndarray, ring: int, most: int | None) -> list[tuple[int, int]]:
