@@ -71,10 +71,14 @@ def directory(path: Column) -> Column:
 
 
 def notices(files: DataFrame) -> DataFrame:
-    """``row, notice`` for ``row, text, whole``: lines with cue words, and the whole text of licence files."""
+    """``row, notice, text`` for ``row, text, whole``: lines with cue words, and the whole text of licence files.
+
+    ``notice`` is a digest: texts may be long, and what follows makes a row of each term.
+    """
     lines = F.when(F.col("text").rlike(f"(?i){CUES}"), F.regexp_extract_all("text", F.lit(rf"(?im)^.*(?:{CUES}).*$"), F.lit(0)))
     found = F.concat(F.coalesce(lines, F.array().cast("array<string>")), F.when(F.col("whole"), F.array("text")).otherwise(F.array().cast("array<string>")))
-    return files.filter("text IS NOT NULL").select("row", F.explode(F.array_distinct(found)).alias("notice"))
+    return files.filter("text IS NOT NULL").select("row", F.explode(F.array_distinct(found)).alias("text")).select(
+        "row", F.md5("text").alias("notice"), "text")
 
 
 def _weights(rows: DataFrame, key: str, idf: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,7 +90,8 @@ def _weights(rows: DataFrame, key: str, idf: DataFrame) -> tuple[DataFrame, Data
 
 def scored(found: DataFrame, known: DataFrame, *, least: float = LEAST) -> DataFrame:
     """``notice, license, score`` of distinct notices that are near enough to a template."""
-    counted = stored(found.groupBy("notice").agg(F.count(F.lit(1)).alias("n")).withColumn("terms", terms(F.col("notice"))), "notices")
+    counted = found.groupBy("notice").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    counted = stored(counted.select("notice", "n", terms(F.col("text")).alias("terms")), "notices")
     known = stored(known.filter("text IS NOT NULL AND license IS NOT NULL").select("license", "text").distinct().select(
         F.xxhash64("license", "text").alias("template"), "license", terms(F.col("text")).alias("terms")), "templates")
     total = (counted.agg(F.sum("n")).first()[0] or 0) + known.count()
@@ -118,7 +123,7 @@ def scan(
     rows = files.select(F.xxhash64(F.col(path), F.col(text)).alias("row"), F.col(path).alias("path"), F.coalesce(flag, F.lit(False)).alias("whole"),
                         F.col(text).alias("text"), *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
     found = stored(notices(rows), "found")
-    best = found.join(scored(found, known, least=least), "notice").groupBy("row").agg(
+    best = found.select("row", "notice").join(scored(found, known, least=least), "notice").groupBy("row").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     own = stored(best.select("row", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score")), "own")
     slim = stored(rows.drop("text").join(own, "row", "left").drop("row").withColumn("dir", directory(F.col("path"))), "files")

@@ -64,11 +64,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of their source, a thousand ids to a directory; one that opens with a notice states it for its directory."""
+    """Documents as files of their source, a thousand ids to a directory.
+
+    One whose first or last line is a notice states it for its directory.
+    """
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", F.expr("doc_id DIV 1000"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    opens = F.substring_index("text", "\n", 1).rlike(f"(?i){licenses.CUES}")
-    return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=opens, keep=("doc_id",))
+    edges = F.concat_ws("\n", F.substring_index("text", "\n", 1), F.substring_index("text", "\n", -1))
+    return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=edges.rlike(f"(?i){licenses.CUES}"), keep=("doc_id",))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
