@@ -87,4 +87,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
-ORACLES: dict[str, str] = {}
+# SQL where DuckDB can say it over whole tables; the other queries are tested against plain versions in tests/llm.
+ORACLES: dict[str, str] = {
+    "op2_mtree": """
+  WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+  scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+  SELECT query_id, CAST(r AS INTEGER) AS "rank", vec_id, score FROM placed WHERE r <= 5""",
+    "op4_chat": r"""
+  WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) h(t, r)),
+  chats AS (SELECT conv_id, count(*) AS n_turns,
+      string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+      coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learnt,
+      sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10))) AS chars
+    FROM turns GROUP BY conv_id)
+  SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
+    CAST(chars AS BIGINT) AS formatted_chars FROM chats""",
+    "op5_warc": """
+  WITH paid AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+  bits AS (SELECT *, array_to_string(list_transform(string_split(hex, ''), lambda h:
+      (['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'])
+      [strpos('0123456789abcdef', h)]), '') AS b, min(page_id) OVER (PARTITION BY payload) AS first_id FROM paid)
+  SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+      + 16 * CAST(b[5 * i + 1] AS INTEGER) + 8 * CAST(b[5 * i + 2] AS INTEGER) + 4 * CAST(b[5 * i + 3] AS INTEGER)
+      + 2 * CAST(b[5 * i + 4] AS INTEGER) + CAST(b[5 * i + 5] AS INTEGER), 1)), '') AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM bits""",
+}
