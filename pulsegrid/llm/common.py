@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +43,20 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def by_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks find this package."""
+    lend_path(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def lend_path(spark: SparkSession) -> None:
+    """Let Python tasks look for modules where this package lies, whatever folder the driver was started in."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))
+
+
 def map_rows(
     df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, pa.Array]], dict[str, list | pa.Array]]],
     most_rows: int = 10_000,
@@ -65,7 +81,7 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return by_arrow(df, run, schema)
 
 
 def pieces(batch: pa.RecordBatch, most: int = MAX_BATCH_BYTES, most_rows: int = 10_000) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import stored
+from pulsegrid.llm.common import by_arrow, stored
 
 PIVOTS = 64
 BLOCK = 32_768
@@ -173,7 +173,7 @@ def top_k(rows: DataFrame, queries: Column, *, k: int = 5, id: str = "vec_id", v
         for b in batches:
             d = metric.between(_matrix(b["v"], width), pivots)
             yield pa.RecordBatch.from_arrays([pa.array(d.argmin(1), pa.int32()), pa.array(d.min(1)), b["v"], b["ids"]], names=["cell", "d", "v", "ids"])
-    cells = stored(distinct.mapInArrow(nearest, "cell int, d double, v array<bigint>, ids array<bigint>"), "cells")
+    cells = stored(by_arrow(distinct, nearest, "cell int, d double, v array<bigint>, ids array<bigint>"), "cells")
     sizes = {r.cell: (r.n, r.r) for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()}
     blocks = {c: -(-n // BLOCK) for c, (n, _) in sizes.items()}
     count = F.create_map(*[F.lit(x) for c, n in blocks.items() for x in (c, n)])
@@ -235,9 +235,9 @@ def top_k(rows: DataFrame, queries: Column, *, k: int = 5, id: str = "vec_id", v
         entries = indexed.join(pairs, ["cell", "block"]).select(F.col("cell").alias("c"), F.col("block").alias("b"), "of", "v", "ids")
         return targets.groupBy("cell", "block", "part").cogroup(entries.groupBy("c", "b", "of")).applyInArrow(look, found)
 
-    first = searched(stored(asked.mapInArrow(home, sent), "home"))
+    first = searched(stored(by_arrow(asked, home, sent), "home"))
     bounds = first.groupBy("query_id", "v").agg(F.min("bound").alias("bound"))
     bounds = asked.join(bounds, ["query_id", "v"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    hits = searched(stored(stored(bounds.select("query_id", "v", "part", "bound"), "bounds").mapInArrow(others, sent), "sent"))
+    hits = searched(stored(by_arrow(stored(bounds.select("query_id", "v", "part", "bound"), "bounds"), others, sent), "sent"))
     place = F.row_number().over(Window.partitionBy("query_id", "v").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

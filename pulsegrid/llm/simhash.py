@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import groups, map_rows, stored, utf8
+from pulsegrid.llm.common import by_arrow, groups, map_rows, stored, utf8
 from pulsegrid.llm.components import components
 
 SHINGLE = 4
@@ -173,7 +173,7 @@ def links(nodes: DataFrame, *, most: int | None = None, block: int = BLOCK) -> D
 
     # A set number of tasks: the groups are small in bytes, but each costs comparisons.
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(run, "a long, b long")
+    return by_arrow(spread.repartition(tasks, "pair").sortWithinPartitions("pair"), run, "a long, b long")
 
 
 def near_duplicates(

@@ -32,7 +32,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import MAX_BATCH_BYTES, pieces, stored, utf8
+from pulsegrid.llm.common import MAX_BATCH_BYTES, by_arrow, pieces, stored, utf8
 from pulsegrid.session import work_dir
 
 MAGIC = b"\x1f\x8b\x08"
@@ -116,8 +116,8 @@ def write(pages: DataFrame, *, min_bytes: int = 0, folder: str | None = None) ->
                     out = None
         if out is not None:
             yield closed()
-    return stored(marked(pages, min_bytes=min_bytes).select("page_id", "url", "payload", "first_id", "revisit").mapInArrow(
-        run, "path string, bytes long, records long"), "manifest").withColumn("root", F.lit(place))
+    rows = marked(pages, min_bytes=min_bytes).select("page_id", "url", "payload", "first_id", "revisit")
+    return stored(by_arrow(rows, run, "path string, bytes long, records long"), "manifest").withColumn("root", F.lit(place))
 
 
 def member(file, at: int) -> tuple[bytes, int] | None:
@@ -205,4 +205,4 @@ def read(manifest: DataFrame, *, split: int = SPLIT) -> DataFrame:
                             rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
-    return ranges.repartition(tasks, "path", "start").mapInArrow(run, RECORD)
+    return by_arrow(ranges.repartition(tasks, "path", "start"), run, RECORD)
