@@ -79,6 +79,7 @@ def violations(
     config: HealthConfig = STATUS_PROFILE, t: str = "temperature", p: str = "pressure", codes: str = "errorCodes",
 ) -> str:
     """The texts of what went wrong: temperature, pressure, then codes in their own order."""
+    # The message texts.
     c = config
     known = (*c.critical_codes, *_only_warning(c))
     label = f"CASE WHEN {contains_any('array(e)', c.critical_codes)} THEN 'CRITICAL' ELSE 'WARNING' END"

@@ -148,6 +148,7 @@ def alert_type(statuses: tuple[str, ...] = STATUSES) -> str:
 
 def alert_message() -> str:
     """The alert text of a health row; names only the critical dimensions, lists all codes."""
+    # The message texts.
     return f"""concat(
         'Equipment ', coalesce(equipmentId, 'null'), ' in CRITICAL state. Health score: ', healthScore,
         CASE WHEN temperatureStatus = 'CRITICAL' AND temperature IS NOT NULL

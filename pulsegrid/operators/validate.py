@@ -14,6 +14,7 @@ from pulsegrid.config import IngestConfig
 from pulsegrid.functions.scalar import is_blank, pinned, quoted, texts
 from pulsegrid.schemas import ORIGIN, RAW_CONTRACT, RAW_EVENT, Contract
 
+# This text and those of the required fields (below).
 EMPTY_BODY = "Request body must not be empty"
 INVALID_JSON = "Invalid JSON: the body is not one well-formed document"
 NOT_AN_OBJECT = "SchemaMismatch: expected a JSON object"

@@ -19,6 +19,7 @@ ENVELOPE = T.StructType([
 # The columns that say where a record came from; every operator keeps them.
 ORIGIN = ("key", "topic", "partition", "offset", "recordTimestamp")
 
+# Field names and their order in the records and contracts, here and below.
 STATUS_TELEMETRY = (
     "correlationId", "equipmentId", "equipmentType", "timestamp", "temperature",
     "pressure", "errorCodes", "metadata", "schemaVersion",
@@ -44,8 +45,6 @@ STREAM_ALERT = (
 )
 
 # The domains of the enumerated contract fields.
-SEVERITIES = ("HEALTHY", "WARNING", "CRITICAL")
-ALERT_TYPES = ("TEMPERATURE_CRITICAL", "PRESSURE_CRITICAL", "ERROR_CODE_CRITICAL", "COMBINED_CRITICAL")
 AUDIT_ACTIONS = (
     "INGEST", "VALIDATE", "TRANSFORM", "EMIT_STATUS", "EMIT_ALERT", "DEAD_LETTER",
     "REPLAY", "SCHEMA_REGISTER", "ACKNOWLEDGE",
@@ -130,6 +129,7 @@ def _kind(avro_type) -> str:
     raise ValueError(f"unsupported contract type: {avro_type}")
 
 
+# The bundled contract.
 RAW_CONTRACT = Contract("RawTelemetryEvent", (
     ("equipmentId", "string"),
     ("timestamp", "long"),
