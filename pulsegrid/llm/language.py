@@ -32,7 +32,7 @@ from pulsegrid.llm.common import map_rows
 #: Bytes of labelled text for each language.
 SAMPLE_BYTES = 60_000
 #: Characters that one labelled row gives to the sample at most.
-ROW_CHARS = 4_000
+ROW_CHARS = 100_000
 #: Rows are drawn so that about this many times the sample comes to the driver.
 SURPLUS = 4
 PIECE = 512
@@ -69,7 +69,7 @@ def learn(
     shares = F.create_map(*[F.lit(x) for l, n in sizes.items() for x in (l, min(steps, math.ceil(steps * SURPLUS * sample_bytes / n)))])
     drawn = rows.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(steps)) < shares[F.col("_lang")])
     pool: dict[str, list[tuple[int, bytes]]] = {}
-    for label, value in drawn.select("_lang", "_text").toLocalIterator():
+    for label, value in drawn.select("_lang", "_text").collect():
         raw = normal(value)
         for k in range(0, len(raw), PIECE):
             piece = raw[k:k + PIECE]
