@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,15 +35,19 @@ def local_session(cores: str = "8", name: str = "pulsegrid", **conf: str) -> Spa
     return spark
 
 
+#: Where a local session that names no shared folder (as in tests) keeps its intermediate data.
+LOCAL_WORK = "/tmp/pulsegrid"
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach, for checkpoints and intermediate tables.
 
-    The cluster names the shared place in ``spark.checkpoint.dir``. Only a
-    local session may fall back to the machine's own temporary folder.
+    The cluster names the shared place in ``spark.checkpoint.dir``. Only where
+    that is unset a local session takes its own; a cluster must name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        shared = LOCAL_WORK
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
