@@ -19,25 +19,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written: the shuffle files behind it are of no more use then and are dropped at once, not
+#: when the driver happens to collect its garbage; and texts go to Python in batches of fewer rows.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+BROADCAST_BYTES = 32 << 20
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends there and a lost executor loses nothing.
-
-    The shuffle files behind it are of no more use and are dropped at once, not when the driver happens to
-    collect its garbage.
-    """
+    """Write ``df`` to the shared folder and read it back: its lineage ends there and a lost executor loses nothing."""
     spark = df.sparkSession
-    path, before = work_dir(spark, purpose), spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    path, before = work_dir(spark, purpose), {k: spark.conf.get(k) for k in WHILE_WRITING}
+    for k, v in WHILE_WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(table: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table as one side of a join: broadcast if its counted rows fit into ``most`` bytes, else left to Spark."""
+    return F.broadcast(table) if table.count() * row_bytes <= most else table
+
+
 def utf8(column: str) -> Column:
     """The bytes of a text column; null becomes empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

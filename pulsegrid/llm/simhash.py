@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import by_arrow, groups, map_rows, stored, utf8
+from pulsegrid.llm.common import by_arrow, groups, map_rows, sized, stored, utf8
 from pulsegrid.llm.components import components
 
 SHINGLE = 4
@@ -99,24 +99,26 @@ def _keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chains(nodes: DataFrame) -> DataFrame:
-    """``key, node, own`` rows for ``node, fps``: two that are close in a table meet under at least one key that one owns."""
+    """``p, own`` rows for ``short, fps``: a key in the upper half of ``p``, the node's ``short`` in the lower.
+
+    Two nodes that are close in a table meet under at least one key that one of them owns.
+    """
     def work(batch):
-        node = batch["node"].to_numpy(zero_copy_only=False)
-        fps = np.array(batch["fps"].to_pylist(), dtype=np.int64).reshape(len(node), -1)
-        found = []
+        short = batch["short"].to_numpy(zero_copy_only=False)
+        fps = np.array(batch["fps"].to_pylist(), dtype=np.int64).reshape(len(short), -1)
+        packed, owned = [], []
         for t in range(fps.shape[1]):
             keys, own = _keys(np.ascontiguousarray(fps[:, t]))
             real = keys < np.uint64(1 << 40)
-            key = keys[real].astype(np.int64) + (t * 5 << 26)
-            found.append((key, np.repeat(node, real.sum(1)), np.broadcast_to(own, keys.shape)[real]))
-        key, node, own = (np.concatenate(x) for x in zip(*found))
-        return {"key": pa.array(key), "node": pa.array(node), "own": pa.array(own)}
+            packed.append((keys[real].astype(np.int64) + (t * 5 << 26) << 32) | np.repeat(short, real.sum(1)))
+            owned.append(np.broadcast_to(own, keys.shape)[real])
+        return {"p": pa.array(np.concatenate(packed)), "own": pa.array(np.concatenate(owned))}
     # A node makes 37 rows for each table.
-    return map_rows(nodes.select("node", "fps"), "key long, node long, own boolean", lambda: work, most_rows=500)
+    return map_rows(nodes.select("short", "fps"), "p long, own boolean", lambda: work, most_rows=500)
 
 
 def _forest(node: np.ndarray, fps: np.ndarray, ring: int, most: int | None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among nodes that met at one start on one table's ring."""
+    """A spanning forest of the links among nodes that met at one start on one table's ring (``5 * table + start``)."""
     table, start = divmod(ring, 5)
     masks = np.zeros(3, np.uint64)
     for n in range(3):
@@ -152,21 +154,26 @@ def links(nodes: DataFrame, *, most: int | None = None, block: int = BLOCK) -> D
 
     Linked: at most four differing bits in one table, and ``most`` in all tables together if given.
     """
-    rows = chains(nodes)
+    # Rows are one number, half of it a hash of the node; nodes that share it only add candidates.
+    nodes = nodes.select("node", "fps", F.expr("xxhash64(node) & 4294967295").alias("short"))
+    rows, key = chains(nodes), F.shiftrightunsigned("p", 32)
     # Counts first, combined on the map side: keys without a possible pair go, large keys get blocks.
-    met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).filter("n > 1 AND owned")
-    met = stored(met.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "keys")
-    members = stored(rows.select("key", "node").join(met, "key"), "members").join(nodes.select("node", "fps"), "node")
+    met = rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).filter("n > 1 AND owned")
+    # Beyond 32,768 blocks (15 bits) they grow instead of their number.
+    blocks = F.least(F.lit(1 << 15), F.ceil(F.col("n") / block)).cast("int")
+    met = stored(met.select("key", blocks.alias("blocks")), "keys")
+    members = stored(rows.select("p").join(sized(met, 48), key == F.col("key")).select("key", "blocks", F.expr("p & 4294967295").alias("short")), "members")
+    members = members.join(nodes, "short")
     members = members.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = members.select("key", "node", "fps", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"), "mine")
-    # 31 bits of key and 16 for each block: room for 65 million members of one key.
-    spread = spread.select("node", "fps", F.expr("(key << 32) | (bigint(least(mine, other)) << 16) | greatest(mine, other)").alias("pair"))
+    # 32 bits of key and 15 for each block.
+    spread = spread.select("node", "fps", F.expr("(key << 30) | (bigint(least(mine, other)) << 15) | greatest(mine, other)").alias("pair"))
 
     def run(batches):
         for group in groups(batches, "pair"):
             if len(group) > 1:
                 fps = np.array(group["fps"].to_pylist(), dtype=np.int64)
-                found = _forest(group["node"].to_numpy(), fps, group["pair"][0].as_py() >> 58, most)
+                found = _forest(group["node"].to_numpy(), fps, group["pair"][0].as_py() >> 56, most)
                 if found:
                     ends = np.array(found, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
@@ -199,5 +206,10 @@ def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **op
     key = F.coalesce(F.col(id).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))
     keyed = docs.withColumn("_key", key)
     found = near_duplicates(keyed.select("_key", text), id="_key", text=text, **options)
-    first = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct(), "first")
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    first = stored(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_key")).count(), "first")
+    kept = keyed.join(sized(first.select("_key"), 48), "_key", "left_semi")
+    # Texts are dealt out again only if some row is there twice.
+    again = first.filter("count > 1").select("_key")
+    if not again.isEmpty():
+        kept = kept.join(again, "_key", "left_anti").union(kept.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return kept.select(*docs.columns)

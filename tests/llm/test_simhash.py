@@ -82,15 +82,20 @@ def test_links_against_all_pairs(spark, rng, block):
     assert {k: got.get(k, k) for k in fps} == want
 
 
-def test_tables_against_all_pairs(spark, rng):
+@pytest.mark.parametrize("tables", [3, 12])
+def test_tables_against_all_pairs(spark, rng, tables):
     sigs = []
     for _ in range(10):
-        centre = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+        centre = rng.integers(0, 1 << 63, tables, dtype=np.uint64)
         for _ in range(20):
-            flips = np.packbits(rng.random((3, 64)) < 0.07, axis=1, bitorder="little").view(np.uint64).ravel()
+            flips = rng.random((tables, 64)) < 0.07
+            # In most signatures only the last tables come close, so each table is seen to work.
+            flips[:rng.integers(0, tables)] |= rng.random(64) < 0.3
+            flips = np.packbits(flips, axis=1, bitorder="little").view(np.uint64).ravel()
             sigs.append((centre ^ flips).tolist())
+    most = 8 * tables
     nodes = [(i, np.array(x, np.uint64).view(np.int64).tolist()) for i, x in enumerate(sigs)]
-    edges = simhash.links(spark.createDataFrame(nodes, "node long, fps array<bigint>"), most=24, block=8)
+    edges = simhash.links(spark.createDataFrame(nodes, "node long, fps array<bigint>"), most=most, block=8)
     got = {r.node: r.root for r in components(edges).collect()}
     root = list(range(len(sigs)))
     changed = True
@@ -99,7 +104,7 @@ def test_tables_against_all_pairs(spark, rng):
         for i, x in enumerate(sigs):
             for j, y in enumerate(sigs[:i]):
                 d = [(a ^ b).bit_count() for a, b in zip(x, y)]
-                if min(d) <= 4 and sum(d) <= 24 and root[i] != root[j]:
+                if min(d) <= 4 and sum(d) <= most and root[i] != root[j]:
                     root[i] = root[j] = min(root[i], root[j])
                     changed = True
     assert [got.get(i, i) for i in range(len(sigs))] == root and len(set(root)) < len(sigs)
@@ -114,6 +119,16 @@ def test_one_of_each(spark):
     assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "alone"), (3, base), (7, "quite other words"), (8, "")]
 
 
+def test_same_without_broadcast(spark, monkeypatch):
+    base = " ".join(f"word{i}" for i in range(120))
+    rows = [(i, base if i % 3 else f"{base} {i}", None, None) for i in range(30)] + [(100 + i, f"text {i} of its own " * 9, None, None) for i in range(20)]
+    frame = spark.createDataFrame(rows, DOCS)
+    got = lambda: (sorted(map(tuple, simhash.near_duplicates(frame).collect())), sorted(r.doc_id for r in simhash.one_of_each(frame).collect()))
+    with_broadcast = got()
+    monkeypatch.setattr(simhash, "sized", lambda table, row_bytes: table.hint("merge"))
+    assert got() == with_broadcast
+
+
 def test_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     fps = {k: plain_fingerprint(t) for k, t in docs.items()}
