@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import map_rows, utf8
 
 #: Entries of the cache of encoded pre-tokens in one worker; it starts anew beyond that.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: Longer pre-tokens are not kept in the cache.
 CACHE_LENGTH = 64
 #: White space as the vocabulary's pre-tokeniser understands it (fixed value).

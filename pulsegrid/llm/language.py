@@ -18,6 +18,7 @@ labelled row every document is ``und``; other columns are ignored.
 from __future__ import annotations
 
 import math
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -82,34 +83,40 @@ def learn(
     return model
 
 
-def suffix_automaton(text: bytes) -> list[dict[int, int]]:
-    """Transitions of the automaton that reads exactly the substrings of ``text``; state 0 is the start."""
-    moves: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
-    for c in text:
-        new = len(moves)
-        moves.append({})
-        link.append(0)
-        length.append(length[last] + 1)
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """Moves of the automaton that reads exactly the substrings of a text; symbols run from 1 to ``width - 1``.
+
+    A row for each state, a column for each symbol; state 1 is the start, 0 stands for no move. All
+    moves lie in one flat array, as states would be far larger as objects.
+    """
+    most = 2 * len(symbols) + 2
+    moves, link, length = array("i", bytes(4 * most * width)), array("i", bytes(4 * most)), array("i", bytes(4 * most))
+    last = states = 1
+    for c in symbols:
+        states += 1
+        new = states
+        length[new] = length[last] + 1
         p = last
-        while p >= 0 and c not in moves[p]:
-            moves[p][c] = new
+        while p and not moves[p * width + c]:
+            moves[p * width + c] = new
             p = link[p]
-        if p >= 0:
-            q = moves[p][c]
+        if not p:
+            link[new] = 1
+        else:
+            q = moves[p * width + c]
             if length[p] + 1 == length[q]:
                 link[new] = q
             else:
-                copy = len(moves)
-                moves.append(dict(moves[q]))
-                link.append(link[q])
-                length.append(length[p] + 1)
-                while p >= 0 and moves[p].get(c) == q:
-                    moves[p][c] = copy
+                states += 1
+                copy = states
+                moves[copy * width:(copy + 1) * width] = moves[q * width:(q + 1) * width]
+                link[copy], length[copy] = link[q], length[p] + 1
+                while p and moves[p * width + c] == q:
+                    moves[p * width + c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return moves
+    return np.frombuffer(moves, np.int32)[:(states + 1) * width].reshape(-1, width).copy()
 
 
 class Parser:
@@ -120,16 +127,10 @@ class Parser:
         seen = sorted(set(text))
         self.symbol = np.zeros(256, dtype=np.int32)
         self.symbol[seen] = np.arange(1, len(seen) + 1)
-        moves, self.width = suffix_automaton(text), len(seen) + 1
-        # Row 0 knows no symbol, row s + 1 is state s. Where a phrase ends, the move goes on from the start and is negative.
-        first = np.zeros(self.width, dtype=np.int32)
-        for c, t in moves[0].items():
-            first[self.symbol[c]] = t + 1
-        table = np.tile(-first * self.width - 1, (len(moves) + 1, 1))
-        for s, out in enumerate(moves):
-            for c, t in out.items():
-                table[s + 1, self.symbol[c]] = (t + 1) * self.width
-        self.table = table.ravel()
+        width = len(seen) + 1
+        moves = suffix_automaton(self.symbol[np.frombuffer(text, np.uint8)].tolist(), width)
+        # Row 0 knows no symbol. Where a phrase ends, the move goes on from the start and is negative.
+        self.table = np.where(moves > 0, moves * width, -moves[1] * width - 1).astype(np.int32).ravel()
 
     def phrases(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece; pieces are sorted by falling length."""
