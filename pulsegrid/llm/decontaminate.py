@@ -6,11 +6,18 @@ of template tokens are hashed and joined with those of the benchmark. Where
 windows hold placeholders, the values must be consistent: along one alignment,
 a value of the item stands for one value of the document wherever it occurs.
 A document is contaminated by an item if at least ``COVERAGE`` of the item's
-windows occur in it so.
-
-Defined results: null and empty texts match nothing, nor do items of fewer
-tokens than a window; windows of fewer than ``LITERALS`` words beside
-placeholders tell nothing and are not used; repeated items are each reported,
+usable windows occur in it so. Windows of fewer than ``LITERALS`` words beside
+placeholders tell nothing by themselves and are not used.
+
+Items of which that leaves less than ``COVERAGE`` of the windows, and items of fewer
+tokens than a window, are whole: their whole template must occur, with consistent
+values. One window, the one with the most words, finds the places to look at. With
+fewer than ``LITERALS`` words in the whole item its template tells nothing either, and
+the values must be the same; if it has fewer tokens than that as well ('Why?'), it
+must be all of the document, as nearly every text holds such words.
+
+Defined results: null and empty texts match nothing, nor do items without a token;
+a letter of a script written without blanks is a token; repeated items are each reported,
 repeated documents once, and a null id like any other; other columns are ignored.
 """
 
@@ -40,7 +47,9 @@ UNITS = (
 NAME = r"(?<=[\p{Ll},;] )\p{Lu}[\p{L}'-]*(?: \p{Lu}[\p{L}'-]*)*"
 NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
 UNIT = rf"(?<={END})( ?)({'|'.join(UNITS)}|[%€$£°])(?!\p{{L}})"
-TOKEN = rf"[{NAME_MARK}-{UNIT_MARK}][^{END}]*{END}|\p{{L}}+"
+# Letters of scripts that put no blanks between words; each is a token.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+TOKEN = rf"[{NAME_MARK}-{UNIT_MARK}][^{END}]*{END}|(?:(?!{UNSPACED})\p{{L}})++|{UNSPACED}"
 
 
 def tokens(text: Column) -> Column:
@@ -58,13 +67,17 @@ def template(found: Column) -> Column:
     return F.transform(found, lambda t: F.xxhash64(F.when(t < END, F.substring(t, 1, 1)).otherwise(t)))
 
 
-def windows(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``hashes``) as one row per window: the other columns, ``pos`` and ``window``."""
-    n = F.greatest(F.lit(0), F.size("hashes") - (WINDOW - 1))
-    shifted = [F.slice("hashes", F.lit(k + 1), n).alias(f"h{k}") for k in range(WINDOW)]
+def windows(rows: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``rows`` (with ``hashes``) as one row per window of ``width`` tokens: the other columns, ``pos`` and ``window``."""
+    n = F.greatest(F.lit(0), F.size("hashes") - (width - 1))
+    shifted = [F.slice("hashes", F.lit(k + 1), n).alias(f"h{k}") for k in range(width)]
     others = [c for c in rows.columns if c != "hashes"]
     out = rows.select(*others, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
-    return out.select(*others, "pos", F.xxhash64(*[F.col(f"w.h{k}") for k in range(WINDOW)]).alias("window"))
+    return out.select(*others, "pos", F.xxhash64(*[F.col(f"w.h{k}") for k in range(width)]).alias("window"))
+
+
+def _slots(found: Column) -> Column:
+    return F.filter(found, lambda t: t < END)
 
 
 def _keyed(rows: DataFrame, id: str, text: str, name: str) -> DataFrame:
@@ -79,16 +92,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text:
     ``reworded`` says that a placeholder's value differs from the item's.
     """
     items = _keyed(benchmark, item_id, item_text, "item_id").withColumn("found", tokens(F.col("text")))
-    items = items.select("item_id", F.col("row").alias("item"), "found", template(F.col("found")).alias("hashes"))
-    items = stored(items.withColumn("total", F.size("hashes") - (WINDOW - 1)).filter("total > 0"), "items")
-    held = windows(items.drop("found")).join(items.select("item", "found"), "item").withColumn(
-        "slots", F.size(F.filter(F.slice("found", F.col("pos") + 1, WINDOW), lambda t: t < END)))
-    held = stored(held.filter(F.col("slots") <= WINDOW - LITERALS).select(
-        "item_id", "item", F.col("pos").alias("item_pos"), "window", "total", F.expr("slots > 0").alias("slotted")).distinct(), "windows")
+    items = stored(items.select("item_id", F.col("row").alias("item"), "found", template(F.col("found")).alias("hashes")).filter("size(hashes) > 0"), "items")
+    held = windows(items.drop("found")).join(items.select("item", "found").distinct(), "item").withColumn(
+        "slots", F.size(_slots(F.slice("found", F.col("pos") + 1, WINDOW)))).drop("found")
+    held = stored(held.withColumn("usable", F.col("slots") <= WINDOW - LITERALS).distinct(), "windows")
+    totals = held.groupBy("item").agg(F.count_if("usable").alias("total"), F.count(F.lit(1)).alias("n"), F.min(F.struct("slots", "pos")).alias("best"))
+    totals = totals.withColumn("whole", F.expr("total = 0") | (F.col("total") < coverage * F.col("n"))).drop("n")
+    held = held.join(totals, "item").filter(F.expr("if(whole, pos = best.pos, usable)")).select(
+        "item_id", "item", F.col("pos").alias("item_pos"), "window", "total", F.expr("slots > 0").alias("slotted"), "whole")
 
     texts = _keyed(docs, id, text, "doc_id")
-    seen = windows(texts.select("doc_id", "row", template(tokens(F.col("text"))).alias("hashes")))
-    hits = stored(seen.join(held, "window").select("doc_id", "row", "pos", "item_id", "item", "item_pos", "total", "slotted").distinct(), "hits")
+    hashed = texts.select("doc_id", "row", template(tokens(F.col("text"))).alias("hashes"))
+    hits = windows(hashed).join(stored(held, "held"), "window")
+    # Items shorter than a window, by windows of their own width.
+    short = items.filter(F.size("hashes") < WINDOW)
+    for width in sorted(r[0] for r in short.select(F.size("hashes")).distinct().collect()):
+        own = windows(short.filter(F.size("hashes") == width).drop("found"), width).distinct().select(
+            "item_id", "item", F.col("pos").alias("item_pos"), "window", F.lit(1).cast("long").alias("total"),
+            F.lit(False).alias("slotted"), F.lit(True).alias("whole"))
+        hits = hits.unionByName(windows(hashed, width).join(own, "window"))
+    met = stored(hits.select("doc_id", "row", "pos", "item_id", "item", "item_pos", "total", "slotted", "whole").distinct(), "hits")
+    hits = met.filter("NOT whole").drop("whole")
     # Only pairs that could reach the coverage matter further on.
     pair = ("doc_id", "row", "item_id", "item")
     likely = stored(hits.groupBy(*pair, "total").agg(F.countDistinct("item_pos").alias("n")).filter(F.col("n") >= coverage * F.col("total")), "likely")
@@ -104,10 +128,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text:
         F.min("ours").alias("low"), F.max("ours").alias("high")).groupBy("row", "item", "line").agg(
         F.max(F.col("low") != F.col("high")).alias("torn"), F.max((F.col("theirs") != F.col("low")) | (F.col("low") != F.col("high"))).alias("other"))
     kept = hits.join(stored(judged, "judged"), ["row", "item", "line"], "left").filter("NOT coalesce(torn, false) OR NOT slotted")
-    return kept.groupBy(*pair, "total").agg(
+    found = kept.groupBy(*pair, "total").agg(
         F.countDistinct("item_pos").alias("windows"), F.max(F.coalesce("other", F.lit(False))).alias("reworded"),
     ).filter(F.col("windows") >= coverage * F.col("total")).select(
         "doc_id", "row", "item_id", F.col("windows").cast("long").alias("windows"), (F.col("windows") / F.col("total")).alias("coverage"), "reworded").distinct()
+    return found.unionByName(_whole(texts, items, met.filter("whole")))
+
+
+def _whole(texts: DataFrame, items: DataFrame, met: DataFrame) -> DataFrame:
+    """Documents that hold whole templates of items, of those that ``met`` one of their windows."""
+    lines = stored(met.groupBy("doc_id", "row", "item_id", "item").agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("lines")), "lines")
+    theirs = items.select("item", F.col("found").alias("theirs"), F.col("hashes").alias("kinds")).distinct()
+    ours = texts.join(lines.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("row", tokens(F.col("text")).alias("ours"))
+    ours = ours.withColumn("ours_kinds", template(F.col("ours")))
+    n = F.size("theirs")
+    words = n - F.size(_slots(F.col("theirs")))
+
+    def said(line: Column) -> Column:
+        return F.slice("ours", line + 1, n)
+
+    def holds(line: Column) -> Column:
+        same = said(line) == F.col("theirs")
+        pairs = F.filter(F.arrays_zip(F.col("theirs").alias("t"), said(line).alias("o")), lambda p: p["t"] < END)
+        one_value = F.size(F.array_distinct(pairs)) == F.size(F.array_distinct(_slots(F.col("theirs"))))
+        return F.when(words >= LITERALS, (F.slice("ours_kinds", line + 1, n) == F.col("kinds")) & one_value).when(
+            n >= LITERALS, same).otherwise(F.col("ours") == F.col("theirs"))
+    out = lines.join(ours, "row").join(theirs, "item").withColumn("good", F.filter("lines", lambda x: F.when(x >= 0, holds(x)).otherwise(False)))
+    return out.filter("size(good) > 0").select(
+        "doc_id", "row", "item_id", F.lit(1).cast("long").alias("windows"), F.lit(1.0).alias("coverage"),
+        F.exists("good", lambda x: said(x) != F.col("theirs")).alias("reworded")).distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
