@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, licenses, mtree, pii, simhash, suffixes, warc
+from pulsegrid.llm import bpe, chat, decontaminate, language, licenses, mtree, pii, simhash, suffixes, tokencounts, warc
 from pulsegrid.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=edges.rlike(f"(?i){licenses.CUES}"), keep=("doc_id",))
 
 
+def op13_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_mtree": op2_mtree,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op13_tokencounts": op13_tokencounts,
 }
 
 # SQL where DuckDB can say it over whole tables; the other queries are tested against plain versions in tests/llm.
