@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, language, licenses, mtree, pii, simhash, suffixes, tokencounts, warc
+from pulsegrid.llm import bpe, chat, decontaminate, hardnegatives, language, licenses, mtree, pii, simhash, suffixes, tokencounts, warc
 from pulsegrid.llm.common import table
 
 
@@ -74,6 +74,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=edges.rlike(f"(?i){licenses.CUES}"), keep=("doc_id",))
 
 
+def op12_hardnegatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives for every row whose id is divisible by 100; labels of ids divisible by 7 are moved on first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.count(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op12_hardnegatives": op12_hardnegatives,
     "op13_tokencounts": op13_tokencounts,
 }
 
@@ -124,4 +131,18 @@ ORACLES: dict[str, str] = {
       + 2 * CAST(b[5 * i + 4] AS INTEGER) + CAST(b[5 * i + 5] AS INTEGER), 1)), '') AS payload_digest,
     CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM bits""",
+    "op12_hardnegatives": """
+  WITH moved AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+  v AS (SELECT vec_id, r.label AS label, r.e AS e FROM (SELECT vec_id, min({'label': label, 'e': e}) AS r FROM moved GROUP BY vec_id)),
+  scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+  near AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+  far AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+      row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS r
+    FROM near JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+  SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS "rank", negative_id, positive_score, negative_score FROM far WHERE r <= 10""",
 }
