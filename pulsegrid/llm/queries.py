@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, chat, decontaminate, hardnegatives, language, licenses, mtree, pii, simhash, suffixes, tokencounts, warc
+from pulsegrid.llm import bpe, chat, decontaminate, hardnegatives, language, licenses, mtree, pii, repair, simhash, suffixes, tokencounts, warc
 from pulsegrid.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.withColumn("path", path), licenses.templates(spark), license_file=edges.rlike(f"(?i){licenses.CUES}"), keep=("doc_id",))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.query(spark, table(spark, sf_dir, "conversations"))
+
+
 def op12_hardnegatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Negatives for every row whose id is divisible by 100; labels of ids divisible by 7 are moved on first."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op11_repair": op11_repair,
     "op12_hardnegatives": op12_hardnegatives,
     "op13_tokencounts": op13_tokencounts,
 }
