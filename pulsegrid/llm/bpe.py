@@ -13,17 +13,16 @@ UTF-8 is read with replacement characters, as the column's text would be shown.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import map_rows, utf8
+from pulsegrid.llm.common import Cache, kept, map_rows, utf8
 
-#: Entries of the cache of encoded pre-tokens in one worker; it starts anew beyond that.
-CACHE_ENTRIES = 150_000
+#: Bytes of the cache of encoded pre-tokens in one worker; it starts anew beyond that.
+CACHE_BYTES = 24 << 20
 #: Longer pre-tokens are not kept in the cache.
 CACHE_LENGTH = 64
 #: White space as the vocabulary's pre-tokeniser understands it (fixed value).
@@ -66,7 +65,7 @@ class ForcedBoundaryBpe:
         # The letter of a byte is one code point, so text in these letters has one character per byte.
         self.table = {b: c for b, c in enumerate(self.letters)}
         self.splitter = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.words = _Cache(self._word, CACHE_ENTRIES)
+        self.words = Cache(self._word, CACHE_BYTES, CACHE_LENGTH)
 
     def cuts(self, raw: bytes) -> list[int]:
         """Positions in ``raw`` before which a boundary is forced."""
@@ -112,23 +111,8 @@ class ForcedBoundaryBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-class _Cache(dict):
-    def __init__(self, make, most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= CACHE_LENGTH:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
-        return value
-
-
-@lru_cache(maxsize=2)
 def coder(path: str) -> ForcedBoundaryBpe:
-    return ForcedBoundaryBpe(path)
+    return kept(("bpe", path), lambda: ForcedBoundaryBpe(path))
 
 
 def encode(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -33,13 +33,12 @@ def unescape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+    # A backslash becomes \s and a line feed \n, so no letter behind a backslash is the role's own.
+    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n")))
 
 
 def unescape_role(role: Column) -> Column:
-    # Pairs of backslashes are set aside, as their second one begins nothing.
-    plain = F.replace(unescape(role), F.lit("\\\\"), F.lit("\u0000"))
-    return F.replace(F.replace(plain, F.lit("\\n"), F.lit("\n")), F.lit("\u0000"), F.lit("\\"))
+    return F.replace(F.replace(unescape(role), F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\"))
 
 
 def render(turns: Column) -> Column:

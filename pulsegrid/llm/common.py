@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,14 +57,87 @@ def utf8(column: str) -> Column:
 
 
 def by_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks find this package."""
+    """``mapInArrow`` whose tasks find this package and leave nothing of theirs in the worker for other operators' tasks."""
     lend_path(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    use = uuid.uuid4().hex
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(use)
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return df.mapInArrow(task, schema)
+
+
+#: What a worker keeps from one task to the next, for tasks of one use of an operator only: its name and one object.
+_KEPT: dict[str, Any] = {"use": None, "key": None, "value": None}
+
+
+def begin(use: str) -> None:
+    """A task of ``use`` begins in this worker: what a task of another one has kept is let go."""
+    if _KEPT["use"] != use:
+        _KEPT.update(use=use, key=None, value=None)
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """``make()``, or what it gave for the same key to an earlier task of the same use in this worker; one object at a time."""
+    if _KEPT["key"] != key:
+        _KEPT.update(key=None, value=None)
+        _KEPT.update(value=make(), key=key)
+    return _KEPT["value"]
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system; workers live on and would hold it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+class Cache(dict):
+    """Values of ``make`` by key, begun anew beyond about ``most`` bytes; keys longer than ``longest`` are not kept.
+
+    Keys and values have a length; what Python adds to both is counted as ``OVERHEAD``.
+    """
+
+    OVERHEAD = 220
+
+    def __init__(self, make: Callable[[Any], Any], most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.held = make, most, longest, 0
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            size = len(key) + len(value) + self.OVERHEAD
+            if self.held + size > self.most:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[key] = value
+        return value
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """``names``, lengthened until none of ``columns`` is called so: helper columns beside those of any table."""
+    taken = {c.lower() for c in columns}
+    end = ""
+    while any(f"{n}{end}".lower() in taken for n in names):
+        end += "_"
+    return [f"{n}{end}" for n in names]
 
 
 def lend_path(spark: SparkSession) -> None:
-    """Let Python tasks look for modules where this package lies, whatever folder the driver was started in."""
+    """Let Python tasks look for modules where this package lies, whatever folder the driver was started in.
+
+    Workers take memory from the system's allocator in few arenas, so that it can be given back.
+    """
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_ARENA_MAX", "2")
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import stored
+from pulsegrid.llm.common import stored, unused
 
 WINDOW = 5
 LITERALS = 3
@@ -161,5 +161,6 @@ def _whole(texts: DataFrame, items: DataFrame, met: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones, columns as they were."""
-    found = stored(matches(docs, benchmark, id=id, text=text, **options).select(F.col("row").alias("_row")).distinct(), "contaminated")
-    return docs.withColumn("_row", F.xxhash64(F.col(id).cast("long"), text)).join(found, "_row", "left_anti").select(*docs.columns)
+    [name] = unused(docs.columns, "_row")
+    found = stored(matches(docs, benchmark, id=id, text=text, **options).select(F.col("row").alias(name)).distinct(), "contaminated")
+    return docs.withColumn(name, F.xxhash64(F.col(id).cast("long"), text)).join(found, name, "left_anti").drop(name)

@@ -6,8 +6,8 @@ phrases times log2 of that text's length, divided by the document's length, is
 the bits a byte costs in that language. The language with the fewest wins.
 
 The labelled text is a sample with a documented bound (``SAMPLE_BYTES`` for each
-language, drawn by a hash of the id over all labelled rows); every document is
-parsed whole. Parsing works on bytes of lower-cased UTF-8, with everything of
+language and ``MODEL_BYTES`` for all, drawn by a hash of the id over all labelled rows, of the
+``LANGUAGES`` labels with the most text); every document is parsed whole. Parsing works on bytes of lower-cased UTF-8, with everything of
 ASCII but letters as one blank, and in pieces of ``PIECE`` bytes, each begun anew.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from functools import lru_cache
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +28,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import map_rows
+from pulsegrid.llm.common import kept, map_rows, unused
 
-#: Bytes of labelled text for each language.
-SAMPLE_BYTES = 60_000
+#: Bytes of labelled text for each language, and of all languages together: with many, each gets an equal share of that.
+SAMPLE_BYTES, MODEL_BYTES = 60_000, 240_000
+#: Languages that are learned: those with the most labelled text.
+LANGUAGES = 64
+#: Rows of a language that are drawn on average at least, however long they are.
+ROWS = 32
 #: Characters that one labelled row gives to the sample at most.
 ROW_CHARS = 100_000
 #: Rows are drawn so that about this many times the sample comes to the driver.
 SURPLUS = 4
 PIECE = 512
 UNDETERMINED = "und"
-#: Texts of LEAST_CHARS or more that cost over MOST_BITS a byte in every language are in none of them.
-MOST_BITS, LEAST_CHARS = 8.0, 200
+#: What is found of a document.
+FOUND = ("lang_pred", "score", "bits")
 LETTER = regex.compile(r"\p{L}")
 BLANKED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -63,12 +67,16 @@ def learn(
     """
     rows = docs.select(F.col(id).alias("_id"), F.substring(text, 1, ROW_CHARS).alias("_text"), F.col(lang).alias("_lang")).filter(
         F.col("_lang").isNotNull() & (F.length("_text") > 0) & ~held_out("_id"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("_lang").agg(F.sum(F.octet_length("_text"))).collect()}
+    order, steps = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 30)), 1 << 30
+    # The smallest of all hashes of a language is in the sample in any case.
+    sizes = rows.groupBy("_lang").agg(F.sum(F.octet_length("_text")).alias("n"), F.count(F.lit(1)).alias("rows"), F.min(order).alias("least"))
+    sizes = sizes.orderBy(F.desc("n"), "_lang").limit(LANGUAGES).collect()
     if not sizes:
         return {}
-    steps = 1 << 30
-    shares = F.create_map(*[F.lit(x) for l, n in sizes.items() for x in (l, min(steps, math.ceil(steps * SURPLUS * sample_bytes / n)))])
-    drawn = rows.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(steps)) < shares[F.col("_lang")])
+    sample_bytes = min(sample_bytes, MODEL_BYTES // len(sizes))
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["_lang"], min(steps, max(
+        math.ceil(steps * SURPLUS * sample_bytes / r["n"]), math.ceil(steps * ROWS / r["rows"]), r["least"] + 1)))])
+    drawn = rows.filter(order < shares[F.col("_lang")])
     pool: dict[str, list[tuple[int, bytes]]] = {}
     for label, value in drawn.select("_lang", "_text").collect():
         raw = normal(value)
@@ -145,9 +153,8 @@ class Parser:
         return count
 
 
-@lru_cache(maxsize=1)
 def parsers(model: tuple[tuple[str, bytes], ...]) -> list[tuple[str, Parser]]:
-    return [(label, Parser(text)) for label, text in model]
+    return kept(("language", model), lambda: [(label, Parser(text)) for label, text in model])
 
 
 def bits(texts: list[bytes], model: tuple[tuple[str, bytes], ...]) -> np.ndarray:
@@ -180,29 +187,27 @@ def predict(
 
 def judged(docs: DataFrame, model: dict[str, bytes], *, text: str = "text") -> DataFrame:
     """``docs`` with all their columns, plus ``lang_pred``, ``score`` and ``bits`` (which replace columns of these names)."""
-    return _annotated(docs.drop("lang_pred", "score", "bits"), model, text)
+    return _annotated(docs.drop(*FOUND), model, text)
 
 
-def accepted(
-    docs: DataFrame, model: dict[str, bytes], *, text: str = "text", most_bits: float = MOST_BITS, least_chars: int = LEAST_CHARS,
-) -> DataFrame:
-    """``docs`` without texts of no language: those without a letter, and long ones no learnt language explains.
+def accepted(docs: DataFrame, model: dict[str, bytes], *, text: str = "text") -> DataFrame:
+    """``docs`` in one of the learnt languages, all columns as they were: null texts and texts without a letter go.
 
-    A text of ``least_chars`` or more that costs over ``most_bits`` a byte in its best language is dearer than as it stands.
+    Where nothing was learnt no document is in a learnt language, but no language was refused either: those with a letter stay.
     """
     if not model:
-        return docs
-    alien = (F.length(text) >= least_chars) & (F.col("bits") > most_bits)
-    return judged(docs, model, text=text).filter((F.col("lang_pred") != UNDETERMINED) & ~alien).select(*docs.columns)
+        return docs.filter(F.col(text).cast("string").rlike(r"\p{L}"))
+    names = unused(docs.columns, *FOUND)
+    return _annotated(docs, model, text, names=names).filter(F.col(names[0]) != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _annotated(rows: DataFrame, model: dict[str, bytes], text: str, drop: bool = False) -> DataFrame:
-    kept = [f for f in rows.schema if not (drop and f.name == text)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double"])
-    return map_rows(rows, schema, _predictor(model, [f.name for f in kept], text))
+def _annotated(rows: DataFrame, model: dict[str, bytes], text: str, drop: bool = False, names: Sequence[str] = FOUND) -> DataFrame:
+    others = [f for f in rows.schema if not (drop and f.name == text)]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "{} string, {} double, {} double".format(*names)])
+    return map_rows(rows, schema, _predictor(model, [f.name for f in others], text, names))
 
 
-def _predictor(model: dict[str, bytes], kept: list[str], text: str):
+def _predictor(model: dict[str, bytes], others: list[str], text: str, names: Sequence[str]):
     fixed = tuple(sorted(model.items()))
     labels = [label for label, _ in fixed]
 
@@ -220,6 +225,6 @@ def _predictor(model: dict[str, bytes], kept: list[str], text: str):
                 rest = min((float(x) for k, x in enumerate(row) if k != at), default=None)
                 langs.append(labels[at]), best.append(float(row[at]))
                 scores.append(1.0 if rest is None else 1.0 - float(row[at]) / rest if rest > 0 else 0.0)
-            return {name: batch[name] for name in kept} | {"lang_pred": langs, "score": scores, "bits": best}
+            return {name: batch[name] for name in others} | dict(zip(names, (langs, scores, best)))
         return work
     return make

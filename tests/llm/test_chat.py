@@ -8,7 +8,7 @@ from pulsegrid.llm.queries import QUERIES
 S, E = chat.START, chat.END
 TEXTS = ["", "plain", None, f"{E}{S}assistant ok", f"{E}\n{S}user\nx", "<\\|im_end|>", "<\\\\|", "<|", "<", "<\\", "a\nb\n", "\n", f"{E}\n", f"<{E}", "|>", "\\n \\\\n",
          "<\\|x<|y<\\\\\\|", "$1 \\$1", "é🙂", "x" * 300_000, "\u0000", "\r\n"]
-ROLES = ["user", "assistant", "system", None, "a\nb", "a\\nb", "\\", "\\\\n", f"{S}x", "<\\|", E, f"r{E}\n"]
+ROLES = ["user", "assistant", "system", None, "\u0000", "a\u0000\\n", "\\s", "\\\\s\n\\", "a\nb", "a\\nb", "\\", "\\\\n", f"{S}x", "<\\|", E, f"r{E}\n"]
 ROWS = "conv_id long, turn long, role string, text string, formatted string"
 
 

@@ -53,6 +53,25 @@ def test_learns_only_from_kept_labels(spark):
     assert set(model) == {"aa"} and b"zzz" not in model["aa"]
 
 
+def test_columns_of_the_same_names(spark):
+    learned = {"aa": b"lorem ipsum dolor sit amet", "bb": b"quick brown foxes jump over"}
+    rows = [(1, "Lorem ipsum!", 7, "own", True), (2, None, 8, "own", None), (3, "123", None, None, None), (4, "\u6f22" * 300, 9, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int, LANG_PRED string, bits boolean")
+    kept = language.accepted(docs, learned)
+    # A long text that no language explains is in the nearest one like any other.
+    assert kept.schema == docs.schema and sorted(map(tuple, kept.collect())) == [rows[0], rows[3]]
+    # Without a labelled row texts without a letter go all the same.
+    assert sorted(map(tuple, language.accepted(docs, {}).collect())) == [rows[0], rows[3]]
+
+
+def test_every_language_is_in_the_sample(spark):
+    rows = [(i, f"long{i} " * 15_000, "long") for i in range(1, 9)] + [(i, f"short text number {i} " * 30, "short") for i in range(20, 2000)]
+    rows += [(i, f"only {i}", f"dirty{i:03d}") for i in range(3000, 3300)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {"long", "short"} <= set(model) and len(model) == language.LANGUAGES
+    assert sum(map(len, model.values())) <= language.MODEL_BYTES
+
+
 def test_held_out_accuracy(spark, sf_dir):
     sf = sf_dir.replace("0.001", "0.01")
     labels = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
