@@ -7,37 +7,19 @@ import tokenizers
 import numpy as np
 import pytest
 
-from pulsegrid.llm import language, pii, simhash
+from pulsegrid.llm import language, pii
 from pulsegrid.llm.queries import tokenizer_path
 
 from .test_decontaminate import plain as plain_matches
+from .test_nearcopies import plain_kept
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def plain_groups(docs):
-    """The smallest id of each document's group, all pairs of signatures compared."""
-    ids = sorted(docs)
-    sigs = np.array([simhash.fingerprint((docs[k] or "").encode(), 5, 6) for k in ids], np.int64).view(np.uint64)
-    root = dict(zip(ids, ids))
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-    for i, k in enumerate(ids):
-        d = np.bitwise_count(sigs[:i] ^ sigs[i]).astype(int)
-        for j in np.flatnonzero((d.min(1, initial=64) <= 4) & (d.sum(1) <= 64)):
-            a, b = sorted((find(k), find(ids[j])))
-            root[b] = a
-    return {k: find(k) for k in ids}
-
-
 def plain_run(spark, docs, items):
-    rows = spark.createDataFrame([(k, t, l, "s", 0) for k, (t, l) in docs.items()], DOCUMENTS)
-    texts = {k: t for k, (t, _) in docs.items() if t and language.LETTER.search(t)} if language.learn(rows) else {k: t for k, (t, _) in docs.items()}
-    group = plain_groups(texts)
-    texts = {k: t for k, t in texts.items() if group[k] == k}
+    texts = {k: t for k, (t, _) in docs.items() if t and language.LETTER.search(t)}
+    kept = plain_kept(texts)
+    texts = {k: t for k, t in texts.items() if k in kept}
     hit = {k for k, _, _ in plain_matches(list(texts.items()), items)}
     texts = {k: t for k, t in texts.items() if k not in hit}
     model = pii.learn(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
@@ -81,11 +63,17 @@ def test_hostile_rows(spark, folder):
     rows = [(1, words, "en", "a", 1), (2, words, "en", None, None), (3, None, "en", "a", 0), (4, "", None, "a", 0), (5, "12 34", "en", "a", 5),
             (None, "a text of its own without id", None, None, None), (6, "short text", "en", "a", 1), (6, "short text", "en", "a", 1),
             (7, "long " * 60_000, "de", "a", 1), (8, "mail me at a.b@example.org now", "de", "a", 1)]
-    got = corpus_pipeline.run(spark, folder([(*r, "x", "y") for r in rows], [(1, None)], DOCUMENTS + ", component_id string, row string")).collect()
+    got = corpus_pipeline.run(spark, folder([(*r, "x", "y") for r in rows], [(1, None)], DOCUMENTS + ", _row string, score string")).collect()
     assert sorted(r.doc_id or -1 for r in got) == [-1, 1, 6, 7, 8]
     hidden = next(r for r in got if r.doc_id == 8)
     assert hidden.decoded_sha256 == hashlib.sha256(b"mail me at [EMAIL] now").hexdigest()
 
 
+def test_twice_in_one_session(spark, sf_dir):
+    """A second run in the same workers gives the same rows."""
+    first, second = (sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, sf_dir).collect()) for _ in range(2))
+    assert first == second
+
+
 def test_empty_tables(spark, folder):
     assert corpus_pipeline.run(spark, folder([], [])).count() == 0
