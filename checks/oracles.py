@@ -612,3 +612,49 @@ typed AS (SELECT *, {ALERT_TYPE} AS alertType FROM health WHERE severity = 'CRIT
     'CRITICAL' AS severity, 'Critical equipment state: ' || lower(replace(alertType, '_CRITICAL', '')) AS title,
     CASE alertType WHEN 'TEMPERATURE_CRITICAL' THEN '90.0' WHEN 'PRESSURE_CRITICAL' THEN '0.5 to 1.5' ELSE '' END AS threshold,
     CAST(healthScore AS VARCHAR) AS healthScore, eventId AS sourceEventId FROM typed"""
+
+
+# The nodes of the five contracts in their order: path, and what a value must be.
+_HEAD, _TAIL = "equipmentId=type string|timestamp=type long", "correlationId=type string|schemaVersion=type string"
+_NODES = {
+    "raw-telemetry": f"{_HEAD}|payload[k]=type string|{_TAIL}|sourceSystem=type string|metricName=type optional string|unit=type optional string",
+    "equipment-status": f"{_HEAD}|payload=type record EquipmentStatusPayload|payload.status=one IDLE, RUNNING, SETUP, MAINTENANCE, DOWN, UNKNOWN"
+    "|payload.previousStatus=type optional enum EquipmentStatus|payload.reasonCode=type optional string|payload.details[k]=type string"
+    f"|{_TAIL}|sourceEventId=type optional string",
+    "critical-alert": f"{_HEAD}|payload=type record CriticalAlertPayload|payload.alertId=type string|payload.severity=one CRITICAL, HIGH, MEDIUM, LOW"
+    "|payload.title=type string|payload.description=type string|payload.threshold=type optional string|payload.observedValue=type optional string"
+    f"|payload.attributes[k]=type string|{_TAIL}|acknowledged=type boolean",
+    "dead-letter": f"{_HEAD}|payload=type record DeadLetterPayload|payload.originalTopic=type string|payload.originalSchema=type optional string"
+    "|payload.originalSchemaVersion=type optional string|payload.failureReason=type string"
+    "|payload.failureCode=one SCHEMA_VALIDATION, DESERIALIZATION, PROCESSING_ERROR, TIMEOUT, UNKNOWN|payload.originalPayload=type string"
+    f"|payload.attemptCount=type int|{_TAIL}",
+    "audit": f"{_HEAD}|payload=type record AuditPayload"
+    "|payload.action=one INGEST, VALIDATE, TRANSFORM, EMIT_STATUS, EMIT_ALERT, DEAD_LETTER, REPLAY, SCHEMA_REGISTER, ACKNOWLEDGE"
+    f"|payload.actor=type string|payload.outcome=one SUCCESS, FAILURE, SKIPPED|payload.resource=type string|payload.details[k]=type string|{_TAIL}",
+}
+
+
+def _nested_contracts() -> str:
+    rows = ", ".join(
+        f"({c}, '{name}', {i}, {listed.count('|') + 1}, '{node.split('=')[0]}', '{node.split('=')[1]}')"
+        for c, (name, listed) in enumerate(_NODES.items()) for i, node in enumerate(listed.split("|")))
+    return f"""WITH nodes(c, contract, i, n, path, rule) AS (VALUES {rows}),
+  met AS (SELECT *, event_id % 5 AS c, event_id // 5 AS k FROM events),
+  judged AS (SELECT event_id, user_id, contract, (k % (3 * n)) % 3 AS fault, path, rule FROM met JOIN nodes USING (c) WHERE (k % (3 * n)) // 3 = i),
+  told AS (SELECT *, CASE fault WHEN 0 THEN 'SchemaMismatch: field ''' || replace(path, '[k]', '') || ''' is missing'
+    WHEN 1 THEN 'SchemaMismatch: field ''' || path || ''' must be ' || CASE WHEN rule LIKE 'one %' THEN 'one of ' || rule[5:] ELSE 'of ' || rule END
+    ELSE '' END AS error FROM judged)
+  SELECT event_id AS "offset", contract, error = '' AS valid, error, CASE WHEN error = '' THEN {EQUIPMENT} ELSE '' END AS equipmentId,
+    CAST(CASE WHEN error = '' THEN 1704153600250 ELSE -1 END AS BIGINT) AS millis FROM told"""
+
+
+ORACLES["v04_nested_contracts"] = _nested_contracts()
+ORACLES["v16_unreadable_is_reported"] = """
+  SELECT 'telemetry.' || event_type AS subject, event_id AS version, event_id % 7 < 2 AS readable,
+    CASE event_id % 7 WHEN 2 THEN 'unknown type number' WHEN 3 THEN 'a union needs branches of different types'
+      WHEN 4 THEN 'no contract' WHEN 5 THEN 'no contract' WHEN 6 THEN 'type Loop holds itself' ELSE '' END AS problem FROM events"""
+ORACLES["v16_fallback_is_audited"] = VALIDATED + f"""
+  SELECT action, outcome, 'telemetry.raw-value' AS resource, '' AS problem, '' AS version, count(*) AS messages
+  FROM (SELECT 'VALIDATE' AS action, CASE WHEN {VALID} THEN 'SUCCESS' ELSE 'FAILURE' END AS outcome FROM validated) GROUP BY ALL
+  UNION ALL SELECT 'DEAD_LETTER', 'SUCCESS', 'telemetry.dlq', '', '', count(*) FROM validated WHERE NOT {VALID}
+  UNION ALL SELECT 'SCHEMA_REGISTER', 'FAILURE', 'telemetry.raw-value', 'unknown type number', '4', 1 FROM events HAVING count(*) > 0"""

@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import events as ev
+from checks import faulty_bodies
+from pulsegrid import contracts
 from pulsegrid.config import STATUS_PROFILE, STREAM_PROFILE, BridgeConfig, HealthConfig, IngestConfig, TopicConfig
 from pulsegrid.functions import scalar
 from pulsegrid.operators import (
-    audit, changes, enrich, parse, replay, route, rules_status, rules_stream, tables, validate,
+    audit, changes, conform, enrich, parse, replay, route, rules_status, rules_stream, tables, validate,
 )
 from pulsegrid.plans import health, ingest
 from pulsegrid.schemas import RAW_CONTRACT, Contract
 from pulsegrid.session import work_dir
-from pulsegrid.sources.topics import with_source_place
+from pulsegrid.sources.topics import envelope, with_source_place
 from pulsegrid.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,6 +395,24 @@ def v04(spark, sf_dir):
     return validate.validate(bodies).select("offset", "valid", _first_error())
 
 
+@query("v04_nested_contracts")
+def v04_nested(spark, sf_dir):
+    """Bodies of all five contracts, one fault at one node of each: the node missing, of a wrong type, or none."""
+    out, kinds = None, len(contracts.BUNDLED)
+    for i, (name, text) in enumerate(contracts.BUNDLED.items()):
+        tree = contracts.read_contract(text)
+        texts = faulty_bodies.bodies(tree)
+        table = spark.createDataFrame(list(enumerate(texts)), "variant long, body string")
+        mine = _events(spark, sf_dir).filter(F.col("event_id") % kinds == i).withColumn("variant", F.expr(f"event_id div {kinds}") % len(texts))
+        rows = conform.conformance(envelope(
+            mine.join(table, "variant"), F.replace("body", F.lit("@ID"), F.expr(ev.EQUIPMENT_ID)),
+            key=F.lit("k"), topic=name, offset=F.col("event_id"), timestamp=F.col("ts")), tree)
+        rows = rows.select("offset", F.lit(name).alias("contract"), "valid", F.coalesce("error", F.lit("")).alias("error"),
+                           F.coalesce("record.equipmentId", F.lit("")).alias("equipmentId"), F.coalesce("record.timestamp", F.lit(-1)).alias("millis"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("v05_required_semantics")
 def v05(spark, sf_dir):
     """All messages, in order, for up to three blank texts per body."""
@@ -522,7 +542,7 @@ def v16_registry(spark, sf_dir):
     subject = IngestConfig().raw_subject
     newest = _registry(spark, [(subject, 1, _avro("Old", equipmentId="long")), (subject, 2, _avro("Raw2", unit=None, metricName=None)),
                                ("other", 9, _avro("Other", payload="string"))])
-    broken = _registry(spark, [(subject, 1, _avro("Old")), (subject, 2, _avro("New", equipmentId='"double"'))])
+    broken = _registry(spark, [(subject, 1, _avro("Old")), (subject, 2, _avro("New", equipmentId='"number"'))])
     missing = work_dir(spark, "no-registry") + "/none"
     out = None
     for name, registry in (("newest", lambda: newest), ("missing", lambda: spark.read.parquet(missing)), ("broken", lambda: broken)):
@@ -532,6 +552,31 @@ def v16_registry(spark, sf_dir):
     return out
 
 
+@query("v16_fallback_is_audited")
+def v16_audited(spark, sf_dir):
+    """The newest entry cannot be read: bodies go by the bundled contract, and an audit message says so."""
+    subject = IngestConfig().raw_subject
+    broken = _registry(spark, [(subject, 3, _avro("Old")), (subject, 4, _avro("New", equipmentId='"number"'))])
+    sent = ingest.under_registry(lambda: broken)(_bodies(spark, sf_dir)).filter(F.col("topic") == TopicConfig().audit)
+    payload = [_json(f"payload.{n}", n) for n in ("action", "outcome", "resource")]
+    return sent.select(*payload, _json("payload.details.problem", "problem"), _json("payload.details.version", "version")).groupBy(
+        "action", "outcome", "resource", "problem", "version").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("v16_unreadable_is_reported")
+def v16_unreadable(spark, sf_dir):
+    """A registry with a version per event: five kinds of entries that cannot be read, and nested ones that can."""
+    field = lambda kind: F.concat(F.lit('{"type":"record","name":"V'), F.col("event_id"), F.lit(f'","fields":[{{"name":"a","type":{kind}}}]}}'))
+    entries = (
+        field('"double"'), field('["null",{"type":"array","items":{"type":"enum","name":"E","symbols":["X"]}}]'), field('"number"'),
+        field('["null","string","string"]'), F.lit("not json"), F.concat(F.lit('{"type":"record","name":"V'), F.col("event_id"), F.lit('"}')),
+        F.lit('{"type":"record","name":"Loop","fields":[{"name":"next","type":["null","Loop"]}]}'))
+    schema = F.element_at(F.array(*entries), (F.col("event_id") % len(entries) + 1).cast("int"))
+    registry = _events(spark, sf_dir).select(
+        F.concat(F.lit("telemetry."), F.col("event_type")).alias("subject"), F.col("event_id").alias("version"), schema.alias("schema"))
+    return validate.registry_report(registry).select("subject", "version", "readable", F.coalesce("problem", F.lit("")).alias("problem"))
+
+
 @query("v16_latest_contract")
 def v16(spark, sf_dir):
     """A registry with one version per event: the newest of each subject."""

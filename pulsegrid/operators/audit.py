@@ -61,6 +61,16 @@ def ingest_records(config: IngestConfig = IngestConfig(), *, as_of: Column | Non
     )
 
 
+def contract_records(
+    problem: str, version: int | None, config: IngestConfig = IngestConfig(), *, as_of: Column | None = None,
+) -> tuple[Column, ...]:
+    """SCHEMA_REGISTER with FAILURE: the newest registered contract cannot be read, the bundled one is in force."""
+    details = F.create_map(F.lit("problem"), F.lit(problem), F.lit("version"), F.lit(str(version)))
+    return _records(
+        F.lit("SYSTEM"), F.lit(None).cast("string"), F.current_timestamp() if as_of is None else as_of,
+        _entry("SCHEMA_REGISTER", config.service_name, "FAILURE", config.raw_subject, details))
+
+
 def health_audit(
     health: DataFrame, actor: str, topics: TopicConfig = TopicConfig(), *,
     alert_topic: str | None = None, as_of: Column | None = None,

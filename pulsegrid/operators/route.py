@@ -53,7 +53,7 @@ def status_profile_messages(health: DataFrame, topics: TopicConfig = TopicConfig
     rows = health.select(*ORIGIN, is_alert().alias("_alert"), F.col("equipmentId").alias("_key"), text.alias("_text"))
     status = _message(topics.status, F.col("_key"), F.col("_text"))
     alert = _message(topics.status_profile_alert, F.col("_key"), F.col("_text"))
-    return _fan_out(rows, status, F.when(F.col("_alert"), alert))
+    return fan_out(rows, status, F.when(F.col("_alert"), alert))
 
 
 def stream_profile_messages(health: DataFrame, topics: TopicConfig = TopicConfig()) -> DataFrame:
@@ -61,7 +61,7 @@ def stream_profile_messages(health: DataFrame, topics: TopicConfig = TopicConfig
     critical = branch() == "critical"
     status = _message(topics.status, F.col("key"), to_text(STREAM_HEALTH))
     alert = _message(topics.stream_profile_alert, F.col("key"), alert_text())
-    return _fan_out(health, status, F.when(critical, alert))
+    return fan_out(health, status, F.when(critical, alert))
 
 
 def alert_text() -> Column:
@@ -91,16 +91,20 @@ def ingest_messages(
     answer = answer.withField("ingestedAt", iso_utc(answer["ingestedAt"]))
     correlation = F.when(F.col("valid"), F.col("record.correlationId")).otherwise(enrich.known_correlation_id())
     ack = _message(config.topics.acknowledgement, correlation, F.to_json(answer, KEEP_NULLS))
-    noted = [F.when(entry["payload"].isNotNull(), _message(
-        config.topics.audit, entry["equipmentId"], F.to_json(entry, KEEP_NULLS))) for entry in audit]
-    return _fan_out(validated, F.when(F.col("valid"), raw).otherwise(letter), ack, *noted)
+    return fan_out(validated, F.when(F.col("valid"), raw).otherwise(letter), ack, *audit_messages(audit, config))
+
+
+def audit_messages(records: tuple[Column, ...], config: IngestConfig = IngestConfig()) -> list[Column]:
+    """Audit records as messages by equipment; one without an entry gives none."""
+    return [F.when(entry["payload"].isNotNull(), _message(
+        config.topics.audit, entry["equipmentId"], F.to_json(entry, KEEP_NULLS))) for entry in records]
 
 
 def _message(topic: str, key: Column, value: Column) -> Column:
     return F.struct(F.lit(topic).alias("topic"), key.alias("key"), value.alias("value"))
 
 
-def _fan_out(rows: DataFrame, *messages: Column) -> DataFrame:
+def fan_out(rows: DataFrame, *messages: Column) -> DataFrame:
     """One pass, one output: a row per message, with the place of its source record.
 
     The ``topic`` column picks the topic in a Kafka write and the folder in a

@@ -7,17 +7,17 @@ JSON type of every value, so ``"1"`` and ``1`` stay apart, and a missing field
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
+from pulsegrid.contracts import Node, UnreadableContract, read_contract
 from pulsegrid.functions.scalar import is_blank, pinned, quoted, texts
+from pulsegrid.operators.conform import EMPTY_BODY, INVALID_JSON, NOT_AN_OBJECT, Compiler
 from pulsegrid.schemas import ORIGIN, RAW_CONTRACT, RAW_EVENT, Contract
 
-# This text and those of the required fields (below).
-EMPTY_BODY = "Request body must not be empty"
-INVALID_JSON = "Invalid JSON: the body is not one well-formed document"
-NOT_AN_OBJECT = "SchemaMismatch: expected a JSON object"
+# The texts of the required fields.
 REQUIRED_TEXT = ("equipmentId", "correlationId", "schemaVersion")
 REQUIRED = ("timestamp", "payload")
 
@@ -84,8 +84,11 @@ def _errors(config: IngestConfig, contract: Contract) -> str:
         ELSE {_semantic_errors(contract)} END"""
 
 
-def _mismatch(name: str, kind: str, config: IngestConfig) -> str:
+def _mismatch(name: str, kind: str | Node, config: IngestConfig) -> str:
     found = _kind(name)
+    missing = quoted(f"SchemaMismatch: field '{name}' is missing")
+    if isinstance(kind, Node):
+        return f"CASE WHEN {found} IS NULL THEN {missing} ELSE {Compiler(config.strict_union).fault(kind, f'`{name}`', quoted(name))} END"
     if kind == "string":
         wrong = f"{found} != 'STRING'"
     elif kind == "long":
@@ -95,7 +98,6 @@ def _mismatch(name: str, kind: str, config: IngestConfig) -> str:
     else:
         plain = "" if config.strict_union else ", 'STRING'"
         wrong = f"{found} NOT IN ('VOID', 'OBJECT<string: STRING>'{plain})"
-    missing = quoted(f"SchemaMismatch: field '{name}' is missing")
     mistyped = quoted(f"SchemaMismatch: field '{name}' must be of type {kind}")
     return f"CASE WHEN {found} IS NULL THEN {missing} WHEN {wrong} THEN {mistyped} END"
 
@@ -147,6 +149,10 @@ def _record(contract: Contract) -> str:
                 ELSE try_variant_get(`{name}`, '$.string', 'string') END"""
         else:
             value = f"try_variant_get(`{name}`, '$', '{sql_type}')"
+            if isinstance(kinds[name], Node) and kinds[name].kind == "union":
+                # The branch that is there, under its name.
+                branches = [f"try_variant_get(`{name}`, '$[\"{p.label}\"]', '{sql_type}')" for p in kinds[name].parts if p.kind != "null"]
+                value = f"coalesce({', '.join([*branches, value])})"
         fields.append(f"'{name}', {value}")
     return f"named_struct({', '.join(fields)})"
 
@@ -175,6 +181,24 @@ def latest_contract(registry: DataFrame, subject: str, default: Contract = RAW_C
     return Contract.from_avro_json(newest["schema"]) if newest else default
 
 
+def registry_report(registry: DataFrame) -> DataFrame:
+    """``subject, version, readable, problem`` for every entry of a registry (``problem`` is null for those that can be read)."""
+    @F.pandas_udf("string")
+    def problem(schemas: pd.Series) -> pd.Series:
+        return schemas.map(_problem)
+    told = registry.select("subject", "version", problem("schema").alias("problem"))
+    return told.select("subject", "version", F.col("problem").isNull().alias("readable"), "problem")
+
+
+def _problem(schema: str | None) -> str | None:
+    try:
+        read_contract(schema or "")
+    except UnreadableContract as error:
+        # What the parser of JSON says about a text is cut: the place tells nothing across versions of it.
+        return "no contract" if str(error).startswith("no contract") else str(error)
+    return None
+
+
 def latest_versions(registry: DataFrame) -> DataFrame:
     """The highest version of every subject, combined on the map side."""
     return registry.groupBy("subject").agg(

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import IngestConfig
+from pulsegrid.contracts import UnreadableContract
 from pulsegrid.operators import audit, enrich, route
-from pulsegrid.operators.validate import latest_contract, validate
+from pulsegrid.operators.validate import latest_versions, validate
 from pulsegrid.schemas import ORIGIN, RAW_CONTRACT, Contract
 
 
@@ -50,16 +52,39 @@ def under_registry(
 
     ``registry`` opens the table of contracts (subject, version, schema). The bundled
     contract steps in if the table cannot be opened, has no entry for the
-    subject, or its newest entry cannot be read.
+    subject, or its newest entry cannot be read. That last case is an error of whoever registered it and is
+    reported: an audit message (SCHEMA_REGISTER, FAILURE) at the first record of each partition of the batch.
     """
     def transform(bodies: DataFrame) -> DataFrame:
-        return messages(bodies, config, current_contract(registry, config.raw_subject, default), as_of=as_of)
+        chosen = current_contract(registry, config.raw_subject, default)
+        sent = messages(bodies, config, chosen.contract, as_of=as_of)
+        if chosen.problem is None:
+            return sent
+        first = bodies.groupBy("topic", "partition").agg(F.min("offset").alias("offset"), F.min_by("timestamp", "offset").alias("recordTimestamp"))
+        return sent.unionByName(route.fan_out(first, *route.audit_messages(
+            audit.contract_records(chosen.problem, chosen.version, config, as_of=as_of), config)))
     return transform
 
 
-def current_contract(registry: Callable[[], DataFrame], subject: str, default: Contract = RAW_CONTRACT) -> Contract:
+@dataclass(frozen=True)
+class Chosen:
+    """The contract a batch is checked by; ``version`` and ``problem`` are of a newest entry that could not be read."""
+
+    contract: Contract
+    version: int | None = None
+    problem: str | None = None
+
+
+def current_contract(registry: Callable[[], DataFrame], subject: str, default: Contract = RAW_CONTRACT) -> Chosen:
+    """The newest contract of the registry, or the bundled one and, if there is an entry that cannot be read, what is wrong with it."""
+    try:
+        newest = latest_versions(registry().filter(F.col("subject") == subject)).first()
+    except PySparkException:
+        # The table is not there.
+        return Chosen(default)
+    if newest is None:
+        return Chosen(default)
     try:
-        return latest_contract(registry(), subject, default)
-    except (PySparkException, ValueError, KeyError, TypeError):
-        # Not there, no JSON, or a type the validation does not know.
-        return default
+        return Chosen(Contract.from_avro_json(newest["schema"] or ""))
+    except UnreadableContract as error:
+        return Chosen(default, newest["version"], str(error))

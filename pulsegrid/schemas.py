@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from pulsegrid.contracts import Node, read_contract
+
 ENVELOPE = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -98,11 +99,12 @@ ENRICHED = T.StructType([
 class Contract:
     """A versioned record contract: field names with their kinds, in order.
 
-    Kinds: ``string``, ``long``, ``map<string>`` and ``optional string``.
+    Kinds that telemetry contracts use are texts (``string``, ``long``, ``map<string>`` and ``optional
+    string``) and have checks of their own; any other type is a tree, whose check is compiled.
     """
 
     name: str
-    fields: tuple[tuple[str, str], ...]
+    fields: tuple[tuple[str, str | Node], ...]
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -110,23 +112,15 @@ class Contract:
 
     @staticmethod
     def from_avro_json(text: str) -> Contract:
-        """Read the subset of an Avro record schema that telemetry contracts use."""
-        record = json.loads(text)
-        return Contract(record["name"], tuple((f["name"], _kind(f["type"])) for f in record["fields"]))
-
-
-def _kind(avro_type) -> str:
-    if isinstance(avro_type, list):
-        if sorted(map(str, avro_type)) == ["null", "string"]:
-            return "optional string"
-    elif isinstance(avro_type, dict):
-        if avro_type["type"] == "map" and avro_type["values"] == "string":
-            return "map<string>"
-        if avro_type["type"] in ("long", "string"):
-            return avro_type["type"]
-    elif avro_type in ("long", "string"):
-        return avro_type
-    raise ValueError(f"unsupported contract type: {avro_type}")
+        """Read an Avro record schema; raises ``UnreadableContract`` if it is none."""
+        tree = read_contract(text)
+        return Contract(tree.name.rsplit(".", 1)[-1], tuple((name, _kind(node)) for name, node in tree.fields))
+
+
+def _kind(node: Node) -> str | Node:
+    if node.kind in ("string", "long"):
+        return node.kind
+    return node.text if node.text in ("map<string>", "optional string") else node
 
 
 # The bundled contract.

@@ -128,10 +128,13 @@ def test_replay_counts_attempts(spark):
 
 def test_registry_fallbacks(spark, tmp_path):
     entry = lambda text: spark.createDataFrame([("raw", 3, text)], "subject string, version int, schema string")
-    for registry in (lambda: entry("no json"), lambda: entry('{"name":"X"}'), lambda: entry('{"name":"X","fields":[{"name":"a","type":"double"}]}'),
+    for registry in (lambda: entry("no json"), lambda: entry('{"name":"X"}'), lambda: entry('{"type":"record","name":"X","fields":[{"name":"a","type":"number"}]}'),
                      lambda: entry(None), lambda: spark.read.parquet(f"{tmp_path}/none"), lambda: entry("{}").filter("false")):
-        assert current_contract(registry, "raw") == RAW_CONTRACT
-    assert current_contract(lambda: entry('{"name":"X","fields":[{"name":"a","type":"long"}]}'), "raw") == Contract("X", (("a", "long"),))
+        assert current_contract(registry, "raw").contract == RAW_CONTRACT
+    known = current_contract(lambda: entry('{"type":"record","name":"X","fields":[{"name":"a","type":"long"}]}'), "raw")
+    assert known.contract == Contract("X", (("a", "long"),)) and known.problem is None
+    broken = current_contract(lambda: entry('{"type":"record","name":"X","fields":[{"name":"a","type":"number"}]}'), "raw")
+    assert (broken.version, broken.problem) == (3, "unknown type number")
 
 
 def test_contract_from_registry(spark):
