@@ -658,3 +658,12 @@ ORACLES["v16_fallback_is_audited"] = VALIDATED + f"""
   FROM (SELECT 'VALIDATE' AS action, CASE WHEN {VALID} THEN 'SUCCESS' ELSE 'FAILURE' END AS outcome FROM validated) GROUP BY ALL
   UNION ALL SELECT 'DEAD_LETTER', 'SUCCESS', 'telemetry.dlq', '', '', count(*) FROM validated WHERE NOT {VALID}
   UNION ALL SELECT 'SCHEMA_REGISTER', 'FAILURE', 'telemetry.raw-value', 'unknown type number', '4', 1 FROM events HAVING count(*) > 0"""
+ORACLES["s07_replay_over_gaps"] = _status() + """,
+placed AS (SELECT "offset" % 2 AS p, "offset" * 3 + "offset" % 2 AS place, severity FROM health),
+bounds AS (SELECT min(place) AS low, max(place) AS high FROM placed),
+batched AS (SELECT *, (place - low) // ((high - low + 12) // 12) AS b FROM placed, bounds),
+sent AS (SELECT *, CASE WHEN b >= 6 THEN 'again' ELSE 'first' END AS run FROM batched WHERE p = 0 OR b NOT IN (4, 5)),
+said AS (SELECT run, p, place, 'equipment.status' AS topic FROM sent
+  UNION ALL SELECT run, p, place, 'equipment.critical-alert' FROM sent WHERE severity = 'CRITICAL')
+  SELECT run, topic, CAST(p AS INTEGER) AS sourcePartition, count(*) AS messages, count(DISTINCT place) AS records, CAST(sum(place) AS BIGINT) AS offset_sum,
+    CAST(2 AS BIGINT) AS ranges FROM said GROUP BY run, topic, p"""

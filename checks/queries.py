@@ -154,20 +154,24 @@ def s06(spark, sf_dir):
     )
 
 
-def _cut(spark: SparkSession, rows: DataFrame, pieces: int, by: str = "event_id") -> str:
-    """``rows`` as files of rising ``by`` in a new folder, one written after the other as a topic's segments are."""
-    path = work_dir(spark, "cut")
+def _cut(spark: SparkSession, rows: DataFrame, pieces: int, by: str = "event_id", path: str | None = None, only: range | None = None) -> str:
+    """``rows`` as pieces of rising ``by``, one written after the other as a topic's segments are; null goes first.
+
+    Each piece has as many files as the rows have partitions (two at least); ``only`` writes some of the pieces.
+    """
+    path = path or work_dir(spark, "cut")
     low, high = rows.agg(F.min(by), F.max(by)).first()
-    step = -(-(high - low + 1) // pieces)
-    for i in range(pieces):
-        rows.filter(F.col(by).between(low + i * step, low + (i + 1) * step - 1)).coalesce(1).write.mode("append").parquet(path)
+    step, files = -(-(high - low + 1) // pieces), max(2, rows.rdd.getNumPartitions())
+    for i in only or range(pieces):
+        mine = F.col(by).between(low + i * step, low + (i + 1) * step - 1)
+        rows.filter(mine if i else mine | F.col(by).isNull()).repartition(files).write.mode("append").parquet(path)
     return path
 
 
-def _stream_of(spark: SparkSession, path: str) -> DataFrame:
-    """The folder as a stream of one file for each micro-batch."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+def _stream_of(spark: SparkSession, path: str, pieces: int) -> DataFrame:
+    """A folder of so many pieces as a stream of one piece for each micro-batch."""
+    cut = spark.read.parquet(path)
+    return spark.readStream.schema(cut.schema).option("maxFilesPerTrigger", str(max(1, len(cut.inputFiles()) // pieces))).parquet(path)
 
 
 def _finished(query, batches: int | None = None) -> None:
@@ -177,9 +181,9 @@ def _finished(query, batches: int | None = None) -> None:
         raise RuntimeError(f"{ran} micro-batches ran, {batches} were meant to")
 
 
-def _health_run(spark, sf_dir, profile: str, cut: str, path: str, checkpoint: str, batches: int | None = None) -> None:
+def _health_run(spark, sf_dir, profile: str, cut: str, path: str, checkpoint: str, batches: int) -> None:
     plan = health.status_messages if profile == "status" else health.stream_messages
-    topic = ev.telemetry_topic(_stream_of(spark, cut), profile)
+    topic = ev.telemetry_topic(_stream_of(spark, cut, batches), profile)
     _finished(sinks.run(topic, plan, path, checkpoint), batches)
 
 
@@ -205,11 +209,39 @@ def s07_again(spark, sf_dir):
         F.sum("sourceOffset").alias("offset_sum"), F.countDistinct("run").alias("runs"))
 
 
+@query("s07_replay_over_gaps")
+def s07_gaps(spark, sf_dir):
+    """Only every third offset holds a record, and two of twelve batches read nothing of one partition; then the newer half is read again.
+
+    Each run keeps one range for each partition, whatever its batches.
+    """
+    path, count = work_dir(spark, "gaps-out"), 12
+    events = _events(spark, sf_dir).withColumn("place", F.col("event_id") * 3 + F.col("event_id") % 2)
+    low, high = events.agg(F.min("place"), F.max("place")).first()
+    step = -(-(high - low + 1) // count)
+
+    def read(run: str, batches: range) -> None:
+        for i, b in enumerate(batches):
+            rows = ev.telemetry_topic(events.filter(F.col("place").between(low + b * step, low + (b + 1) * step - 1)), "status")
+            # Odd events are in the second partition, which has a pause.
+            rows = rows.withColumns({"partition": (F.col("offset") % 2).cast("int"), "offset": F.col("offset") * 3 + F.col("offset") % 2})
+            if b in (4, 5):
+                rows = rows.filter("partition = 0")
+            sinks.write_messages(health.status_messages(rows), path, i, run=run, source=rows)
+    read("first", range(count))
+    read("again", range(count // 2, count))
+    done = sinks.commits(spark, path)
+    ranges = sinks.islands(done).groupBy("run").agg(F.count(F.lit(1)).alias("ranges"))
+    table = sinks.messages_table(spark, path).groupBy("run", "topic", "sourcePartition").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("sourceOffset").alias("records"), F.sum("sourceOffset").alias("offset_sum"))
+    return table.join(ranges, "run")
+
+
 @query("s08_exactly_once")
 def s08(spark, sf_dir):
     """Four batches on one checkpoint; the query dies after the second one's write, before its commit, and is started again."""
     path, checkpoint, written = work_dir(spark, "once-out"), work_dir(spark, "once-checkpoint"), []
-    topic = ev.telemetry_topic(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4)), "stream")
+    topic = ev.telemetry_topic(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4), 4), "stream")
 
     def dying(batch: DataFrame, batch_id: int) -> None:
         sinks.write_messages(health.stream_messages(batch), path, batch_id, run=sinks.run_of(batch), source=batch)
@@ -272,7 +304,7 @@ def s09(spark, sf_dir):
 @query("s09_latest_status_stream")
 def s09_stream(spark, sf_dir):
     table = sinks.LatestStatus(_with_tombstones, work_dir(spark, "latest"))
-    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5)))
+    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5), 5))
     _finished(sinks.run_latest(source, table, work_dir(spark, "latest-checkpoint")), 5)
     return table.snapshot(spark).select("equipmentId", "offset", "severity", "healthScore")
 
@@ -320,9 +352,10 @@ def s11(spark, sf_dir):
     """A table laid out by key partition and read back: each key in one of them, each of them written in several pieces."""
     topics, path = TopicConfig(), work_dir(spark, "key-partitions")
     topic = _topic(spark, sf_dir, "status")
-    # Small pieces, so that every partition has several at the test sizes.
+    # Pieces of an eighth of a partition's rows, so that every partition has several, and about as many at any size.
+    rows = -(-_events(spark, sf_dir).count() // (8 * topics.status_profile_partitions))
     sinks.write_messages(
-        health.status_messages(topic), path, 0, source=topic, key_partitions=topics.status_profile_partitions, rows_per_piece=20)
+        health.status_messages(topic), path, 0, source=topic, key_partitions=topics.status_profile_partitions, rows_per_piece=rows)
     table = sinks.messages_table(spark, path).filter(F.col("topic") == topics.status)
     files = spark.read.schema(sinks.MESSAGES).parquet(f"{path}/messages").filter(F.col("topic") == topics.status)
     per_partition = files.groupBy("keyPartition").agg((F.countDistinct("_metadata.file_path") > 1).alias("several"))
@@ -508,7 +541,7 @@ def v15(spark, sf_dir):
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything one run of the ingestion stream has written, over four micro-batches."""
     path = work_dir(spark, "ingested")
-    bodies = ev.ingestion_documents(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4)))
+    bodies = ev.ingestion_documents(_stream_of(spark, _cut(spark, _events(spark, sf_dir), 4), 4))
     _finished(sinks.run(bodies, ingest.messages, path, work_dir(spark, "ingested-checkpoint")), 4)
     return sinks.messages_table(spark, path)
 
@@ -893,7 +926,7 @@ def c01_log(spark, sf_dir):
 @query("c01_status_changes_stream")
 def c01_stream(spark, sf_dir):
     table = sinks.LatestStatus(lambda batch: batch, work_dir(spark, "changes"), chunk_rows=1000)
-    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5)))
+    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5), 5))
     _finished(sinks.run_latest(source, table, work_dir(spark, "changes-checkpoint")), 5)
     return table.changes(spark).select(
         "equipmentId", "offset", "severity", F.coalesce("previousStatus", F.lit("")).alias("previousStatus"))

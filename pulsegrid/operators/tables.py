@@ -34,22 +34,24 @@ def key_partition(key: Column | str, partitions: int) -> Column:
 
 def key_pieces(
     records: DataFrame, partitions: int, *, key: str = "key", offset: str = "offset", rows_per_piece: int = 5_000_000,
+    within: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Add ``keyPartition`` and deal the rows out for a write partitioned by it.
+    """Add ``keyPartition`` and deal the rows out for a write partitioned by it and by ``within``.
 
     The number stays a function of the key alone. How many tasks write a
-    partition follows from its rows, counted first (one number per partition
+    folder follows from its rows, counted first (one number per folder
     reaches the driver), so a hot key does not end in one task; the offset spreads
-    its rows over the pieces.
+    its rows over the pieces. Pieces are placed by their number, so each task writes exactly one, into one folder.
     """
     numbered = records.withColumn("keyPartition", key_partition(key, partitions))
-    sizes = {r[0]: r[1] for r in numbered.groupBy("keyPartition").count().collect()}
-    pieces = {p: -(-n // rows_per_piece) for p, n in sizes.items()}
-    if not pieces:
+    folder = ("keyPartition", *within)
+    sizes = numbered.groupBy(*folder).count().orderBy(*folder).collect()
+    if not sizes:
         return numbered
-    first = {p: sum(n for q, n in pieces.items() if q < p) for p in pieces}
-    table = lambda d: F.create_map(*[F.lit(x) for pair in d.items() for x in pair])[F.col("keyPartition")]
-    piece = table(first) + F.pmod(F.xxhash64(offset), table(pieces))
-    total = sum(pieces.values())
-    # A range partitioning would sample; with one row value per task the hash needs no more tasks than pieces.
-    return numbered.withColumn("_piece", piece).repartition(max(total, 1), "_piece").drop("_piece")
+    pieces = [-(-r["count"] // rows_per_piece) for r in sizes]
+    first = [sum(pieces[:i]) for i in range(len(pieces))]
+    types = ", ".join(f"`{numbered.schema[c].name}` {numbered.schema[c].dataType.simpleString()}" for c in folder)
+    table = records.sparkSession.createDataFrame(
+        [(*r[:-1], f, n) for r, f, n in zip(sizes, first, pieces)], f"{types}, _first int, _pieces int")
+    placed = numbered.join(table, list(folder)).withColumn("_piece", (F.col("_first") + F.pmod(F.xxhash64(offset), F.col("_pieces"))).cast("int"))
+    return placed.repartitionById(sum(pieces), "_piece").select(*numbered.columns)

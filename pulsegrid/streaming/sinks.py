@@ -40,6 +40,8 @@ MESSAGES = T.StructType([
 ])
 COMMITS = "sourceTopic string, sourcePartition int, firstOffset long, lastOffset long, run string, batch long"
 RUNS = "seq long, run string"
+#: Offsets of a bucket in the join of messages with the offsets in force.
+BUCKET = 1 << 24
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -119,7 +121,7 @@ def laid_out(
     """Messages with their folder columns; nothing is shuffled unless the layout asks for it."""
     rows = messages.withColumn("day", F.to_date(F.coalesce("recordTimestamp", F.timestamp_seconds(F.lit(0)))))
     if key_partitions:
-        return key_pieces(rows, key_partitions, offset="sourceOffset", rows_per_piece=rows_per_piece)
+        return key_pieces(rows, key_partitions, offset="sourceOffset", rows_per_piece=rows_per_piece, within=("day",))
     rows = rows.withColumn("keyPartition", F.lit(0))
     return rows.hint("rebalance", F.col("topic"), F.col("day")) if clustered else rows
 
@@ -133,27 +135,53 @@ def messages_table(spark: SparkSession, path: str, *, as_of: DataFrame | None =
     """
     done = commits(spark, path) if as_of is None else as_of
     rows = _read(spark, f"{path}/messages", MESSAGES).join(done.select("run", "batch", "seq").distinct(), ["run", "batch"])
-    later = islands(done).select(
-        F.col("seq").alias("_seq"), F.col("sourceTopic").alias("_topic"), F.col("sourcePartition").alias("_partition"), "firstOffset", "lastOffset")
-    hidden = (
+    newest = in_force(islands(done)).select(
+        F.col("sourceTopic").alias("_topic"), F.col("sourcePartition").alias("_partition"), "firstOffset", "lastOffset", F.col("seq").alias("_seq"),
+        F.explode(F.expr(f"sequence(firstOffset div {BUCKET}, lastOffset div {BUCKET})")).alias("_bucket"))
+    here = (
         (F.col("sourceTopic") == F.col("_topic")) & (F.col("sourcePartition") == F.col("_partition"))
-        & F.col("sourceOffset").between(F.col("firstOffset"), F.col("lastOffset")) & (F.col("_seq") > F.col("seq"))
+        & (F.expr(f"sourceOffset div {BUCKET}") == F.col("_bucket")) & F.col("sourceOffset").between(F.col("firstOffset"), F.col("lastOffset"))
     )
-    return rows.join(later, hidden, "left_anti").select(*[f.name for f in MESSAGES])
+    return rows.join(newest, here, "left").filter("_seq IS NULL OR _seq <= seq").select(*[f.name for f in MESSAGES])
 
 
 def islands(done: DataFrame) -> DataFrame:
-    """Committed ranges of each run, those that follow each other as one.
+    """What each run has read without a break: ranges of batches that follow each other, as one.
 
-    Batches of one run that reach into each other's offsets raise an error: such a
-    source was not in offset order, and ranges cannot tell what was read.
+    A run reads a partition in order, so a batch answers for all offsets from where the batch before it
+    ended, whether there is a record at each of them or not (transactions and compaction leave gaps). So a run
+    that has lost no batch has one range for each partition, however many batches it had. Batches of one run that
+    reach into each other's offsets raise an error: such a source was not in offset order, and ranges cannot
+    tell what was read.
     """
+    each = Window.partitionBy("run").orderBy("batch")
+    streaks = done.select("run", "batch").distinct().withColumn(
+        "streak", F.sum((F.col("batch") != F.coalesce(F.lag("batch").over(each) + 1, F.lit(-1))).cast("int")).over(each))
     by = Window.partitionBy("run", "sourceTopic", "sourcePartition").orderBy("firstOffset")
-    before = F.lag("lastOffset").over(by)
     mixed = F.raise_error(F.concat(F.lit("offsets of run "), "run", F.lit(" are not in order at batch "), F.col("batch").cast("string")))
-    begins = F.when(before >= F.col("firstOffset"), mixed.cast("int")).otherwise(
-        (before.isNull() | (F.col("firstOffset") > before + 1)).cast("int"))
-    return _joined(done.withColumn("begins", begins), by, "seq", "run", "sourceTopic", "sourcePartition")
+    # Gaps may be closed only between batches in their order.
+    disorder = (F.lag("lastOffset").over(by) >= F.col("firstOffset")) | (F.lag("batch").over(by) >= F.col("batch"))
+    checked = done.withColumn("firstOffset", F.when(disorder, mixed.cast("long")).otherwise(F.col("firstOffset")))
+    return checked.join(streaks, ["run", "batch"]).groupBy("seq", "run", "sourceTopic", "sourcePartition", "streak").agg(
+        F.min("firstOffset").alias("firstOffset"), F.max("lastOffset").alias("lastOffset")).drop("streak")
+
+
+def in_force(ranges: DataFrame) -> DataFrame:
+    """Ranges that may overlap as ranges that do not: ``sourceTopic, sourcePartition, firstOffset, lastOffset`` and the newest ``seq`` over them.
+
+    Between two neighbouring edges of ranges the same ranges lie; a sweep over the edges keeps, for each
+    stretch, the newest of those open. The table is as small as the number of runs and breaks.
+    """
+    place = ("sourceTopic", "sourcePartition")
+    edges = ranges.select(*place, F.col("firstOffset").alias("at")).union(ranges.select(*place, (F.col("lastOffset") + 1).alias("at"))).distinct()
+    stretches = edges.withColumn("end", F.lead("at").over(Window.partitionBy(*place).orderBy("at"))).filter("end IS NOT NULL")
+    over = stretches.join(ranges, list(place)).filter("firstOffset <= at AND lastOffset >= end - 1")
+    newest = over.groupBy(*place, "at", "end").agg(F.max("seq").alias("seq"))
+    # Neighbours of the same run are one range again.
+    by = Window.partitionBy(*place).orderBy("at")
+    begins = (F.lag("seq").over(by).isNull() | (F.lag("seq").over(by) != F.col("seq")) | (F.lag("end").over(by) != F.col("at"))).cast("int")
+    marked = newest.withColumns({"begins": begins, "firstOffset": F.col("at"), "lastOffset": F.col("end") - 1})
+    return _joined(marked, by, *place, "seq")
 
 
 def _joined(marked: DataFrame, by, *names: str) -> DataFrame:
