@@ -255,9 +255,9 @@ def _blank_texts() -> str:
       FROM events"""
 
 
-def _changes(order: str) -> str:
+def _changes(order: str, rows: str = "true") -> str:
     return _status() + f""",
-lagged AS (SELECT *, lag(severity) OVER (PARTITION BY equipmentId ORDER BY {order}) AS previous FROM health),
+lagged AS (SELECT *, lag(severity) OVER (PARTITION BY equipmentId ORDER BY {order}) AS previous FROM health WHERE {rows}),
 changed AS (SELECT * FROM lagged WHERE previous IS NULL OR previous <> severity)"""
 
 
@@ -667,3 +667,15 @@ said AS (SELECT run, p, place, 'equipment.status' AS topic FROM sent
   UNION ALL SELECT run, p, place, 'equipment.critical-alert' FROM sent WHERE severity = 'CRITICAL')
   SELECT run, topic, CAST(p AS INTEGER) AS sourcePartition, count(*) AS messages, count(DISTINCT place) AS records, CAST(sum(place) AS BIGINT) AS offset_sum,
     CAST(2 AS BIGINT) AS ranges FROM said GROUP BY run, topic, p"""
+ORACLES["s08_copies_on_a_stream"] = _stream() + """
+  SELECT topic, count(*) AS messages, count(DISTINCT "offset") AS records, CAST(sum("offset") AS BIGINT) AS offset_sum, true AS bounded
+  FROM (SELECT 'equipment.status' AS topic, "offset" FROM health UNION ALL SELECT 'alerts.critical', "offset" FROM health WHERE severity = 'CRITICAL')
+  GROUP BY topic"""
+ORACLES["s09_latest_status_state"] = _status() + LATEST
+ORACLES["p09_stream_metrics"] = f"""
+  SELECT i.profile, CAST(4 AS BIGINT) AS batches, i.received, dropped, critical, warning, healthy
+  FROM ({ORACLES['p09_intake_counts']}) i JOIN ({ORACLES['p09_observed_counts']}) o ON i.profile = o.profile"""
+_LATE = "event_id % 50 = 0 AND floor(epoch(ts)) < (SELECT floor(epoch(min(ts))) + (floor(epoch(max(ts))) - floor(epoch(min(ts)))) // 2 FROM events)"
+ORACLES["c01_status_changes_out_of_order"] = _changes("ts, eventId", f"NOT ({_LATE})") + f"""
+  SELECT equipmentId, "offset", severity, coalesce(previous, '') AS previousStatus, false AS late FROM changed
+  UNION ALL SELECT equipmentId, "offset", severity, '', true FROM health WHERE {_LATE}"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -21,7 +22,7 @@ from pulsegrid.plans import health, ingest
 from pulsegrid.schemas import RAW_CONTRACT, Contract
 from pulsegrid.session import work_dir
 from pulsegrid.sources.topics import envelope, with_source_place
-from pulsegrid.streaming import sinks
+from pulsegrid.streaming import eventtime, metrics, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -264,6 +265,26 @@ def s08(spark, sf_dir):
     )
 
 
+@query("s08_copies_on_a_stream")
+def s08_stream(spark, sf_dir):
+    """Twelve batches of half an hour; each third message is sent again in the batch after its own. State is kept for an hour and a half."""
+    sent = health.stream_messages(_topic(spark, sf_dir, "stream"))
+    low, high = _events(spark, sf_dir).agg(F.min("event_id"), F.max("event_id")).first()
+    into = (F.col("sourceOffset") - low) / (high - low + 1)
+    sent = sent.withColumns({"timestamp": F.timestamp_seconds(1_704_067_200 + into * 6 * 3600), "piece": F.floor(into * 12)})
+    again = sent.filter("sourceOffset % 3 = 0").withColumn("piece", F.least(F.col("piece") + 1, F.lit(11)))
+    cut = _cut(spark, sent.unionByName(again), 12, by="piece")
+    path = work_dir(spark, "once-stream")
+    query = sinks.once(_stream_of(spark, cut, 12), within="90 minutes").writeStream.format("parquet").option(
+        "checkpointLocation", work_dir(spark, "once-checkpoint")).trigger(availableNow=True).start(path)
+    _finished(query, 12)
+    table = spark.read.parquet(path)
+    held = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
+    return table.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("sourceOffset").alias("records"), F.sum("sourceOffset").alias("offset_sum")).withColumn(
+        "bounded", F.lit(held < 0.7 * table.count()))
+
+
 @query("s08_kafka_copies")
 def s08_kafka(spark, sf_dir):
     """Rows as a Kafka topic holds them, a third of them twice; the place in the headers tells the copies."""
@@ -309,6 +330,18 @@ def s09_stream(spark, sf_dir):
     return table.snapshot(spark).select("equipmentId", "offset", "severity", "healthScore")
 
 
+@query("s09_latest_status_state")
+def s09_state(spark, sf_dir):
+    """The latest status as keyed state: three batches, a restart, two more; the table is read from the state."""
+    events, checkpoint = _events(spark, sf_dir), work_dir(spark, "state-checkpoint")
+    path = _cut(spark, events, 5, only=range(3))
+    for pieces, new in ((3, 3), (5, 2)):
+        if pieces == 5:
+            _cut(spark, events, 5, path=path, only=range(3, 5))
+        _finished(state.run_latest_state(_with_tombstones(_status_log(spark, sf_dir, _stream_of(spark, path, pieces))), checkpoint), new)
+    return state.latest_state(spark, checkpoint).select("equipmentId", "offset", "severity", "healthScore")
+
+
 @query("s10_retention")
 def s10(spark, sf_dir):
     topics = TopicConfig()
@@ -719,6 +752,27 @@ def p09_intake(spark, sf_dir):
     return spark.createDataFrame(rows, "profile string, received long, dropped long")
 
 
+@query("p09_stream_metrics")
+def p09_stream(spark, sf_dir):
+    """What both plans count in four micro-batches each, from the table the listener writes: intake of damaged records, severities of clean ones."""
+    path, cut, out = work_dir(spark, "metrics"), _cut(spark, _events(spark, sf_dir), 4), None
+    plans = {"status": health.status_health, "stream": health.stream_health}
+    with metrics.MetricsTable(spark, path):
+        for profile, plan in plans.items():
+            for observation, topic in (("intake", ev.faulty_topic), ("routing", ev.telemetry_topic)):
+                name = f"{profile}_{observation}"
+                rows = topic(_stream_of(spark, cut, 4), profile)
+                counted = plan(rows, intake=name) if observation == "intake" else route.observed(plan(rows), name)
+                _finished(counted.writeStream.format("noop").option("checkpointLocation", work_dir(spark, "metrics-checkpoint")).trigger(
+                    availableNow=True).start(), 4)
+    table = metrics.metrics_table(spark, path).withColumn("profile", F.split("observation", "_")[0])
+    total = lambda observation, metric: F.sum(F.when(
+        (F.split("observation", "_")[1] == observation) & (F.col("metric") == metric), F.col("value"))).alias(metric)
+    return table.groupBy("profile").agg(
+        F.countDistinct("batch").alias("batches"), total("intake", "received"), total("intake", "dropped"),
+        *[total("routing", m) for m in ("critical", "warning", "healthy")])
+
+
 @query("p09_observed_counts")
 def p09(spark, sf_dir):
     rows = []
@@ -932,6 +986,24 @@ def c01_stream(spark, sf_dir):
         "equipmentId", "offset", "severity", F.coalesce("previousStatus", F.lit("")).alias("previousStatus"))
 
 
+@query("c01_status_changes_out_of_order")
+def c01_out_of_order(spark, sf_dir):
+    """Records come up to a day out of order, in eight batches; some of the first half come at the very end and are late."""
+    events = _events(spark, sf_dir)
+    first, last = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    jitter = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(86_000))
+    left_behind = (F.col("event_id") % 50 == 0) & (F.unix_seconds("ts") < first + (last - first) // 2)
+    cut = _cut(spark, events.withColumn("arrival", F.when(left_behind, last + 86_000).otherwise(jitter)), 8, by="arrival")
+    table = eventtime.EventTimeChanges(lambda batch: batch, work_dir(spark, "event-time"), bound=dt.timedelta(days=1))
+    source = _status_log(spark, sf_dir, _stream_of(spark, cut, 8))
+    _finished(source.writeStream.foreachBatch(table).option("checkpointLocation", work_dir(spark, "event-time-checkpoint")).trigger(
+        availableNow=True).start(), 8)
+    table.close(spark)
+    late = table.late(spark).select("equipmentId", "offset", "severity", F.lit("").alias("previousStatus"), F.lit(True).alias("late"))
+    return table.changes(spark).select(
+        "equipmentId", "offset", "severity", F.coalesce("previousStatus", F.lit("")).alias("previousStatus"), F.lit(False).alias("late")).unionByName(late)
+
+
 @query("c02_audit_trail")
 def c02(spark, sf_dir):
     rows = audit.ingest_audit(_validated(spark, sf_dir)).unionByName(
