@@ -130,11 +130,18 @@ def unused(columns: Iterable[str], *names: str) -> list[str]:
     return [f"{n}{end}" for n in names]
 
 
+#: Bytes that go to a Python worker at once. Spark's own bound of 64 MB costs several times that in an executor, outside of its heap.
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def lend_path(spark: SparkSession) -> None:
     """Let Python tasks look for modules where this package lies, whatever folder the driver was started in.
 
-    Workers take memory from the system's allocator in few arenas, so that it can be given back.
+    Workers take memory from the system's allocator in few arenas, so that it can be given back, and get texts in
+    batches of ``MAX_BATCH_BYTES``; a session that sets a bound of its own keeps it.
     """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(MAX_BATCH_BYTES))
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     environment.setdefault("MALLOC_ARENA_MAX", "2")
