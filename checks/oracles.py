@@ -672,6 +672,7 @@ ORACLES["s08_copies_on_a_stream"] = _stream() + """
   FROM (SELECT 'equipment.status' AS topic, "offset" FROM health UNION ALL SELECT 'alerts.critical', "offset" FROM health WHERE severity = 'CRITICAL')
   GROUP BY topic"""
 ORACLES["s09_latest_status_state"] = _status() + LATEST
+ORACLES["s09_latest_status_buckets"] = _status() + LATEST
 ORACLES["p09_stream_metrics"] = f"""
   SELECT i.profile, CAST(4 AS BIGINT) AS batches, i.received, dropped, critical, warning, healthy
   FROM ({ORACLES['p09_intake_counts']}) i JOIN ({ORACLES['p09_observed_counts']}) o ON i.profile = o.profile"""

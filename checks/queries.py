@@ -23,6 +23,7 @@ from pulsegrid.schemas import RAW_CONTRACT, Contract
 from pulsegrid.session import work_dir
 from pulsegrid.sources.topics import envelope, with_source_place
 from pulsegrid.streaming import eventtime, metrics, sinks, state
+from pulsegrid.streaming.buckets import BucketedLatest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -342,6 +343,16 @@ def s09_state(spark, sf_dir):
     return state.latest_state(spark, checkpoint).select("equipmentId", "offset", "severity", "healthScore")
 
 
+@query("s09_latest_status_buckets")
+def s09_buckets(spark, sf_dir):
+    """The latest status in key buckets over five batches, cleaned of older versions."""
+    table = BucketedLatest(_with_tombstones, work_dir(spark, "buckets"), buckets=16)
+    source = _status_log(spark, sf_dir, _stream_of(spark, _cut(spark, _events(spark, sf_dir), 5), 5))
+    _finished(sinks.run_latest(source, table, work_dir(spark, "buckets-checkpoint")), 5)
+    table.clean(spark)
+    return table.snapshot(spark, source.schema).select("equipmentId", "offset", "severity", "healthScore")
+
+
 @query("s10_retention")
 def s10(spark, sf_dir):
     topics = TopicConfig()
