@@ -160,7 +160,8 @@ def _weights(rows: DataFrame, key: str, idf: DataFrame) -> tuple[DataFrame, Data
 def scored(found: DataFrame, known: DataFrame, *, least: float = LEAST) -> DataFrame:
     """``notice, license, score, short`` of distinct notices that are near enough to a template; ``short`` if it is no text of a licence."""
     counted = found.groupBy("notice").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
-    counted = stored(counted.select("notice", "n", terms(F.col("text")).alias("terms")), "notices")
+    # A number instead of the digest in the rows of terms; it is fixed once the table is written.
+    counted = stored(counted.select(F.monotonically_increasing_id().alias("id"), "notice", "n", terms(F.col("text")).alias("terms")), "notices")
     known = stored(known.filter("text IS NOT NULL AND license IS NOT NULL").select("license", "text").distinct().select(
         F.xxhash64("license", "text").alias("template"), "license", terms(F.col("text")).alias("terms")).withColumn(
         "short", F.size("terms") < FULL_TERMS), "templates")
@@ -169,14 +170,14 @@ def scored(found: DataFrame, known: DataFrame, *, least: float = LEAST) -> DataF
     held = counted.select("n", F.explode(F.array_distinct("terms")).alias("term")).unionByName(
         known.select(F.lit(1).cast("long").alias("n"), F.explode(F.array_distinct("terms")).alias("term")))
     idf = stored(held.groupBy("term").agg((F.log(F.lit(1.0 + total) / (1 + F.sum("n"))) + 1).alias("idf")), "idf")
-    ours, our_length = _weights(counted, "notice", idf)
+    ours, our_length = _weights(counted, "id", idf)
     theirs, their_length = _weights(known, "template", idf)
     theirs = theirs.withColumnRenamed("w", "v")
-    dots = ours.join(theirs, "term").groupBy("notice", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    near = dots.join(our_length, "notice").join(their_length.withColumnRenamed("length", "their_length"), "template")
+    dots = ours.join(theirs, "term").groupBy("id", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    near = dots.join(our_length, "id").join(their_length.withColumnRenamed("length", "their_length"), "template")
     near = near.withColumn("score", F.round(F.col("dot") / (F.col("length") * F.col("their_length")), 6)).filter(F.col("score") >= least)
-    best = near.join(known.select("template", "license", "short"), "template").filter(F.col("short") | (F.col("score") >= FULL)).groupBy("notice").agg(_best())
-    return best.select("notice", "b.license", (-F.col("b.minus")).alias("score"), "b.short")
+    best = near.join(known.select("template", "license", "short"), "template").filter(F.col("short") | (F.col("score") >= FULL)).groupBy("id").agg(_best())
+    return best.join(counted.select("id", "notice"), "id").select("notice", "b.license", (-F.col("b.minus")).alias("score"), "b.short")
 
 
 def _best() -> Column:
