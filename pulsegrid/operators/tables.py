@@ -42,6 +42,7 @@ def key_pieces(
     folder follows from its rows, counted first (one number per folder
     reaches the driver), so a hot key does not end in one task; the offset spreads
     its rows over the pieces. Pieces are placed by their number, so each task writes exactly one, into one folder.
+    Small folders share a task, up to ``rows_per_piece`` rows together and in whole: the number of tasks follows the rows, not the days.
     """
     numbered = records.withColumn("keyPartition", key_partition(key, partitions))
     folder = ("keyPartition", *within)
@@ -49,9 +50,19 @@ def key_pieces(
     if not sizes:
         return numbered
     pieces = [-(-r["count"] // rows_per_piece) for r in sizes]
-    first = [sum(pieces[:i]) for i in range(len(pieces))]
+    first, tasks, room = [], 0, {}
+    for r, n in zip(sizes, pieces):
+        if n == 1 and r["count"] <= room.get(r["keyPartition"], (0, 0))[1]:
+            shared, left = room[r["keyPartition"]]
+            first.append(shared)
+            room[r["keyPartition"]] = shared, left - r["count"]
+            continue
+        first.append(tasks)
+        if n == 1:
+            room[r["keyPartition"]] = tasks, rows_per_piece - r["count"]
+        tasks += n
     types = ", ".join(f"`{numbered.schema[c].name}` {numbered.schema[c].dataType.simpleString()}" for c in folder)
     table = records.sparkSession.createDataFrame(
         [(*r[:-1], f, n) for r, f, n in zip(sizes, first, pieces)], f"{types}, _first int, _pieces int")
     placed = numbered.join(table, list(folder)).withColumn("_piece", (F.col("_first") + F.pmod(F.xxhash64(offset), F.col("_pieces"))).cast("int"))
-    return placed.repartitionById(sum(pieces), "_piece").select(*numbered.columns)
+    return placed.repartitionById(tasks, "_piece").select(*numbered.columns)
