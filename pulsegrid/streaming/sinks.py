@@ -95,7 +95,7 @@ def write_messages(
     The day comes from the record, not from the clock, so a repeated batch
     overwrites exactly the folders of its first attempt. ``source`` are the
     records the messages were made of; their offsets are committed after the
-    write (without it, those of the messages).
+    write (without it, those of the messages, read from what was written).
 
     ``clustered`` gathers the rows of a topic and day into few files first, for
     backfills over many days; Spark splits large ones by size. ``key_partitions``
@@ -103,8 +103,11 @@ def write_messages(
     in as many pieces as it has ``rows_per_piece`` rows.
     """
     _write(messages, path, batch_id, run, clustered=clustered, key_partitions=key_partitions, rows_per_piece=rows_per_piece)
-    place = messages.selectExpr("sourceTopic AS topic", "sourcePartition AS partition", "sourceOffset AS offset") if source is None else source
-    _commit(_ranges(place), path, run, batch_id)
+    if source is None:
+        # Not from the messages: that would make all of them once more.
+        written = _read(messages.sparkSession, f"{path}/messages", MESSAGES).filter((F.col("run") == run) & (F.col("batch") == batch_id))
+        source = written.selectExpr("sourceTopic AS topic", "sourcePartition AS partition", "sourceOffset AS offset")
+    _commit(_ranges(source), path, run, batch_id)
 
 
 def _write(messages: DataFrame, path: str, batch_id: int, run: str, **layout) -> None:
@@ -132,9 +135,12 @@ def messages_table(spark: SparkSession, path: str, *, as_of: DataFrame | None =
     Of a source record that several runs have read only the newest one's messages
     count. Batches that were never committed are left out. ``as_of`` takes an
     earlier reading of ``commits``.
+
+    Messages are not dealt out by batch or by offsets, as few of either may have all of them: what is joined with them
+    goes to their tasks, a row for each batch and one for each range in force.
     """
     done = commits(spark, path) if as_of is None else as_of
-    rows = _read(spark, f"{path}/messages", MESSAGES).join(done.select("run", "batch", "seq").distinct(), ["run", "batch"])
+    rows = _read(spark, f"{path}/messages", MESSAGES).join(F.broadcast(done.select("run", "batch", "seq").distinct()), ["run", "batch"])
     newest = in_force(islands(done)).select(
         F.col("sourceTopic").alias("_topic"), F.col("sourcePartition").alias("_partition"), "firstOffset", "lastOffset", F.col("seq").alias("_seq"),
         F.explode(F.expr(f"sequence(firstOffset div {BUCKET}, lastOffset div {BUCKET})")).alias("_bucket"))
@@ -142,7 +148,7 @@ def messages_table(spark: SparkSession, path: str, *, as_of: DataFrame | None =
         (F.col("sourceTopic") == F.col("_topic")) & (F.col("sourcePartition") == F.col("_partition"))
         & (F.expr(f"sourceOffset div {BUCKET}") == F.col("_bucket")) & F.col("sourceOffset").between(F.col("firstOffset"), F.col("lastOffset"))
     )
-    return rows.join(newest, here, "left").filter("_seq IS NULL OR _seq <= seq").select(*[f.name for f in MESSAGES])
+    return rows.join(F.broadcast(newest), here, "left").filter("_seq IS NULL OR _seq <= seq").select(*[f.name for f in MESSAGES])
 
 
 def islands(done: DataFrame) -> DataFrame:
