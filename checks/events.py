@@ -15,12 +15,19 @@ TOPIC = "telemetry.raw"
 EQUIPMENT_ID = "concat('EQ-', CASE WHEN user_id < 1000 THEN lpad(CAST(user_id AS STRING), 4, '0') ELSE CAST(user_id AS STRING) END)"
 K = "get_json_object(props, '$.k')"
 NO_CODES = texts([])
-# The table is one file; its texts are made and read in this many pieces, always.
+# The table is one file; its texts are made and read in this many pieces at least, and in more if those had more rows than this.
 PIECES = 8
+ROWS_PER_PIECE = 250_000
+
+
+def pieces(events: DataFrame) -> int:
+    """Pieces for the rows of a table, which are counted."""
+    return max(PIECES, -(-events.count() // ROWS_PER_PIECE))
 
 
 def _pieces(events: DataFrame) -> DataFrame:
-    return events if events.isStreaming else events.repartition(PIECES, "event_id")
+    """The table in pieces of neighbouring ids, as the segments of a topic are; so a piece has few days."""
+    return events if events.isStreaming else events.repartitionByRange(pieces(events), "event_id")
 
 
 def read_events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:

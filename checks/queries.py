@@ -20,7 +20,7 @@ from pulsegrid.operators import (
 )
 from pulsegrid.plans import health, ingest
 from pulsegrid.schemas import RAW_CONTRACT, Contract
-from pulsegrid.session import work_dir
+from pulsegrid.session import RECOMMENDED, work_dir
 from pulsegrid.sources.topics import envelope, with_source_place
 from pulsegrid.streaming import eventtime, metrics, sinks, state
 from pulsegrid.streaming.buckets import BucketedLatest
@@ -59,6 +59,8 @@ def query(name: str) -> Callable[[Query], Query]:
 # -- inputs ------------------------------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
+    # As in session.RECOMMENDED: methods beyond that are interpreted.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", RECOMMENDED["spark.sql.codegen.hugeMethodLimit"])
     return ev.read_events(spark, sf_dir, streaming=streaming)
 
 
@@ -159,11 +161,12 @@ def s06(spark, sf_dir):
 def _cut(spark: SparkSession, rows: DataFrame, pieces: int, by: str = "event_id", path: str | None = None, only: range | None = None) -> str:
     """``rows`` as pieces of rising ``by``, one written after the other as a topic's segments are; null goes first.
 
-    Each piece has as many files as the rows have partitions (two at least); ``only`` writes some of the pieces.
+    Each piece has as many files as the rows have partitions (two at least), and more if those had too many rows for one task;
+    ``only`` writes some of the pieces.
     """
     path = path or work_dir(spark, "cut")
-    low, high = rows.agg(F.min(by), F.max(by)).first()
-    step, files = -(-(high - low + 1) // pieces), max(2, rows.rdd.getNumPartitions())
+    low, high, count = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
+    step, files = -(-(high - low + 1) // pieces), max(2, rows.rdd.getNumPartitions(), -(-count // (pieces * ev.ROWS_PER_PIECE)))
     for i in only or range(pieces):
         mine = F.col(by).between(low + i * step, low + (i + 1) * step - 1)
         rows.filter(mine if i else mine | F.col(by).isNull()).repartition(files).write.mode("append").parquet(path)
