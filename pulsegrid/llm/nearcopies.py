@@ -6,7 +6,9 @@ at. A signature has ``BANDS`` keys, each made of ``WIDTH`` smallest hashes. Sets
 similarity s share a key with a chance of s ** WIDTH each, so a pair at exactly 0.8 has
 none in common with a chance of 1.3e-7, one at 0.85 of 6.5e-11.
 
-Documents of the same set take part once. First the members of a key are only compared with
+Documents of the same set take part once. First come the pairs that the pigeonring filter finds, as in ``simhash``: sets
+whose 64-bit fingerprints differ in at most four bits. Those are the close copies; at a similarity of 0.8 fingerprints
+differ in about ten bits, so the keys do the rest. Then the members of a key are only compared with
 one of them, its centre, which takes one comparison for each member and links most copies; this is
 done twice, with other centres (``CENTRES`` are the keys that take part). Then keys whose members are not
 yet in one component are gone through: members outside of the key's largest component are compared with
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import BROADCAST_BYTES, by_arrow, groups, map_rows, sized, stored, unused, utf8
 from pulsegrid.llm.components import components
+from pulsegrid.llm.simhash import links
 
 SHINGLE = 5
 ALIKE = 0.8
@@ -63,18 +66,26 @@ def keys(found: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(BANDS, WIDTH))], np.uint64).view(np.int64)
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """The SimHash of a set of shingles, 0 of an empty one."""
+    counts = np.zeros(64, np.int64)
+    for k in range(0, len(found), 1 << 14):
+        counts += np.unpackbits(found[k:k + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(found), bitorder="little").view(np.int64)[0])
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)]).astype(np.int64)))
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """``key, row, node, size, bands`` for ``key, row, _text``: a digest of the set of shingles, its size and its keys."""
+    """``key, row, node, size, fp, bands`` for ``key, row, _text``: a digest of the set of shingles, its size, fingerprint and keys."""
     def work(batch):
         sets = [shingles(x) for x in batch["_text"].to_pylist()]
-        return {"key": batch["key"], "row": batch["row"], "size": [len(s) for s in sets], "bands": _lists([keys(s) for s in sets]),
+        return {"key": batch["key"], "row": batch["row"], "size": [len(s) for s in sets], "fp": [fingerprint(s) for s in sets], "bands": _lists([keys(s) for s in sets]),
                 "node": pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64))}
-    return map_rows(rows, "key long, row long, node long, size long, bands array<bigint>", lambda: work)
+    return map_rows(rows, "key long, row long, node long, size long, fp long, bands array<bigint>", lambda: work)
 
 
 def _crossing(node: np.ndarray, root: np.ndarray, left: np.ndarray, ends: np.ndarray, values: np.ndarray, alike: float) -> list[tuple[int, int]]:
@@ -170,7 +181,28 @@ def _to_centres(members: DataFrame, bands: int, alike: float, block: int, turn:
     centres = rows.groupBy("key").agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     fits = F.expr("root <> c.root") & (F.least("size", "c.size") >= F.lit(alike) * F.greatest("size", "c.size"))
     pairs = rows.join(centres.select("key", "c"), "key").filter(fits).groupBy("node", "root", "size").agg(F.min("c").alias("c"))
-    pairs = stored(pairs.select("node", "root", "size", F.col("c.node").alias("centre"), F.col("c.root").alias("its")), "pairs")
+    return _dealt(pairs.select("node", "root", "size", F.col("c.node").alias("centre"), F.col("c.root").alias("its")), block)
+
+
+def _on_ring(nodes: DataFrame, alike: float, block: int) -> DataFrame:
+    """Deals that bring together the nodes which the pigeonring filter links; the one it went out from is the centre."""
+    some = nodes.filter("size > 0").select("node", "size", "fp")
+    # Sets of the same fingerprint go through the filter once; the least of them stands for it.
+    stands = stored(some.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("s")).select("fp", "s.*"), "stands")
+    # The stand of a fingerprint is a node itself, so what is linked has its name already.
+    found = links(stands.select("node", F.array("fp").alias("fps"))).distinct()
+    sizes = stands.select(F.col("node").alias("a"), F.col("size").alias("its_size"))
+    across = found.join(sizes, "a").join(stands.select(F.col("node").alias("b"), "size"), "b").select(
+        F.col("b").alias("node"), "size", F.col("a").alias("centre"), "its_size")
+    same = some.join(stands.select("fp", F.col("node").alias("centre"), F.col("size").alias("its_size")), "fp").filter("node <> centre").select(
+        "node", "size", "centre", "its_size")
+    fits = F.least("size", "its_size") >= F.lit(alike) * F.greatest("size", "its_size")
+    return _dealt(across.union(same).filter(fits).select("node", F.col("node").alias("root"), "size", "centre", F.col("centre").alias("its")), block)
+
+
+def _dealt(pairs: DataFrame, block: int) -> DataFrame:
+    """Deals for nodes and the centres they are compared with (``node, root, size, centre, its``)."""
+    pairs = stored(pairs, "pairs")
     met = pairs.groupBy("centre", "its").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
     met = stored(met.select("centre", "its", _blocks(F.col("n"), F.col("shingles"), block).alias("blocks")), "centres")
     at = pairs.join(sized(met.select("centre", "blocks"), 32), "centre").select(
@@ -209,11 +241,13 @@ def _across(members: DataFrame, block: int, roots: DataFrame) -> DataFrame:
 
 def linked(nodes: DataFrame, texts: DataFrame, again: DataFrame | None, alike: float, block: int) -> DataFrame:
     """``member, root`` of the nodes that have links."""
-    edges, roots, members = None, None, _members(nodes)
+    members = _members(nodes)
+    edges = stored(_compared(nodes, texts, _on_ring(nodes, alike, block), again, alike), "links")
+    roots = stored(components(edges).withColumnRenamed("node", "member"), "roots")
     for turn, bands in enumerate(CENTRES):
         deals = _to_centres(members, bands, alike, block, turn, roots)
         more = stored(_compared(nodes, texts, deals, again, alike), "links")
-        edges = more if edges is None else edges.union(more)
+        edges = edges.union(more)
         roots = stored(components(edges).withColumnRenamed("node", "member"), "roots")
     edges = edges.union(stored(_compared(nodes, texts, _across(members, block, roots), again, alike), "links"))
     return stored(components(edges).withColumnRenamed("node", "member"), "roots")
@@ -229,7 +263,7 @@ def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", alik
     row = F.xxhash64(key, F.col(text))
     texts = docs.select(key.alias("key"), row.alias("row"), utf8(text).alias("_text"))
     own = stored(signatures(texts), "signatures")
-    nodes = stored(own.groupBy("node", "size", "bands").agg(F.min(F.struct("key", "row")).alias("first")), "nodes")
+    nodes = stored(own.groupBy("node", "size", "fp", "bands").agg(F.min(F.struct("key", "row")).alias("first")), "nodes")
     again = stored(own.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("row"), "again")
     repeats = None if again.isEmpty() else again
     roots = linked(nodes, texts.select("row", "_text"), repeats, alike, block)

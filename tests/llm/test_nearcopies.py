@@ -97,3 +97,13 @@ def test_chains_are_followed_to_the_end(spark, rng):
         docs[i] = " ".join(words)
     frame = spark.createDataFrame([(k, t, "x", 1) for k, t in docs.items()], DOCS)
     assert sorted(r.doc_id for r in nearcopies.one_of_each(frame, block=4).collect()) == sorted(plain_kept(docs))
+
+
+def test_pigeonring_pairs_are_compared(spark, monkeypatch):
+    """Close copies come from the fingerprints; the filter's pairs that are no near copies give no link."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join([*words, "end"]), " ".join([*words, "more"]), " ".join(f"x{i}" for i in range(400)), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # Without any key in common only the ring is left.
+    monkeypatch.setattr(nearcopies, "_members", lambda nodes: nodes.selectExpr("CAST(0 AS BIGINT) AS key", "0 AS band", "node", "size").limit(0))
+    assert sorted(r.doc_id for r in nearcopies.one_of_each(docs).collect()) == [0, 3, 4]
