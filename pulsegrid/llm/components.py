@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import stored
 
+#: Edges for each task and file while stars are formed.
+TASK_ROWS = 1 << 16
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges`` (columns ``a``, ``b``, any order); root is the smallest node reachable.
@@ -20,19 +23,26 @@ def components(edges: DataFrame) -> DataFrame:
     every root is, with itself.
     """
     e = stored(edges.filter("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct(), "edges")
+    # Edges don't become more, but for one of each node. Tasks and files follow their number, not the session's number of partitions.
+    tasks = max(1, -(-e.count() // TASK_ROWS))
     while not _all_stars(e):
         both = e.union(e.selectExpr("v AS u", "u AS v"))
-        e = _star(both, both.filter("v > u"), "v")
-        e = _star(e, e, "v").union(e.groupBy("u").agg(F.min("v").alias("v")))
-        e = stored(e.filter("u <> v").distinct(), "edges")
+        smallest = stored(_smallest(both).coalesce(tasks), "smallest")
+        e = stored(_hung(both.filter("v > u"), smallest).distinct().coalesce(tasks), "edges")
+        # The upper end of every edge comes first now, so the smallest of each is one of its own edges.
+        smallest = stored(_smallest(e).coalesce(tasks), "smallest")
+        e = stored(_hung(e, smallest).union(smallest.selectExpr("u", "m AS v")).distinct().coalesce(tasks), "edges")
     return e.selectExpr("u AS node", "v AS root").union(e.selectExpr("v AS node", "v AS root").distinct())
 
 
-def _star(neighbours: DataFrame, moved: DataFrame, end: str) -> DataFrame:
-    """Hang the far end of every edge of ``moved`` on the smallest neighbour of ``u``, or on ``u`` itself if that is smaller."""
-    smallest = stored(neighbours.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "smallest")
-    out = moved.join(smallest, "u").select(F.col(end).alias("u"), F.col("m").alias("v"))
-    return stored(out.filter("u <> v").distinct(), "edges")
+def _smallest(neighbours: DataFrame) -> DataFrame:
+    """``u, m``: the smallest neighbour of ``u``, or ``u`` itself if that is smaller."""
+    return neighbours.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+
+
+def _hung(moved: DataFrame, smallest: DataFrame) -> DataFrame:
+    """The far end of every edge of ``moved``, hung on the smallest of ``u``."""
+    return moved.join(smallest, "u").selectExpr("v AS u", "m AS v").filter("u <> v")
 
 
 def _all_stars(e: DataFrame) -> bool:

@@ -88,8 +88,8 @@ def signatures(rows: DataFrame) -> DataFrame:
     return map_rows(rows, "key long, row long, node long, size long, fp long, bands array<bigint>", lambda: work)
 
 
-def _crossing(node: np.ndarray, root: np.ndarray, left: np.ndarray, ends: np.ndarray, values: np.ndarray, alike: float) -> list[tuple[int, int]]:
-    """Links of the ``left`` nodes with nodes of other roots; ``values`` between two ``ends`` are a node's set. Two roots that got linked are one."""
+def _crossing(root: np.ndarray, left: np.ndarray, ends: np.ndarray, values: np.ndarray, alike: float) -> list[tuple[int, int]]:
+    """Links, named by their roots, of the ``left`` nodes with nodes of other roots; ``values`` between two ``ends`` are a node's set. Two roots that got linked are one."""
     size, starts = np.diff(ends), ends[:-1]
     terms, codes = np.unique(values, return_inverse=True)
     held = np.zeros(len(terms), bool)
@@ -107,7 +107,7 @@ def _crossing(node: np.ndarray, root: np.ndarray, left: np.ndarray, ends: np.nda
         held[own] = False
         for x in np.flatnonzero(other & (common / (size + size[k] - common) >= alike)):
             if part[x] != part[k]:
-                edges.append((int(node[k]), int(node[x])))
+                edges.append((int(root[k]), int(root[x])))
                 part[part == part[x]] = part[k]
     return edges
 
@@ -136,7 +136,7 @@ def _blocks(n, size, block: int):
 
 
 def _compared(nodes: DataFrame, texts: DataFrame, deals: DataFrame, again: DataFrame | None, alike: float) -> DataFrame:
-    """Edges found where ``deals`` (``node, root, left, pair``) brings nodes together: the ``left`` ones of a pair meet all others of it.
+    """Links between roots found where ``deals`` (``node, root, left, pair``) brings nodes together: the ``left`` ones of a pair meet all others of it.
 
     A node's set is made once, of its text, and goes from there to its pairs; neither texts nor sets are stored or dealt
     out by node in between. What says where is short, and is broadcast to the texts if it is small enough.
@@ -144,7 +144,9 @@ def _compared(nodes: DataFrame, texts: DataFrame, deals: DataFrame, again: DataF
     """
     sent = deals.groupBy("node").agg(F.collect_set(F.struct("pair", "root", "left")).alias("sent"))
     wanted = stored(nodes.select("node", F.col("first.row").alias("row")).join(sent, "node"), "wanted")
-    size = wanted.agg(F.sum(F.size("sent") * 40 + 80)).first()[0] or 0
+    size = wanted.agg(F.sum(F.size("sent") * 40 + 80)).first()[0]
+    if size is None:  # nothing to compare
+        return nodes.sparkSession.range(0).selectExpr("id AS a", "id AS b")
     rows = texts.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "row")
     if again is not None:
         rows = rows.join(again, "row", "left_anti").union(rows.join(again, "row", "left_semi").dropDuplicates(["row"]))
@@ -161,7 +163,7 @@ def _compared(nodes: DataFrame, texts: DataFrame, deals: DataFrame, again: DataF
                 found = group["found"].combine_chunks()
                 found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
                 ends = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False))])
-                edges = _crossing(group["node"].to_numpy(), group["root"].to_numpy(), group["left"].to_numpy(), ends, found.flatten().to_numpy(), alike)
+                edges = _crossing(group["root"].to_numpy(), group["left"].to_numpy(), ends, found.flatten().to_numpy(), alike)
                 edges = np.array(edges, np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
@@ -185,15 +187,19 @@ def _to_centres(members: DataFrame, bands: int, alike: float, block: int, turn:
 
 
 def _on_ring(nodes: DataFrame, alike: float, block: int) -> DataFrame:
-    """Deals that bring together the nodes which the pigeonring filter links; the one it went out from is the centre."""
+    """Deals that bring nodes to the least of those that the pigeonring filter links them with: at most one comparison for each node."""
     some = nodes.filter("size > 0").select("node", "size", "fp")
     # Sets of the same fingerprint go through the filter once; the least of them stands for it.
     stands = stored(some.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("s")).select("fp", "s.*"), "stands")
     # The stand of a fingerprint is a node itself, so what is linked has its name already.
     found = links(stands.select("node", F.array("fp").alias("fps"))).distinct()
-    sizes = stands.select(F.col("node").alias("a"), F.col("size").alias("its_size"))
-    across = found.join(sizes, "a").join(stands.select(F.col("node").alias("b"), "size"), "b").select(
-        F.col("b").alias("node"), "size", F.col("a").alias("centre"), "its_size")
+    ends = [F.struct(F.xxhash64(x).alias("h"), F.col(x).alias("node"), F.col(f"{x}_size").alias("size")) for x in "ab"]
+    across = found.join(stands.select(F.col("node").alias("a"), F.col("size").alias("a_size")), "a").join(
+        stands.select(F.col("node").alias("b"), F.col("size").alias("b_size")), "b").filter(
+        F.least("a_size", "b_size") >= F.lit(alike) * F.greatest("a_size", "b_size"))
+    # The starts on the ring find most pairs of a large group several times over; one partner for each node, the least, holds it together.
+    across = across.groupBy(F.greatest(*ends).alias("x")).agg(F.min(F.least(*ends)).alias("c")).select(
+        "x.node", "x.size", F.col("c.node").alias("centre"), F.col("c.size").alias("its_size"))
     same = some.join(stands.select("fp", F.col("node").alias("centre"), F.col("size").alias("its_size")), "fp").filter("node <> centre").select(
         "node", "size", "centre", "its_size")
     fits = F.least("size", "its_size") >= F.lit(alike) * F.greatest("size", "its_size")
@@ -239,6 +245,16 @@ def _across(members: DataFrame, block: int, roots: DataFrame) -> DataFrame:
     return spread.select("node", "root", "left", "pair")
 
 
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` after the links ``found`` between roots; a node that was not listed is a root of its own."""
+    if found.isEmpty():
+        return roots
+    now = stored(components(found).select(F.col("node").alias("was"), F.col("root").alias("now")), "renamed")
+    moved = roots.join(sized(now, 48), F.col("root") == F.col("was"), "left").select("member", F.coalesce("now", "root").alias("root"))
+    new = now.join(roots, F.col("was") == F.col("member"), "left_anti").select(F.col("was").alias("member"), F.col("now").alias("root"))
+    return stored(moved.union(new), "roots")
+
+
 def linked(nodes: DataFrame, texts: DataFrame, again: DataFrame | None, alike: float, block: int) -> DataFrame:
     """``member, root`` of the nodes that have links."""
     members = _members(nodes)
@@ -246,11 +262,8 @@ def linked(nodes: DataFrame, texts: DataFrame, again: DataFrame | None, alike: f
     roots = stored(components(edges).withColumnRenamed("node", "member"), "roots")
     for turn, bands in enumerate(CENTRES):
         deals = _to_centres(members, bands, alike, block, turn, roots)
-        more = stored(_compared(nodes, texts, deals, again, alike), "links")
-        edges = edges.union(more)
-        roots = stored(components(edges).withColumnRenamed("node", "member"), "roots")
-    edges = edges.union(stored(_compared(nodes, texts, _across(members, block, roots), again, alike), "links"))
-    return stored(components(edges).withColumnRenamed("node", "member"), "roots")
+        roots = _merged(roots, stored(_compared(nodes, texts, deals, again, alike), "links"))
+    return _merged(roots, stored(_compared(nodes, texts, _across(members, block, roots), again, alike), "links"))
 
 
 def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", alike: float = ALIKE, block: int = BLOCK) -> DataFrame:

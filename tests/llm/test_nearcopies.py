@@ -107,3 +107,27 @@ def test_pigeonring_pairs_are_compared(spark, monkeypatch):
     # Without any key in common only the ring is left.
     monkeypatch.setattr(nearcopies, "_members", lambda nodes: nodes.selectExpr("CAST(0 AS BIGINT) AS key", "0 AS band", "node", "size").limit(0))
     assert sorted(r.doc_id for r in nearcopies.one_of_each(docs).collect()) == [0, 3, 4]
+
+
+def test_later_turns_work_on_roots(spark, rng, monkeypatch):
+    """Once all is linked no components are formed again, and later links are between roots."""
+    asked, components = [], nearcopies.components
+
+    def counted(edges):
+        asked.append([tuple(r) for r in edges.collect()])
+        return components(edges)
+    monkeypatch.setattr(nearcopies, "components", counted)
+    words = [f"w{i}" for i in range(400)]
+    docs = {0: " ".join(words), 1: " ".join([*words, "end"]), 2: " ".join([*words, "more"])}
+    kept = nearcopies.one_of_each(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    assert [r.doc_id for r in kept.collect()] == [0] and len(asked) == 1
+    # Families of close copies whose heads are looser ones: the families are joined by few links.
+    asked.clear()
+    docs = {}
+    for k in range(6):
+        own = [f"n{k}x{i}" if i % 60 == k else w for i, w in enumerate(words)]
+        docs |= {100 * k + i: " ".join([*own, f"e{k}x{i}"]) for i in range(10)}
+    kept = nearcopies.one_of_each(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(plain_kept(docs))
+    first, later = asked[0], [e for links in asked[1:] for e in links]
+    assert len(first) >= 50 and later and len(set(later)) < 20

@@ -1,5 +1,7 @@
 """SimHash near-duplicates next to a brute-force version."""
 
+import importlib
+
 import numpy as np
 import pytest
 import xxhash
@@ -144,3 +146,25 @@ def test_components(spark, rng):
     want = {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
     assert got == want
     assert components(edges.limit(0)).count() == 0
+
+
+def test_few_edges_take_few_files(spark, monkeypatch):
+    """Tables of a few edges have one file, whatever the number of shuffle partitions; a round writes four."""
+    module, files = importlib.import_module("pulsegrid.llm.components"), []
+    stored = module.stored
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        files.append(len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(module, "stored", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.node: r.root for r in components(spark.range(200).selectExpr("id AS a", "id + 1 AS b")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(201), 0)
+    assert len(files) > 4 and len(files) % 4 == 1 and set(files[1:]) == {1}
