@@ -1,10 +1,12 @@
 """Token counts of whole texts, by batch encoding that returns lengths only.
 
 Arrow functions hand texts to the vocabulary's own library. The texts of an Arrow
-batch are cut into parts of about ``PART_CHARS`` characters at safe boundaries, and
-the parts dealt out, largest first, to batches of about ``BATCH_BYTES`` bytes, each to the
-lightest; so one very long text neither makes a batch of its own size nor holds its
-tokens in memory at once. Counts of parts add up to the count of the text.
+batch are cut into parts of about ``PART_CHARS`` characters at safe boundaries, and these
+at every safe boundary into words. Words that come again are encoded once: a worker keeps
+the counts of up to ``WORDS`` short ones, and those it does not know yet are dealt out to batches of about
+``BATCH_BYTES`` bytes. Where most words are new, parts are encoded as they are, dealt out largest first,
+each to the lightest batch; so one very long text neither makes a batch of its own size nor holds its
+tokens in memory at once. Counts of words and of parts add up to the count of the text.
 
 A boundary is safe where no token can reach over it:
 
@@ -30,16 +32,22 @@ import heapq
 import json
 import os
 import re
+from collections import ChainMap
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import map_rows, utf8
+from pulsegrid.llm.common import kept, map_rows, utf8
 
 PART_CHARS = 32_768
 BATCH_BYTES = 1 << 18
+#: Characters that are cut into words at once.
+RUN_CHARS = 1 << 20
+#: Words whose counts a worker keeps, begun anew beyond that; longer words than ``WORD_CHARS`` are not kept.
+WORDS, WORD_CHARS = 1 << 19, 64
 BLANK = "▁"
 
 
@@ -49,6 +57,7 @@ class _Library:
     cut: re.Pattern | None = None
 
     def __init__(self, path: str):
+        self.known: dict[str, int] = {}
         self.load(path)
         if self.cut is not None and not self.adds_up():
             self.cut = None
@@ -126,9 +135,51 @@ def lengths(coder: _Library, texts: list[str], part_chars: int = PART_CHARS, bat
             owner.append(i)
             parts.append(part)
     out = [0] * len(texts)
+    for at in runs([len(p) for p in parts], RUN_CHARS):
+        for i, n in zip(owner[at], by_words(coder, parts[at], batch_bytes)):
+            out[i] += n
+    return out
+
+
+def runs(sizes: list[int], most: int) -> Iterator[slice]:
+    """Neighbours of about ``most`` together."""
+    at = total = 0
+    for k, size in enumerate(sizes):
+        if total and total + size > most:
+            yield slice(at, k)
+            at, total = k, 0
+        total += size
+    yield slice(at, len(sizes))
+
+
+def by_words(coder: _Library, parts: list[str], batch_bytes: int = BATCH_BYTES) -> list[int]:
+    """Tokens of each part, from the counts of its words unless most of them are new."""
+    if coder.cut is None:
+        return encoded(coder, parts, batch_bytes)
+    known, split = coder.known, [coder.cut.split(p) for p in parts]
+    distinct = set().union(*split)
+    new = distinct - known.keys()
+    if 2 * len(new) > sum(map(len, split)):
+        return encoded(coder, parts, batch_bytes)
+    if len(known) + len(new) > WORDS:
+        known.clear()
+        new = distinct
+    short = [w for w in new if len(w) <= WORD_CHARS]
+    long = [w for w in new if len(w) > WORD_CHARS]
+    step = max(1, -(-sum(map(len, short)) // batch_bytes))
+    for k in range(step):
+        batch = short[k::step]
+        known.update(zip(batch, coder.count(batch)))
+    counts = ChainMap(dict(zip(long, encoded(coder, long, batch_bytes))), known) if long else known
+    return [sum(map(counts.__getitem__, words)) for words in split]
+
+
+def encoded(coder: _Library, parts: list[str], batch_bytes: int) -> list[int]:
+    """Tokens of each part, encoded as it is."""
+    out = [0] * len(parts)
     for batch in balanced([len(p.encode()) for p in parts], batch_bytes):
         for at, n in zip(batch, coder.count([parts[k] for k in batch])):
-            out[owner[at]] += n
+            out[at] = n
     return out
 
 
@@ -137,7 +188,7 @@ def count(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text",
     """One row per document: ``doc_id, n_bytes, n_tokens`` and, with a ``limit``, if there are more tokens than that (``over_limit``)."""
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder = library(path)
+        coder = kept(("lengths", path), lambda: library(path))
 
         def work(batch):
             raw = batch["_text"]

@@ -53,6 +53,29 @@ def test_batches_are_balanced():
     assert t.balanced([]) == [] and t.balanced([0, 0]) == [[0, 1]]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_words_are_encoded_once(name, rng, monkeypatch):
+    path = public_tokenizers.path(name)
+    coder, want = t.library(path), plain(path)
+    given, count = [], coder.count
+    monkeypatch.setattr(coder, "count", lambda texts: given.extend(texts) or count(texts))
+    some = [f"word{i}" for i in range(50)] + ["L" * 100, "漢字かな", "it's", "x\ty"]
+    texts = [" ".join(rng.choice(some, 300)) for _ in range(40)]
+    assert t.lengths(coder, texts) == [want(x) for x in texts]
+    assert len(given) < 300
+    # Only long words are not kept.
+    given.clear()
+    assert t.lengths(coder, texts) == [want(x) for x in texts]
+    assert all("L" * 100 in x for x in given) and len(given) < 40
+    # What is kept is bounded, and texts of new words are encoded as they are.
+    monkeypatch.setattr(t, "WORDS", 20)
+    monkeypatch.setattr(t, "RUN_CHARS", 3000)
+    assert t.lengths(coder, texts) == [want(x) for x in texts]
+    given.clear()
+    fresh = " ".join(f"{i}new" for i in range(1000))
+    assert t.lengths(coder, [fresh, "", texts[0]]) == [want(fresh), 0, want(texts[0])] and fresh in given
+
+
 def test_hostile_rows(spark):
     rows = [(1, "a b", "x"), (1, "a b", "x"), (None, "c", None), (2, None, "y"), (3, "", "z"), (4, "word " * 200_000, "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
