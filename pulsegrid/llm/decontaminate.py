@@ -48,11 +48,13 @@ UNITS = (
     "percent", "degree", "degrees",
 )
 _REST = r"[\p{L}'-]*+"
+# Repeated groups are possessive, as nothing after them could give a part back: Java goes through others by recursion, and a
+# few thousand numbers or names in a row end an executor with its stack.
 # Capitalised words; those that follow each other are one name where the first one does not begin a sentence, that is,
 # follows a small letter, a comma or a semicolon and one blank.
-NAME = rf"\p{{Lu}}(?<![\p{{L}}{UNIT_MARK}]\p{{Lu}})(?:(?<=[\p{{Ll}},;] \p{{Lu}}){_REST}(?: \p{{Lu}}{_REST})*|{_REST})"
+NAME = rf"\p{{Lu}}(?<![\p{{L}}{UNIT_MARK}]\p{{Lu}})(?:(?<=[\p{{Ll}},;] \p{{Lu}}){_REST}(?: \p{{Lu}}{_REST})*+|{_REST})"
 INITIAL = rf"(?<![\p{{Ll}}{END},;] ){NAME_MARK}"
-NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
+NUMBER = r"[0-9]++(?:[.,:/][0-9]++)*+"
 UNIT = rf"(?<={END})( ?)({'|'.join(UNITS)}|[%€$£°])(?!\p{{L}})"
 # Letters of scripts that put no blanks between words; each is a token.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"

@@ -161,6 +161,15 @@ def test_many_places_in_one_text(spark):
     assert set(got) == {(1, 1), (3, 2), (2, 3)}
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    """A list of many thousand names or numbers is one name or number; it does not cost the stack of the task that reads it."""
+    item = "the early bus leaves the old town hall on Sunday morning"
+    names = "it was written by " + "Anna Bob Tom " * 10_000
+    numbers = "the numbers are " + ",".join(map(str, range(30_000))) + " and "
+    got = matched(spark, [(1, names), (2, numbers), (3, f"{names}and {item}"), (4, numbers + item)], [(1, item)])
+    assert set(got) == {(3, 1), (4, 1)}
+
+
 def test_query(spark, sf_dir):
     sf = sf_dir.replace("0.001", "0.01")
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
