@@ -40,7 +40,7 @@ def key_pieces(
 
     The number stays a function of the key alone. How many tasks write a
     folder follows from its rows, counted first (one number per folder
-    reaches the driver), so a hot key does not end in one task; the offset spreads
+    reaches the driver, and goes from there to the tasks), so a hot key does not end in one task; the offset spreads
     its rows over the pieces. Pieces are placed by their number, so each task writes exactly one, into one folder.
     Small folders share a task, up to ``rows_per_piece`` rows together and in whole: the number of tasks follows the rows, not the days.
     """
@@ -64,5 +64,6 @@ def key_pieces(
     types = ", ".join(f"`{numbered.schema[c].name}` {numbered.schema[c].dataType.simpleString()}" for c in folder)
     table = records.sparkSession.createDataFrame(
         [(*r[:-1], f, n) for r, f, n in zip(sizes, first, pieces)], f"{types}, _first int, _pieces int")
-    placed = numbered.join(table, list(folder)).withColumn("_piece", (F.col("_first") + F.pmod(F.xxhash64(offset), F.col("_pieces"))).cast("int"))
+    # By hint: Spark takes a table of unknown size for a huge one, and would broadcast records of small files instead.
+    placed = numbered.join(F.broadcast(table), list(folder)).withColumn("_piece", (F.col("_first") + F.pmod(F.xxhash64(offset), F.col("_pieces"))).cast("int"))
     return placed.repartitionById(tasks, "_piece").select(*numbered.columns)

@@ -96,6 +96,15 @@ def test_key_partitions_split_a_hot_key(spark):
     assert tables.key_pieces(df.limit(0), 6).count() == 0
 
 
+def test_key_pieces_never_broadcast_the_records(spark, tmp_path):
+    """However small their files are: the table of folders goes to the records' tasks."""
+    spark.createDataFrame(_log(), LOG_SCHEMA).withColumn("key", F.col("equipmentId")).write.parquet(f"{tmp_path}/log")
+    laid_out = tables.key_pieces(spark.read.parquet(f"{tmp_path}/log"), 6, rows_per_piece=300)
+    assert laid_out.count() == 3000
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_chunks_follow_the_row_count(spark):
     df = spark.createDataFrame(_log(), LOG_SCHEMA)
     assert changes._chunks_for(df, 100) == 30
