@@ -69,6 +69,13 @@ def test_hostile_rows(spark, folder):
     assert hidden.decoded_sha256 == hashlib.sha256(b"mail me at [EMAIL] now").hexdigest()
 
 
+def test_long_runs_of_names_and_numbers(spark, folder):
+    """The third stage takes lists of many thousand names or numbers."""
+    texts = ["it was written by " + "Anna Bob Tom " * 10_000, "the numbers are " + ",".join(map(str, range(30_000))), "the early bus leaves the old town hall"]
+    path = folder([(k, t, "en", "web", len(t)) for k, t in enumerate(texts)], [(1, "a slow train runs through long valleys to the river")])
+    assert {r.doc_id for r in corpus_pipeline.run(spark, path).collect()} == {0, 1, 2}
+
+
 def test_twice_in_one_session(spark, sf_dir):
     """A second run in the same workers gives the same rows."""
     first, second = (sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, sf_dir).collect()) for _ in range(2))
